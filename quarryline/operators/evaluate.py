@@ -38,10 +38,12 @@ def score_histogram(df: DataFrame, bins: int = 20) -> DataFrame:
     return df.groupBy("label", place.alias("bin")).agg(F.count(F.lit(1)).alias("n"))
 
 
-def confusion_matrix(df: DataFrame, threshold: float = 0.37) -> DataFrame:
+def confusion_matrix(
+    df: DataFrame, threshold: float = 0.37, by: Sequence[str] = ()
+) -> DataFrame:
     called = F.col("score") >= F.lit(threshold)
     positive = F.col("label") == 1
-    return df.agg(
+    return df.groupBy(*by).agg(
         F.count_if(positive & called).alias("tp"),
         F.count_if(~positive & called).alias("fp"),
         F.count_if(~positive & ~called).alias("tn"),
@@ -49,13 +51,14 @@ def confusion_matrix(df: DataFrame, threshold: float = 0.37) -> DataFrame:
     )
 
 
-def score_curve(df: DataFrame) -> DataFrame:
+def score_curve(df: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """Per distinct score, highest first: cases at it (pos, neg) and at or above it (tp, fp)."""
-    at_score = df.filter(F.col("score").isNotNull()).groupBy("score").agg(*_counts())
+    at_score = df.filter(F.col("score").isNotNull()).groupBy(*by, "score").agg(*_counts())
     return running(
         at_score,
         "score",
         {"tp": ("sum", F.col("pos")), "fp": ("sum", F.col("neg"))},
+        by=by,
         descending=True,
     )
 
@@ -71,12 +74,13 @@ def _average_precision() -> Column:
     return ratio(gained, F.sum("pos").cast("double"))
 
 
-def roc_auc(df: DataFrame) -> DataFrame:
-    return score_curve(df).agg(_area_roc().alias("roc_auc"))
+def roc_auc(df: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """Exact area under the ROC curve; NULL when only one class is present."""
+    return score_curve(df, by).groupBy(*by).agg(_area_roc().alias("roc_auc"))
 
 
-def average_precision(df: DataFrame) -> DataFrame:
-    return score_curve(df).agg(_average_precision().alias("average_precision"))
+def average_precision(df: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    return score_curve(df, by).groupBy(*by).agg(_average_precision().alias("average_precision"))
 
 
 def _with_totals(curve: DataFrame, df: DataFrame) -> DataFrame:
@@ -264,20 +268,20 @@ def compare_models(df: DataFrame, scores: dict[str, str], threshold: float = 0.3
     return table
 
 
-def accuracy(df: DataFrame, threshold: float = 0.5) -> DataFrame:
+def accuracy(df: DataFrame, by: Sequence[str] = (), threshold: float = 0.5) -> DataFrame:
     right = (F.col("score") >= F.lit(threshold)).cast("int") == F.col("label")
-    return df.agg(F.avg(right.cast("double")).alias("accuracy"))
+    return df.groupBy(*by).agg(F.avg(right.cast("double")).alias("accuracy"))
 
 
-def f1(df: DataFrame, threshold: float = 0.5) -> DataFrame:
-    cells = confusion_matrix(df, threshold)
-    return cells.select(
-        ratio(2 * F.col("tp"), 2 * F.col("tp") + F.col("fp") + F.col("fn")).alias("f1")
-    )
+def f1(df: DataFrame, by: Sequence[str] = (), threshold: float = 0.5) -> DataFrame:
+    cells = confusion_matrix(df, threshold, by)
+    balance = ratio(2 * F.col("tp"), 2 * F.col("tp") + F.col("fp") + F.col("fn"))
+    return cells.select(*by, balance.alias("f1"))
 
 
-def rmse(df: DataFrame) -> DataFrame:
-    return df.agg(F.sqrt(F.avg((F.col("score") - F.col("label")) ** 2)).alias("rmse"))
+def rmse(df: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    error = F.sqrt(F.avg((F.col("score") - F.col("label")) ** 2))
+    return df.groupBy(*by).agg(error.alias("rmse"))
 
 
 SCORES = {
@@ -290,8 +294,8 @@ SCORES = {
 LOWER_IS_BETTER = frozenset({"rmse"})
 
 
-def score_value(df: DataFrame, score: str) -> float | None:
-    """The named score as a number; NULL (None) when it is undefined, e.g. only one class."""
+def score_table(df: DataFrame, score: str, by: Sequence[str] = ()) -> DataFrame:
+    """The named score as column ``score``, one line per group of ``by``."""
     if score not in SCORES:
         raise ValueError(f"unknown score {score!r}; known: {sorted(SCORES)}")
-    return SCORES[score](df).first()[0]
+    return SCORES[score](df, by).withColumnRenamed(score, "score")

@@ -304,13 +304,13 @@ def choose(df: DataFrame, fit: Callable[[DataFrame], Transformer] | None) -> Dat
 class RandomCuts(
     Transformer, HasInputCol, HasOutputCol, DefaultParamsReadable, DefaultParamsWritable
 ):
-    """Replace each entry of a vector by the number of its cut points below it.
+    """A vector of binned entries: each output entry counts the cut points below its source entry.
 
-    A column without cut points (a 0/1 indicator) is kept.
+    An output entry without cut points copies its source, e.g. a 0/1 indicator.
     """
 
     cuts = Param(
-        Params._dummy(), "cuts", "JSON list with the cut points of each entry",
+        Params._dummy(), "cuts", "JSON list of [source index, [cut points]], one per output entry",
         TypeConverters.toString,
     )
 
@@ -321,17 +321,21 @@ class RandomCuts(
         if cuts is not None:
             self._set(cuts=json.dumps(cuts))
 
+    def sources(self) -> list[int]:
+        return [source for source, _ in json.loads(self.getOrDefault(self.cuts))]
+
     def _transform(self, dataset: DataFrame) -> DataFrame:
-        cuts = json.loads(self.getOrDefault(self.cuts))
-        table = F.array(
-            *[F.array(*[F.lit(float(c)) for c in row]).cast("array<double>") for row in cuts]
+        entries = F.from_json(
+            F.lit(json.dumps([{"s": s, "c": c} for s, c in json.loads(self.getOrDefault(self.cuts))])),
+            "array<struct<s: int, c: array<double>>>",
         )
+        x = vector_to_array(self.getInputCol())
         codes = F.transform(
-            vector_to_array(self.getInputCol()),
-            lambda x, i: F.when(
-                F.size(F.get(table, i)) > 0,
-                F.size(F.filter(F.get(table, i), lambda c: c < x)).cast("double"),
-            ).otherwise(x),
+            entries,
+            lambda e: F.when(
+                F.size(e["c"]) > 0,
+                F.size(F.filter(e["c"], lambda cut: cut < F.get(x, e["s"]))).cast("double"),
+            ).otherwise(F.get(x, e["s"])),
         )
         return dataset.withColumn(self.getOutputCol(), array_to_vector(codes))
 
@@ -368,6 +372,8 @@ class Columns:
 
 def fit_features(train: DataFrame, columns: Columns, prep: Prep) -> PipelineModel:
     """Numeric, category and savings groups side by side, assembled into ``features``."""
+    if not (columns.numeric or columns.categories or columns.savings):
+        raise ValueError("the table has no feature columns")
     stages: list[Transformer] = []
     fits = fit_numeric(train, columns.numeric, prep.imputer, prep.scaler)
     numeric_outputs = [f"numeric__{fit.column}" for fit in fits]

@@ -4,7 +4,16 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ("tables", "profiling", "evaluation")
+MODULES = (
+    "tables",
+    "profiling",
+    "evaluation",
+    "trials",
+    "registry",
+    "features",
+    "search",
+    "models",
+)
 
 
 def load_all() -> None:
