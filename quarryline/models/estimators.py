@@ -104,7 +104,6 @@ def fit_logistic(train: DataFrame, label: str, params: dict, seed: int, limits:
     n = train.count()
     model = mlc.LogisticRegression(
         labelCol=label, maxIter=1000, standardization=False, regParam=1 / (strength * max(n, 1)),
-        tol=1e-8,
     ).fit(train)
     return Fitted([model])
 

@@ -38,17 +38,22 @@ def score_histogram(df: DataFrame, bins: int = 20) -> DataFrame:
     return df.groupBy("label", place.alias("bin")).agg(F.count(F.lit(1)).alias("n"))
 
 
-def confusion_matrix(
-    df: DataFrame, threshold: float = 0.37, by: Sequence[str] = ()
-) -> DataFrame:
+def confusion_counts(threshold: float) -> list[Column]:
+    """The four cells as aggregates."""
     called = F.col("score") >= F.lit(threshold)
     positive = F.col("label") == 1
-    return df.groupBy(*by).agg(
+    return [
         F.count_if(positive & called).alias("tp"),
         F.count_if(~positive & called).alias("fp"),
         F.count_if(~positive & ~called).alias("tn"),
         F.count_if(positive & ~called).alias("fn"),
-    )
+    ]
+
+
+def confusion_matrix(
+    df: DataFrame, threshold: float = 0.37, by: Sequence[str] = ()
+) -> DataFrame:
+    return df.groupBy(*by).agg(*confusion_counts(threshold))
 
 
 def score_curve(df: DataFrame, by: Sequence[str] = ()) -> DataFrame:

@@ -16,6 +16,7 @@ along the tie-break column.
 from __future__ import annotations
 
 import math
+from collections import defaultdict
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
@@ -25,6 +26,8 @@ from pyspark.sql import functions as F
 
 SKETCH_ERROR = 1e-4
 
+Brackets = list[list[float]]  # disjoint closed intervals, ascending
+
 
 @dataclass(frozen=True)
 class Found:
@@ -38,7 +41,7 @@ class Found:
 
 @dataclass(frozen=True)
 class Wanted:
-    """Rows of interest (``column`` is NULL elsewhere) and where in their order to look.
+    """Where in the order of a column to look (NULLs are left out).
 
     ``fractions`` place the ranks roughly; ``ranks`` turns the exact row count into exact ranks.
     """
@@ -48,48 +51,100 @@ class Wanted:
     ranks: Callable[[int], Sequence[int]]
 
 
+@dataclass(frozen=True)
+class Spot:
+    """The same for one ``spec`` of a long table (spec, value)."""
+
+    fractions: Sequence[float]
+    ranks: Callable[[int], Sequence[int]]
+
+
 def order_statistics(df: DataFrame, wanted: dict[str, Wanted]) -> dict[str, tuple[int, list[Found]]]:
     """Exact order statistics of several columns of one type: ``{name: (n, [Found, ...])}``."""
-    names = list(wanted)
-    projected = df.select(*[wanted[n].column.alias(f"v{i}") for i, n in enumerate(names)])
-    error, open_names, result = SKETCH_ERROR, names, {}
-    while open_names:
-        bands = _sketch_bands(projected, names, wanted, open_names, error)
-        found = _resolve(projected, names, wanted, bands)
-        result.update(found)
-        open_names = [n for n in open_names if n not in found]
+    columns = df.select(*[w.column.alias(f"v{i}") for i, w in enumerate(wanted.values())])
+
+    def rows(pending: list[int]) -> DataFrame:
+        return _stacked(columns, {i: [F.col(f"v{i}").alias("value")] for i in pending})
+
+    def regions(brackets: dict[int, Brackets]) -> DataFrame:
+        marked = columns
+        for i, spans in brackets.items():
+            marked = _mark_region(marked, f"v{i}", spans, f"r{i}")
+        kept = {
+            i: [F.col(f"r{i}").alias("region"), F.col(f"v{i}").alias("value")] for i in brackets
+        }
+        return _stacked(marked, kept)
+
+    spots = [Spot(w.fractions, w.ranks) for w in wanted.values()]
+    return dict(zip(wanted, _locate(rows, regions, spots)))
+
+
+def _stacked(df: DataFrame, fields: dict[int, list[Column]]) -> DataFrame:
+    """One row per spec whose value is not NULL, with the spec's number."""
+    entries = [F.struct(F.lit(i).alias("spec"), *columns) for i, columns in fields.items()]
+    rows = df.select(entries[0].alias("e")).select("e.*") if len(entries) == 1 else df.select(
+        F.inline(F.array(*entries))
+    )
+    return rows.filter("value IS NOT NULL")
+
+
+def _mark_region(df: DataFrame, column: str, spans: Brackets, output: str) -> DataFrame:
+    """Number the gaps before, between and after the brackets 0, 2, 4, ... and the brackets 1, 3, ..."""
+    edges = [e for low, high in spans for e in (low, math.nextafter(high, math.inf))]
+    inner = [e for e in edges if -math.inf < e < math.inf]
+    if not inner:  # one bracket around everything
+        return df.withColumn(output, F.lit(1))
+    shift = 1 if edges[0] == -math.inf else 0
+    split = Bucketizer(
+        splits=[-math.inf, *inner, math.inf], inputCol="_x", outputCol="_r", handleInvalid="keep"
+    ).transform(df.withColumn("_x", F.col(column).cast("double")))
+    return split.withColumn(output, F.col("_r").cast("int") + shift).drop("_x", "_r")
+
+
+def _locate(
+    rows: Callable[[list[int]], DataFrame],
+    regions: Callable[[dict[int, Brackets]], DataFrame],
+    spots: list[Spot],
+) -> list[tuple[int, list[Found]]]:
+    """Sketch, then count exactly; a spec whose rank falls outside its brackets goes again with
+    wider ones, in the end with the whole range.
+
+    ``rows`` gives (spec, value) and ``regions`` (spec, region, value) for the pending specs.
+    """
+    error, pending = SKETCH_ERROR, list(range(len(spots)))
+    located: list[tuple[int, list[Found]]] = [(0, [])] * len(spots)
+    while pending:
+        brackets = _sketch(rows(pending), spots, pending, error)
+        found = _count(regions(brackets), spots) if brackets else {}
+        for spec, answer in found.items():
+            located[spec] = answer
+        # a spec without rows has no sketch and stays at (0, [])
+        pending = [spec for spec in pending if spec in brackets and spec not in found]
         error *= 16
-    return result
+    return located
 
 
-def _sketch_bands(projected, names, wanted, open_names, error) -> dict[str, list[tuple]]:
-    """Per name, disjoint closed intervals that should hold the wanted values."""
+def _sketch(
+    rows: DataFrame, spots: list[Spot], pending: list[int], error: float
+) -> dict[int, Brackets]:
+    """Per spec, disjoint closed intervals that should hold the wanted values."""
     margin = 3 * error
-    probes = sorted(
-        {
-            min(1.0, max(0.0, f + side * margin))
-            for n in open_names
-            for f in wanted[n].fractions
-            for side in (-1, 1)
-        }
+
+    def sides(fraction: float) -> tuple[float, float]:
+        return max(0.0, fraction - margin), min(1.0, fraction + margin)
+
+    probes = sorted({side for i in pending for f in spots[i].fractions for side in sides(f)})
+    sketch = F.percentile_approx(
+        F.col("value").cast("double"), [float(p) for p in probes], F.lit(max(1, round(1 / error)))
     )
-    columns = [f"v{names.index(n)}" for n in open_names]
-    doubles = projected.select(*[F.col(c).cast("double").alias(c) for c in columns])
-    sketches = doubles.approxQuantile(columns, probes, min(error, 1.0))
-    bands = {}
-    for name, sketch in zip(open_names, sketches):
-        if not sketch:  # no rows
-            bands[name] = []
-            continue
-        at = dict(zip(probes, sketch))
+    brackets = {}
+    for line in rows.groupBy("spec").agg(sketch.alias("marks")).collect():  # one per spec
+        at = dict(zip(probes, line["marks"]))
         spans = []
-        for f in wanted[name].fractions:
-            low, high = max(0.0, f - margin), min(1.0, f + margin)
+        for f in spots[line["spec"]].fractions:
+            low, high = sides(f)
             spans.append(
-                (
-                    -math.inf if low == 0.0 else at[low],
-                    math.inf if high == 1.0 else at[high],
-                )
+                [-math.inf if low == 0.0 else at[low], math.inf if high == 1.0 else at[high]]
             )
         merged: list[list[float]] = []
         for low, high in sorted(spans):
@@ -97,110 +152,81 @@ def _sketch_bands(projected, names, wanted, open_names, error) -> dict[str, list
                 merged[-1][1] = max(merged[-1][1], high)
             else:
                 merged.append([low, high])
-        bands[name] = [tuple(span) for span in merged]
-    return bands
-
+        brackets[line["spec"]] = merged
+    return brackets
 
-def _region(value: Column, spans: list[tuple]) -> Column:
-    """Even numbers are the gaps before, between and after the spans; odd numbers the spans."""
-    place = F.when(F.lit(False), F.lit(-1))
-    for i, (low, high) in enumerate(spans):
-        place = place.when(value < F.lit(low), F.lit(2 * i)).when(
-            value <= F.lit(high), F.lit(2 * i + 1)
-        )
-    return place.otherwise(F.lit(2 * len(spans)))
 
+def _count(regions: DataFrame, spots: list[Spot]) -> dict[int, tuple[int, list[Found]]]:
+    """Count the rows in and between the brackets, and rank the values inside them.
 
-def _resolve(projected, names, wanted, bands) -> dict[str, tuple[int, list[Found]]]:
-    found: dict[str, tuple[int, list[Found]]] = {n: (0, []) for n, s in bands.items() if not s}
-    active = [n for n in bands if bands[n]]
-    if not active:
-        return found
-    entries = []
-    for name in active:
-        i = names.index(name)
-        value = F.col(f"v{i}")
-        region = _region(value.cast("double"), bands[name])
-        entries.append(
-            F.when(
-                value.isNotNull(),
-                F.struct(
-                    F.lit(i).alias("spec"),
-                    region.alias("region"),
-                    F.when(region % 2 == 1, value).alias("value"),
-                ),
-            )
-        )
+    Values outside the brackets are not kept, and equal values are combined map-side.
+    """
     counted = (
-        projected.select(F.explode(F.array(*entries)).alias("e"))
-        .filter(F.col("e").isNotNull())
-        .groupBy("e.spec", "e.region", "e.value")
+        regions.withColumn("value", F.when(F.col("region") % 2 == 1, F.col("value")))
+        .groupBy("spec", "region", "value")
         .agg(F.count(F.lit(1)).alias("ties"))
     )
-    totals = (  # at most one line per region
-        counted.groupBy("spec", "region")
-        .agg(
-            F.sum("ties").alias("rows"),
-            F.count("value").alias("distinct"),
-            F.min("value").alias("low"),
-        )
-        .collect()
+    totals = counted.groupBy("spec", "region").agg(
+        F.sum("ties").alias("rows"), F.count("value").alias("distinct"), F.min("value").alias("low")
     )
-    by_spec: dict[int, list] = {}
-    for line in sorted(totals, key=lambda r: (r["spec"], r["region"])):
-        by_spec.setdefault(line["spec"], []).append(line)
+    lines = sorted(totals.collect(), key=lambda r: (r["spec"], r["region"]))  # one per region
+    sizes: dict[int, int] = defaultdict(int)
+    for line in lines:
+        sizes[line["spec"]] += line["rows"]
 
     answers: dict[tuple[int, int], Found] = {}
-    lookups = []
-    complete = set()
-    for name in active:
-        i, before, pending = names.index(name), 0, []
-        n = sum(line["rows"] for line in by_spec.get(i, []))
-        ranks = set(wanted[name].ranks(n)) if n else set()
-        placed = True
-        for line in by_spec.get(i, []):
-            inside = [r for r in ranks if before < r <= before + line["rows"]]
-            if inside and line["region"] % 2 == 0:
-                placed = False  # the sketch missed; try again with wider brackets
-            elif inside and line["distinct"] == 1:
-                for r in inside:
-                    answers[i, r] = Found(r, line["low"], before, line["rows"])
-            elif inside:
-                pending.append((line["region"], before, inside))
-            before += line["rows"]
-        if placed:
-            complete.add(name)
-            lookups.extend((i, *p) for p in pending)
-    if lookups:
-        span = Window.partitionBy("spec", "region").orderBy("value")
-        upto = counted.withColumn(
-            "upto", F.sum("ties").over(span.rowsBetween(Window.unboundedPreceding, 0))
-        )
-        hits = F.lit(False)
-        for i, region, before, inside in lookups:
-            reached = F.lit(False)
+    lookups: list[tuple[int, int, int, list[int]]] = []
+    missed: set[int] = set()
+    before: dict[int, int] = defaultdict(int)
+    for line in lines:
+        spec, start = line["spec"], before[line["spec"]]
+        ranks = sorted(set(spots[spec].ranks(sizes[spec])))
+        inside = [r for r in ranks if start < r <= start + line["rows"]]
+        if inside and line["region"] % 2 == 0:
+            missed.add(spec)
+        elif inside and line["distinct"] == 1:
             for r in inside:
-                reached |= F.col("upto").between(
-                    F.lit(r - before), F.lit(r - before - 1) + F.col("ties")
-                )
-            hits |= (F.col("spec") == i) & (F.col("region") == region) & reached
-        in_bands = [(F.col("spec") == i) & (F.col("region") == g) for i, g, _, _ in lookups]
-        keep = in_bands[0]
-        for condition in in_bands[1:]:
-            keep |= condition
-        picked = upto.filter(keep & hits).collect()  # at most one line per wanted rank
-        for i, region, before, inside in lookups:
-            for line in picked:
-                if line["spec"] == i and line["region"] == region:
-                    for r in inside:
-                        if line["upto"] - line["ties"] < r - before <= line["upto"]:
-                            below = before + line["upto"] - line["ties"]
-                            answers[i, r] = Found(r, line["value"], below, line["ties"])
-    for name in complete:
-        i = names.index(name)
-        n = sum(line["rows"] for line in by_spec.get(i, []))
-        found[name] = (n, [answers[i, r] for r in wanted[name].ranks(n)] if n else [])
-    return found
+                answers[spec, r] = Found(r, line["low"], start, line["rows"])
+        elif inside:
+            lookups.append((spec, line["region"], start, inside))
+        before[spec] += line["rows"]
+    for spec, start, line in _inside(counted, lookups):
+        below = start + line["upto"] - line["ties"]
+        for r in spots[spec].ranks(sizes[spec]):
+            if below < r <= below + line["ties"]:
+                answers[spec, r] = Found(r, line["value"], below, line["ties"])
+    return {
+        spec: (n, [answers[spec, r] for r in spots[spec].ranks(n)])
+        for spec, n in sizes.items()
+        if spec not in missed
+    }
+
+
+def _inside(counted: DataFrame, lookups: list[tuple[int, int, int, list[int]]]):
+    """The values at ranks inside brackets: (spec, rows before the bracket, line)."""
+    if not lookups:
+        return
+    span = Window.partitionBy("spec", "region").orderBy("value")
+    upto = F.sum("ties").over(span.rowsBetween(Window.unboundedPreceding, 0))
+    places = F.create_map(
+        *[
+            cell
+            for spec, region, start, ranks in lookups
+            for cell in (
+                F.concat_ws("/", F.lit(spec), F.lit(region)),
+                F.array(*[F.lit(r - start).cast("bigint") for r in ranks]),
+            )
+        ]
+    )
+    place = F.try_element_at(places, F.concat_ws("/", "spec", "region"))
+    ranked = (
+        counted.withColumn("upto", upto)
+        .withColumn("wanted", place)
+        .filter("exists(wanted, r -> r <= upto AND r > upto - ties)")
+    )
+    starts = {(spec, region): start for spec, region, start, _ in lookups}
+    for line in ranked.collect():  # at most one line per wanted rank
+        yield line["spec"], starts[line["spec"], line["region"]], line
 
 
 def exact_quantiles(
@@ -259,28 +285,67 @@ def cut_points(
     located = order_statistics(
         df, {name: Wanted(value, fractions, ranks) for name, value in orders.items()}
     )
-    inside_ties = {}
+    # tied values that a cut goes through: (order, value) -> (ties, ranks among them)
+    split: dict[tuple[str, object], tuple[int, list[int]]] = {}
     for name, (_, found) in located.items():
-        for i, f in enumerate(found):
+        for f in found:
             if f.rank - f.below < f.ties:
-                inside_ties[f"{name}/{i}"] = Wanted(
-                    F.when(orders[name] == F.lit(f.value), key),
-                    [(f.rank - f.below) / f.ties],
-                    lambda _, r=f.rank - f.below: [r],
-                )
-    keys = order_statistics(df, inside_ties) if inside_ties else {}
+                split.setdefault((name, f.value), (f.ties, []))[1].append(f.rank - f.below)
+    keys = _keys_among_ties(df, orders, key, split) if split else {}
     return {
-        name: (
-            n,
-            [
-                Cut(f.value, keys[f"{name}/{i}"][1][0].value if f"{name}/{i}" in keys else None)
-                for i, f in enumerate(found)
-            ],
-        )
+        name: (n, [Cut(f.value, keys.get((name, f.value, f.rank - f.below))) for f in found])
         for name, (n, found) in located.items()
     }
 
 
+def _keys_among_ties(
+    df: DataFrame,
+    orders: dict[str, Column],
+    key: Column,
+    split: dict[tuple[str, object], tuple[int, list[int]]],
+) -> dict[tuple[str, object, int], object]:
+    """The key at each wanted rank among the rows that share a value."""
+    entries = []
+    for name in orders:
+        numbers = [
+            cell
+            for spec, (order, value) in enumerate(split)
+            if order == name
+            for cell in (F.lit(value), F.lit(spec))
+        ]
+        if numbers:
+            spec = F.try_element_at(F.create_map(*numbers), orders[name])
+            entries.append(F.struct(spec.alias("spec"), key.alias("value")))
+    tied = df.select(F.inline(F.array(*entries))).filter("spec IS NOT NULL AND value IS NOT NULL")
+
+    def rows(pending: list[int]) -> DataFrame:
+        return tied.filter(F.col("spec").isin(pending))
+
+    def regions(brackets: dict[int, Brackets]) -> DataFrame:
+        def ends(side: int) -> Column:
+            lists = [
+                F.array(*[F.lit(b[side]) for b in brackets.get(i, [])]).cast("array<double>")
+                for i in range(len(split))
+            ]
+            return F.get(F.array(*lists), F.col("spec"))
+
+        x = F.col("value").cast("double")
+        region = F.size(F.filter(ends(0), lambda low: low <= x)) + F.size(
+            F.filter(ends(1), lambda high: high < x)
+        )
+        return rows(list(brackets)).select("spec", region.alias("region"), "value")
+
+    spots = [
+        Spot([r / ties for r in ranks], lambda _, r=tuple(ranks): r)
+        for ties, ranks in split.values()
+    ]
+    return {
+        (name, value, f.rank): f.value
+        for (name, value), (_, found) in zip(split, _locate(rows, regions, spots))
+        for f in found
+    }
+
+
 def _value_ranges(df: DataFrame, column: str, pieces: int) -> tuple[list[float], list[float]]:
     """Split points for similar-sized ranges, and the values that fill a whole range alone."""
     probes = [i / pieces for i in range(1, pieces)]
@@ -290,6 +355,8 @@ def _value_ranges(df: DataFrame, column: str, pieces: int) -> tuple[list[float],
 
 
 def _bucket(df: DataFrame, column: str, splits: list[float], output: str) -> DataFrame:
+    if not splits:  # no rows, or no values
+        return df.withColumn(output, F.lit(0.0))
     edges = [-math.inf, *splits, math.inf]
     return Bucketizer(
         splits=edges, inputCol=column, outputCol=output, handleInvalid="keep"

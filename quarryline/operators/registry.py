@@ -257,39 +257,42 @@ class RunLog:
         events = self.spark.createDataFrame(rows, EVENT_SCHEMA).coalesce(1)
         events.write.mode("append").parquet(f"{self.root}/model_version_events")
 
-    def _next_seq(self) -> int:
-        return (self.events.agg(F.max("event_seq")).first()[0] or 0) + 1
-
     def register_model(self, run_id: str, model_name: str) -> int:
         """The next version of the model for this run; a run is registered once per model."""
-        known = self._model_events(model_name)
-        mine = known.filter(F.col("run_id") == run_id).agg(F.max("version")).first()[0]
-        if mine is not None:
-            return mine
-        version = (known.agg(F.max("version")).first()[0] or 0) + 1
-        self._add_events([(model_name, version, run_id, NO_STAGE, self._next_seq())])
+        of_model = F.col("model_name") == model_name
+        known = self.events.agg(
+            F.max(F.when(of_model & (F.col("run_id") == run_id), F.col("version"))).alias("mine"),
+            F.max(F.when(of_model, F.col("version"))).alias("latest"),
+            F.max("event_seq").alias("seq"),
+        ).first()
+        if known["mine"] is not None:
+            return known["mine"]
+        version = (known["latest"] or 0) + 1
+        self._add_events([(model_name, version, run_id, NO_STAGE, (known["seq"] or 0) + 1)])
         return version
 
-    def _run_of(self, model_name: str, version: int) -> str:
-        line = self.state(model_name).filter(F.col("version") == version).first()
-        if line is None:
+    def _around(self, model_name: str, version: int) -> tuple[str, list, int]:
+        """The version's run, the versions now in production, and the next event number."""
+        state = self.state(model_name).withColumn(
+            "last_seq", self.events.agg(F.max("event_seq")).scalar()
+        )
+        chosen = (F.col("version") == version) | (F.col("stage") == PRODUCTION)
+        lines = state.filter(chosen).collect()  # this version and the one in production
+        run_id = next((line["run_id"] for line in lines if line["version"] == version), None)
+        if run_id is None:
             raise ValueError(f"{model_name} has no version {version}")
-        return line["run_id"]
+        live = [x for x in lines if x["stage"] == PRODUCTION and x["version"] != version]
+        return run_id, live, lines[0]["last_seq"] + 1
 
     def transition(self, model_name: str, version: int, stage: str) -> None:
         """Move one version; the others stay where they are."""
         if stage not in STAGES:
             raise ValueError(f"unknown stage {stage!r}")
-        run_id = self._run_of(model_name, version)
-        self._add_events([(model_name, version, run_id, stage, self._next_seq())])
+        run_id, _, seq = self._around(model_name, version)
+        self._add_events([(model_name, version, run_id, stage, seq)])
 
     def put_in_production(self, model_name: str, version: int) -> None:
         """Archive the version now in production and promote this one, in one write."""
-        run_id = self._run_of(model_name, version)
-        seq = self._next_seq()
-        rows = []
-        now = self.production_model(model_name)
-        if now is not None and now["version"] != version:
-            rows.append((model_name, now["version"], now["run_id"], ARCHIVED, seq))
-        rows.append((model_name, version, run_id, PRODUCTION, seq + 1))
-        self._add_events(rows)
+        run_id, live, seq = self._around(model_name, version)
+        rows = [(model_name, x["version"], x["run_id"], ARCHIVED, seq) for x in live]
+        self._add_events([*rows, (model_name, version, run_id, PRODUCTION, seq + 1)])
