@@ -11,6 +11,7 @@ import math
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
+from pyspark import StorageLevel
 from pyspark.ml import PipelineModel, Transformer
 from pyspark.ml import classification as mlc
 from pyspark.ml import regression as mlr
@@ -232,7 +233,11 @@ def _fit_cut_forest(
     notes.append("splits on random cut points drawn once per forest")
     cutter = RandomCuts("features", "cut", entries)
     forest = mlr.RandomForestRegressor if regression else mlc.RandomForestClassifier
-    model = forest(**settings, featuresCol="cut").fit(cutter.transform(train))
+    binned = cutter.transform(train).select(label, "cut").persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        model = forest(**settings, featuresCol="cut").fit(binned)
+    finally:
+        binned.unpersist()
     return Fitted([cutter, model], notes)
 
 

@@ -44,7 +44,7 @@ def keys_at(df: DataFrame, key: str, positions: Sequence[int]) -> dict[int, obje
     inside = [p for p in positions if p < n]
     if not inside:
         return {}
-    wanted = Wanted(F.col(key), [(p + 1) / n for p in inside], lambda _: [p + 1 for p in inside])
+    wanted = Wanted(F.col(key), lambda _: [p + 1 for p in inside])
     _, found = order_statistics(df, {"key": wanted})["key"]
     return {p: f.value for p, f in zip(inside, found)}
 

@@ -238,7 +238,6 @@ def lift_gain(df: DataFrame, key: str, steps: int = 20) -> DataFrame:
         scored.select("score", key),
         {"score": worst_first},
         F.col(key),
-        [i / steps for i in range(1, steps)],
         lambda rows: [max(1, math.ceil(i * rows / steps)) for i in range(1, steps)],
     )["score"]
     step = sum(

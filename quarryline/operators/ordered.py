@@ -1,16 +1,17 @@
-"""Exact ranks, running totals and order statistics without a one-task window.
+"""Exact ranks, running totals and order statistics without a one-task sort of the table.
 
 Two shapes of work are covered:
 
-* ``order_statistics`` / ``cut_points`` find a few exact values of the sorted order. A sketch
-  brackets each wanted rank, one aggregate counts the rows outside the brackets, and only rows
-  inside them are ranked.
-* ``running`` attaches a cumulative sum, count or maximum to every row. Rows are put into value
-  ranges of similar size; a table with one line per range carries the totals of the ranges before.
+* ``order_statistics`` / ``cut_points`` find a few exact values of the sorted order. The rows are
+  counted per equal-width bin; the bins that hold a wanted rank are split again until what is left
+  is one value or few enough rows to sort.
+* ``running`` attaches a cumulative sum or maximum to every row. The same counts give value ranges
+  of similar size; a table with one line per range carries the totals of the ranges before.
 
-A value that many rows share (a third of the table, say) never lands in one task: order
-statistics collapse equal values map-side, and ``running`` gives each hot value ranges of its own
-along the tie-break column.
+Every pass is a count per bin: partial counts are combined map-side, the result has a bounded
+number of lines, and nothing grows with the number of input partitions. A value that many rows
+share (a third of the table, say) is one line in a count, and ``running`` spreads its rows over
+ranges of the tie-break column.
 """
 
 from __future__ import annotations
@@ -24,9 +25,10 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-SKETCH_ERROR = 1e-4
-
-Brackets = list[list[float]]  # disjoint closed intervals, ascending
+ONE_TASK = 1_000_000  # rows that one task may sort
+BINS = 1024
+MAX_RANGES = 4096
+LARGEST = 1.7976931348623157e308
 
 
 @dataclass(frozen=True)
@@ -41,192 +43,249 @@ class Found:
 
 @dataclass(frozen=True)
 class Wanted:
-    """Where in the order of a column to look (NULLs are left out).
-
-    ``fractions`` place the ranks roughly; ``ranks`` turns the exact row count into exact ranks.
-    """
+    """A column (NULLs are left out) and the ranks to look up, given its exact row count."""
 
     column: Column
-    fractions: Sequence[float]
     ranks: Callable[[int], Sequence[int]]
 
 
 @dataclass(frozen=True)
-class Spot:
-    """The same for one ``spec`` of a long table (spec, value)."""
+class Interval:
+    """Rows with values from ``low`` to ``high``, both present; ``below`` rows come before them."""
 
-    fractions: Sequence[float]
-    ranks: Callable[[int], Sequence[int]]
+    low: object
+    high: object
+    below: int
+    rows: int
 
+    @property
+    def single(self) -> bool:
+        return self.low == self.high
 
-def order_statistics(df: DataFrame, wanted: dict[str, Wanted]) -> dict[str, tuple[int, list[Found]]]:
-    """Exact order statistics of several columns of one type: ``{name: (n, [Found, ...])}``."""
-    columns = df.select(*[w.column.alias(f"v{i}") for i, w in enumerate(wanted.values())])
+    @property
+    def ends(self) -> tuple[float, float]:
+        low, high = float(self.low), float(self.high)
+        return max(low, -LARGEST), min(high, LARGEST)
 
-    def rows(pending: list[int]) -> DataFrame:
-        return _stacked(columns, {i: [F.col(f"v{i}").alias("value")] for i in pending})
+    def divisible(self) -> bool:
+        """False when the values differ by less than a double can tell."""
+        low, high = self.ends
+        return high / 2 - low / 2 > 0
 
-    def regions(brackets: dict[int, Brackets]) -> DataFrame:
-        marked = columns
-        for i, spans in brackets.items():
-            marked = _mark_region(marked, f"v{i}", spans, f"r{i}")
-        kept = {
-            i: [F.col(f"r{i}").alias("region"), F.col(f"v{i}").alias("value")] for i in brackets
-        }
-        return _stacked(marked, kept)
+    def holds(self, rank: int) -> bool:
+        return self.below < rank <= self.below + self.rows
 
-    spots = [Spot(w.fractions, w.ranks) for w in wanted.values()]
-    return dict(zip(wanted, _locate(rows, regions, spots)))
 
+Intervals = dict[int, list[Interval]]  # per spec, disjoint and ascending
 
-def _stacked(df: DataFrame, fields: dict[int, list[Column]]) -> DataFrame:
-    """One row per spec whose value is not NULL, with the spec's number."""
-    entries = [F.struct(F.lit(i).alias("spec"), *columns) for i, columns in fields.items()]
-    rows = df.select(entries[0].alias("e")).select("e.*") if len(entries) == 1 else df.select(
-        F.inline(F.array(*entries))
-    )
-    return rows.filter("value IS NOT NULL")
 
+def _number(value: Column) -> Column:
+    """The value as a finite double, in the same order."""
+    return F.greatest(F.least(value.cast("double"), F.lit(LARGEST)), F.lit(-LARGEST))
 
-def _mark_region(df: DataFrame, column: str, spans: Brackets, output: str) -> DataFrame:
-    """Number the gaps before, between and after the brackets 0, 2, 4, ... and the brackets 1, 3, ..."""
-    edges = [e for low, high in spans for e in (low, math.nextafter(high, math.inf))]
-    inner = [e for e in edges if -math.inf < e < math.inf]
-    if not inner:  # one bracket around everything
-        return df.withColumn(output, F.lit(1))
-    shift = 1 if edges[0] == -math.inf else 0
-    split = Bucketizer(
-        splits=[-math.inf, *inner, math.inf], inputCol="_x", outputCol="_r", handleInvalid="keep"
-    ).transform(df.withColumn("_x", F.col(column).cast("double")))
-    return split.withColumn(output, F.col("_r").cast("int") + shift).drop("_x", "_r")
 
+class _Columns:
+    """Specs that are columns of one table."""
 
-def _locate(
-    rows: Callable[[list[int]], DataFrame],
-    regions: Callable[[dict[int, Brackets]], DataFrame],
-    spots: list[Spot],
-) -> list[tuple[int, list[Found]]]:
-    """Sketch, then count exactly; a spec whose rank falls outside its brackets goes again with
-    wider ones, in the end with the whole range.
+    def __init__(self, df: DataFrame, columns: Sequence[Column]):
+        self.df = df.select(*[c.alias(f"v{i}") for i, c in enumerate(columns)])
+        self.n = len(columns)
 
-    ``rows`` gives (spec, value) and ``regions`` (spec, region, value) for the pending specs.
-    """
-    error, pending = SKETCH_ERROR, list(range(len(spots)))
-    located: list[tuple[int, list[Found]]] = [(0, [])] * len(spots)
-    while pending:
-        brackets = _sketch(rows(pending), spots, pending, error)
-        found = _count(regions(brackets), spots) if brackets else {}
-        for spec, answer in found.items():
-            located[spec] = answer
-        # a spec without rows has no sketch and stays at (0, [])
-        pending = [spec for spec in pending if spec in brackets and spec not in found]
-        error *= 16
-    return located
-
-
-def _sketch(
-    rows: DataFrame, spots: list[Spot], pending: list[int], error: float
-) -> dict[int, Brackets]:
-    """Per spec, disjoint closed intervals that should hold the wanted values."""
-    margin = 3 * error
-
-    def sides(fraction: float) -> tuple[float, float]:
-        return max(0.0, fraction - margin), min(1.0, fraction + margin)
-
-    probes = sorted({side for i in pending for f in spots[i].fractions for side in sides(f)})
-    sketch = F.percentile_approx(
-        F.col("value").cast("double"), [float(p) for p in probes], F.lit(max(1, round(1 / error)))
-    )
-    brackets = {}
-    for line in rows.groupBy("spec").agg(sketch.alias("marks")).collect():  # one per spec
-        at = dict(zip(probes, line["marks"]))
-        spans = []
-        for f in spots[line["spec"]].fractions:
-            low, high = sides(f)
-            spans.append(
-                [-math.inf if low == 0.0 else at[low], math.inf if high == 1.0 else at[high]]
-            )
-        merged: list[list[float]] = []
-        for low, high in sorted(spans):
-            if merged and low <= merged[-1][1]:
-                merged[-1][1] = max(merged[-1][1], high)
-            else:
-                merged.append([low, high])
-        brackets[line["spec"]] = merged
-    return brackets
+    def rows(self) -> DataFrame:
+        """(spec, value)"""
+        return self._stacked(self.df, {i: [F.col(f"v{i}").alias("value")] for i in range(self.n)})
 
+    def inside(self, intervals: Intervals) -> DataFrame:
+        """(spec, place, value) of the rows inside the intervals, ``place`` counting them from 0."""
+        marked = self.df
+        for i, parts in intervals.items():
+            marked = _mark(marked, f"v{i}", parts, f"p{i}")
+        fields = {
+            i: [F.col(f"p{i}").alias("place"), F.col(f"v{i}").alias("value")] for i in intervals
+        }
+        return self._stacked(marked, fields).filter("place IS NOT NULL")
+
+    @staticmethod
+    def _stacked(df: DataFrame, fields: dict[int, list[Column]]) -> DataFrame:
+        entries = [F.struct(F.lit(i).alias("spec"), *columns) for i, columns in fields.items()]
+        if len(entries) == 1:
+            rows = df.select(entries[0].alias("e")).select("e.*")
+        else:
+            rows = df.select(F.inline(F.array(*entries)))
+        return rows.filter("value IS NOT NULL AND NOT isnan(value)")
+
+
+class _Labelled:
+    """A long table (spec, value) where each row belongs to one of many specs."""
+
+    def __init__(self, df: DataFrame, n: int):
+        self.df, self.n = df.filter("spec IS NOT NULL AND value IS NOT NULL"), n
+
+    def rows(self) -> DataFrame:
+        return self.df
+
+    def inside(self, intervals: Intervals) -> DataFrame:
+        lists = [
+            F.array(
+                *[
+                    F.struct(F.lit(p.ends[0]).alias("low"), F.lit(p.ends[1]).alias("high"))
+                    for p in intervals.get(i, [])
+                ]
+            ).cast("array<struct<low: double, high: double>>")
+            for i in range(self.n)
+        ]
+        x = _number(F.col("value"))
+        hit = F.transform(
+            F.get(F.array(*lists), F.col("spec")), lambda p: (p["low"] <= x) & (x <= p["high"])
+        )
+        place = (F.array_position(hit, True) - 1).cast("int")
+        return (
+            self.df.filter(F.col("spec").isin(list(intervals)))
+            .select("spec", place.alias("place"), "value")
+            .filter("place >= 0")
+        )
 
-def _count(regions: DataFrame, spots: list[Spot]) -> dict[int, tuple[int, list[Found]]]:
-    """Count the rows in and between the brackets, and rank the values inside them.
 
-    Values outside the brackets are not kept, and equal values are combined map-side.
-    """
-    counted = (
-        regions.withColumn("value", F.when(F.col("region") % 2 == 1, F.col("value")))
-        .groupBy("spec", "region", "value")
-        .agg(F.count(F.lit(1)).alias("ties"))
+def _mark(df: DataFrame, column: str, parts: Sequence[Interval], output: str) -> DataFrame:
+    """Add the number of the interval that holds the value, NULL outside all of them."""
+    edges = [e for p in parts for e in (p.ends[0], math.nextafter(p.ends[1], math.inf))]
+    edges[-1] = min(edges[-1], LARGEST)
+    splits = sorted({-math.inf, *edges, math.inf})
+    first = [splits.index(p.ends[0]) for p in parts]
+    marked = Bucketizer(
+        splits=splits, inputCol="_x", outputCol="_b", handleInvalid="keep"
+    ).transform(df.withColumn("_x", _number(F.col(column))))
+    bucket = F.col("_b").cast("int")
+    if len(parts) == 1:
+        place = F.when(bucket == first[0], 0)
+    else:
+        numbers = [cell for k, f in enumerate(first) for cell in (F.lit(f), F.lit(k))]
+        place = F.try_element_at(F.create_map(*numbers), bucket)
+    high = [p.ends[1] for p in parts]
+    if high[-1] == LARGEST:  # the last bucket has no edge after it
+        place = F.when(F.col("_x") == LARGEST, len(parts) - 1).otherwise(place)
+    return marked.withColumn(output, place).drop("_x", "_b")
+
+
+def _whole(rows: DataFrame) -> dict[int, Interval]:
+    """One interval with all rows of each spec."""
+    lines = (
+        rows.groupBy("spec")
+        .agg(F.min("value").alias("low"), F.max("value").alias("high"), F.count("value").alias("n"))
+        .collect()  # one line per spec
+    )
+    return {line["spec"]: Interval(line["low"], line["high"], 0, line["n"]) for line in lines}
+
+
+def _divide(source: _Columns | _Labelled, intervals: Intervals, bins: int) -> Intervals:
+    """Split every interval into at most ``bins`` equal-width bins, with exact counts."""
+    flat = [(i, k, p.ends) for i, parts in intervals.items() for k, p in enumerate(parts)]
+    lookup = F.create_map(
+        *[
+            cell
+            for i, k, (low, high) in flat
+            for cell in (
+                F.lit((i << 32) + k),
+                F.struct(F.lit(low / 2).alias("low"), F.lit(high / 2 - low / 2).alias("width")),
+            )
+        ]
     )
-    totals = counted.groupBy("spec", "region").agg(
-        F.sum("ties").alias("rows"), F.count("value").alias("distinct"), F.min("value").alias("low")
+    place = F.shiftleft(F.col("spec").cast("bigint"), 32) + F.col("place")
+    placed = source.inside(intervals).withColumn("ends", F.element_at(lookup, place))
+    # halves keep the width of the widest interval finite
+    position = (_number(F.col("value")) / 2 - F.col("ends.low")) / F.col("ends.width")
+    counted = (
+        placed.select(
+            "spec",
+            "place",
+            "value",
+            F.least(F.floor(position * bins), F.lit(bins - 1)).cast("int").alias("bin"),
+        )
+        .groupBy("spec", "place", "bin")
+        .agg(F.min("value").alias("low"), F.max("value").alias("high"), F.count("value").alias("n"))
+        .collect()  # at most ``bins`` lines per interval
     )
-    lines = sorted(totals.collect(), key=lambda r: (r["spec"], r["region"]))  # one per region
-    sizes: dict[int, int] = defaultdict(int)
-    for line in lines:
-        sizes[line["spec"]] += line["rows"]
+    before: dict[tuple[int, int], int] = {}
+    parts: Intervals = defaultdict(list)
+    for line in sorted(counted, key=lambda r: (r["spec"], r["place"], r["bin"])):
+        at = (line["spec"], line["place"])
+        below = before.get(at, intervals[at[0]][at[1]].below)
+        parts[at[0]].append(Interval(line["low"], line["high"], below, line["n"]))
+        before[at] = below + line["n"]
+    return parts
+
 
+def _locate(
+    source: _Columns | _Labelled, ranks: Sequence[Callable[[int], Sequence[int]]]
+) -> list[tuple[int, list[Found]]]:
+    """(row count, wanted order statistics) of every spec."""
+    whole = _whole(source.rows())
+    wanted = {i: sorted(set(ranks[i](p.rows))) for i, p in whole.items()}
     answers: dict[tuple[int, int], Found] = {}
-    lookups: list[tuple[int, int, int, list[int]]] = []
-    missed: set[int] = set()
-    before: dict[int, int] = defaultdict(int)
-    for line in lines:
-        spec, start = line["spec"], before[line["spec"]]
-        ranks = sorted(set(spots[spec].ranks(sizes[spec])))
-        inside = [r for r in ranks if start < r <= start + line["rows"]]
-        if inside and line["region"] % 2 == 0:
-            missed.add(spec)
-        elif inside and line["distinct"] == 1:
-            for r in inside:
-                answers[spec, r] = Found(r, line["low"], start, line["rows"])
-        elif inside:
-            lookups.append((spec, line["region"], start, inside))
-        before[spec] += line["rows"]
-    for spec, start, line in _inside(counted, lookups):
-        below = start + line["upto"] - line["ties"]
-        for r in spots[spec].ranks(sizes[spec]):
-            if below < r <= below + line["ties"]:
-                answers[spec, r] = Found(r, line["value"], below, line["ties"])
-    return {
-        spec: (n, [answers[spec, r] for r in spots[spec].ranks(n)])
-        for spec, n in sizes.items()
-        if spec not in missed
-    }
+    to_sort: Intervals = defaultdict(list)
+    pending: Intervals = {i: [p] for i, p in whole.items()}
+    while pending:
+        too_big: Intervals = defaultdict(list)
+        for i, parts in pending.items():
+            for p in parts:
+                inside = [r for r in wanted[i] if p.holds(r)]
+                if inside and p.single:
+                    answers |= {(i, r): Found(r, p.low, p.below, p.rows) for r in inside}
+                elif inside and (p.rows <= ONE_TASK or not p.divisible()):
+                    to_sort[i].append(p)
+                elif inside:
+                    too_big[i].append(p)
+        pending = _divide(source, too_big, BINS) if too_big else {}
+    if to_sort:
+        answers |= _sort_inside(source, to_sort, wanted)
+    return [
+        (whole[i].rows, [answers[i, r] for r in ranks[i](whole[i].rows)]) if i in whole else (0, [])
+        for i in range(source.n)
+    ]
 
 
-def _inside(counted: DataFrame, lookups: list[tuple[int, int, int, list[int]]]):
-    """The values at ranks inside brackets: (spec, rows before the bracket, line)."""
-    if not lookups:
-        return
-    span = Window.partitionBy("spec", "region").orderBy("value")
-    upto = F.sum("ties").over(span.rowsBetween(Window.unboundedPreceding, 0))
+def _sort_inside(
+    source: _Columns | _Labelled, intervals: Intervals, wanted: dict[int, list[int]]
+) -> dict[tuple[int, int], Found]:
+    """Rank the distinct values of small intervals and pick the wanted ones."""
+    for parts in intervals.values():
+        parts.sort(key=lambda p: p.below)
     places = F.create_map(
         *[
             cell
-            for spec, region, start, ranks in lookups
+            for i, parts in intervals.items()
+            for k, p in enumerate(parts)
             for cell in (
-                F.concat_ws("/", F.lit(spec), F.lit(region)),
-                F.array(*[F.lit(r - start).cast("bigint") for r in ranks]),
+                F.lit((i << 32) + k),
+                F.array(*[F.lit(r - p.below).cast("bigint") for r in wanted[i] if p.holds(r)]),
             )
         ]
     )
-    place = F.try_element_at(places, F.concat_ws("/", "spec", "region"))
-    ranked = (
-        counted.withColumn("upto", upto)
-        .withColumn("wanted", place)
-        .filter("exists(wanted, r -> r <= upto AND r > upto - ties)")
+    values = source.inside(intervals).groupBy("spec", "place", "value").agg(
+        F.count(F.lit(1)).alias("ties")
     )
-    starts = {(spec, region): start for spec, region, start, _ in lookups}
-    for line in ranked.collect():  # at most one line per wanted rank
-        yield line["spec"], starts[line["spec"], line["region"]], line
+    order = Window.partitionBy("spec", "place").orderBy("value")
+    upto = F.sum("ties").over(order.rowsBetween(Window.unboundedPreceding, 0))
+    place = F.shiftleft(F.col("spec").cast("bigint"), 32) + F.col("place")
+    picked = (
+        values.withColumn("upto", upto)
+        .withColumn("ranks", F.element_at(places, place))
+        .filter("exists(ranks, r -> r <= upto AND r > upto - ties)")
+    )
+    answers = {}
+    for line in picked.collect():  # at most one line per wanted rank
+        i = line["spec"]
+        below = intervals[i][line["place"]].below + line["upto"] - line["ties"]
+        for r in wanted[i]:
+            if below < r <= below + line["ties"]:
+                answers[i, r] = Found(r, line["value"], below, line["ties"])
+    return answers
+
+
+def order_statistics(df: DataFrame, wanted: dict[str, Wanted]) -> dict[str, tuple[int, list[Found]]]:
+    """Exact order statistics of several columns of one type: ``{name: (n, [Found, ...])}``."""
+    source = _Columns(df, [w.column for w in wanted.values()])
+    return dict(zip(wanted, _locate(source, [w.ranks for w in wanted.values()])))
 
 
 def exact_quantiles(
@@ -238,12 +297,7 @@ def exact_quantiles(
         spots = [p * (n - 1) for p in probabilities]
         return [int(k) + 1 for s in spots for k in (math.floor(s), math.ceil(s))]
 
-    wanted = {
-        c: Wanted(
-            F.col(c).cast("double"), [p for p in probabilities for _ in range(2)], neighbours
-        )
-        for c in columns
-    }
+    wanted = {c: Wanted(F.col(c).cast("double"), neighbours) for c in columns}
     result = {}
     for c, (n, found) in order_statistics(df, wanted).items():
         values: list[float | None] = []
@@ -278,19 +332,16 @@ def cut_points(
     df: DataFrame,
     orders: dict[str, Column],
     key: Column,
-    fractions: Sequence[float],
     ranks: Callable[[int], Sequence[int]],
 ) -> dict[str, tuple[int, list[Cut]]]:
     """Exact cuts after the given ranks, for several orders (value, key); ``key`` is unique."""
-    located = order_statistics(
-        df, {name: Wanted(value, fractions, ranks) for name, value in orders.items()}
-    )
-    # tied values that a cut goes through: (order, value) -> (ties, ranks among them)
-    split: dict[tuple[str, object], tuple[int, list[int]]] = {}
+    located = order_statistics(df, {name: Wanted(value, ranks) for name, value in orders.items()})
+    # tied values that a cut goes through: (order, value) -> ranks among the ties
+    split: dict[tuple[str, object], list[int]] = {}
     for name, (_, found) in located.items():
         for f in found:
             if f.rank - f.below < f.ties:
-                split.setdefault((name, f.value), (f.ties, []))[1].append(f.rank - f.below)
+                split.setdefault((name, f.value), []).append(f.rank - f.below)
     keys = _keys_among_ties(df, orders, key, split) if split else {}
     return {
         name: (n, [Cut(f.value, keys.get((name, f.value, f.rank - f.below))) for f in found])
@@ -302,7 +353,7 @@ def _keys_among_ties(
     df: DataFrame,
     orders: dict[str, Column],
     key: Column,
-    split: dict[tuple[str, object], tuple[int, list[int]]],
+    split: dict[tuple[str, object], list[int]],
 ) -> dict[tuple[str, object, int], object]:
     """The key at each wanted rank among the rows that share a value."""
     entries = []
@@ -316,50 +367,71 @@ def _keys_among_ties(
         if numbers:
             spec = F.try_element_at(F.create_map(*numbers), orders[name])
             entries.append(F.struct(spec.alias("spec"), key.alias("value")))
-    tied = df.select(F.inline(F.array(*entries))).filter("spec IS NOT NULL AND value IS NOT NULL")
-
-    def rows(pending: list[int]) -> DataFrame:
-        return tied.filter(F.col("spec").isin(pending))
-
-    def regions(brackets: dict[int, Brackets]) -> DataFrame:
-        def ends(side: int) -> Column:
-            lists = [
-                F.array(*[F.lit(b[side]) for b in brackets.get(i, [])]).cast("array<double>")
-                for i in range(len(split))
-            ]
-            return F.get(F.array(*lists), F.col("spec"))
-
-        x = F.col("value").cast("double")
-        region = F.size(F.filter(ends(0), lambda low: low <= x)) + F.size(
-            F.filter(ends(1), lambda high: high < x)
-        )
-        return rows(list(brackets)).select("spec", region.alias("region"), "value")
-
-    spots = [
-        Spot([r / ties for r in ranks], lambda _, r=tuple(ranks): r)
-        for ties, ranks in split.values()
-    ]
+    source = _Labelled(df.select(F.inline(F.array(*entries))), len(split))
+    located = _locate(source, [lambda _, r=tuple(ranks): r for ranks in split.values()])
     return {
         (name, value, f.rank): f.value
-        for (name, value), (_, found) in zip(split, _locate(rows, regions, spots))
+        for (name, value), (_, found) in zip(split, located)
         for f in found
     }
 
 
-def _value_ranges(df: DataFrame, column: str, pieces: int) -> tuple[list[float], list[float]]:
-    """Split points for similar-sized ranges, and the values that fill a whole range alone."""
-    probes = [i / pieces for i in range(1, pieces)]
-    marks = df.approxQuantile([column], probes, 1 / (4 * pieces))[0]
-    hot = sorted({a for a, b in zip(marks, marks[1:]) if a == b})
-    return sorted(set(marks)), hot
+# --- running totals ----------------------------------------------------------------------------
+
+
+@dataclass(frozen=True)
+class Ranges:
+    """Split points of similar-sized value ranges, and the values that fill a range alone."""
+
+    splits: list[float]
+    hot: list[float]
+
+
+def _ranges(df: DataFrame, columns: Sequence[str], pieces: int | None) -> list[Ranges] | None:
+    """Ranges of each column, or None when one task may sort all rows."""
+    source = _Columns(df, [F.col(c) for c in columns])
+    whole = _whole(source.rows())
+    n = max((p.rows for p in whole.values()), default=0)
+    pieces = pieces or min(MAX_RANGES, math.ceil(n / ONE_TASK))
+    if pieces <= 1:
+        return None
+    limit = {i: p.rows / pieces for i, p in whole.items()}
+    leaves: dict[int, list[Interval]] = defaultdict(list)
+    pending: Intervals = {}
+    for i, p in whole.items():
+        (pending.setdefault(i, []) if p.divisible() else leaves[i]).append(p)
+    bins = max(64, 4 * pieces)
+    while pending:
+        heavy: Intervals = defaultdict(list)
+        for i, parts in _divide(source, pending, bins).items():
+            for p in parts:
+                small = p.rows <= limit[i] or not p.divisible()
+                (leaves if small else heavy)[i].append(p)
+        pending, bins = heavy, 16  # at most ``pieces`` intervals are heavy
+    return [_similar_sizes(leaves[i], limit.get(i, 0)) for i in range(len(columns))]
+
+
+def _similar_sizes(leaves: list[Interval], limit: float) -> Ranges:
+    splits, hot, filled = [], [], math.inf
+    for leaf in sorted(leaves, key=lambda p: p.ends):
+        low = leaf.ends[0]
+        if leaf.rows > limit:
+            hot.append(low)
+        if filled + leaf.rows > limit:
+            splits.append(low)
+            filled = 0
+        filled += leaf.rows
+    return Ranges(sorted(set(splits)), sorted(set(hot)))
 
 
 def _bucket(df: DataFrame, column: str, splits: list[float], output: str) -> DataFrame:
-    if not splits:  # no rows, or no values
+    if not splits:  # no values
         return df.withColumn(output, F.lit(0.0))
-    edges = [-math.inf, *splits, math.inf]
     return Bucketizer(
-        splits=edges, inputCol=column, outputCol=output, handleInvalid="keep"
+        splits=[-math.inf, *splits, math.inf],
+        inputCol=column,
+        outputCol=output,
+        handleInvalid="keep",
     ).transform(df)
 
 
@@ -379,35 +451,39 @@ def running(
     ``tie`` is numeric, ascending and unique among equal ``order`` values, or None when ``order``
     is itself unique within ``by``. Rows whose order is NULL come last.
     """
-    conf = df.sparkSession.conf
-    pieces = pieces or min(4096, max(8, 2 * int(conf.get("spark.sql.shuffle.partitions"))))
+    combine = {"sum": F.sum, "max": F.max}
     value = F.col(order).cast("double")
     work = df.withColumn("_value", -value if descending else value)
-    splits, hot = _value_ranges(work, "_value", pieces)
-    work = _bucket(work, "_value", splits, "_range")
-    is_hot = F.col("_value").isin(hot) if hot else F.lit(False)
-    # inside [s, next) the hot value s is the first; it gets an even number, the rest an odd one
+    sort = [F.col("_value").asc_nulls_last()]
+    if tie is not None:
+        work = work.withColumn("_tie", F.col(tie).cast("double"))
+        sort.append(F.col(tie))
+    found = _ranges(work, ["_value"] if tie is None else ["_value", "_tie"], pieces)
+    upto = (Window.unboundedPreceding, Window.currentRow)
+    if found is None:
+        inside = Window.partitionBy(*by).orderBy(*sort).rowsBetween(*upto)
+        totals = {out: combine[kind](c).over(inside) for out, (kind, c) in measures.items()}
+        return work.withColumns(totals).select(*df.columns, *totals)
+
+    ranges = found[0]
+    work = _bucket(work, "_value", ranges.splits, "_range")
+    # inside [s, next) a hot s comes first; it gets an even number, the other values an odd one
+    spread = F.col("_value").isin(ranges.hot) if ranges.hot else F.lit(False)
     work = work.withColumn(
         "_range",
-        F.when(F.col("_value").isNull(), F.lit(float(2 * len(splits) + 9)))
-        .when(is_hot, 2 * F.col("_range"))
+        F.when(F.col("_value").isNull(), F.lit(2.0 * len(ranges.splits) + 9))
+        .when(spread, 2 * F.col("_range"))
         .otherwise(2 * F.col("_range") + 1),
     )
-    if tie is not None:
-        tie_value = F.col(tie).cast("double")
-        work = work.withColumn("_tie", tie_value)
-        tie_splits, _ = _value_ranges(work, "_tie", pieces)
-        work = _bucket(work, "_tie", tie_splits, "_tie_range").withColumn(
+    if tie is None:
+        work = work.withColumn("_tie_range", F.lit(0.0))
+    else:
+        work = _bucket(work, "_tie", found[1].splits, "_tie_range").withColumn(
             "_tie_range",
-            F.when(is_hot | F.col("_value").isNull(), F.col("_tie_range")).otherwise(0.0),
+            F.when(spread | F.col("_value").isNull(), F.col("_tie_range")).otherwise(0.0),
         )
-        sort = [F.col("_value").asc_nulls_last(), F.col(tie)]
-    else:
-        work = work.withColumn("_tie_range", F.lit(0.0))
-        sort = [F.col("_value").asc_nulls_last()]
 
     place = [*by, "_range", "_tie_range"]
-    combine = {"sum": F.sum, "max": F.max}
     subtotals = work.groupBy(*place).agg(
         *[combine[kind](c).alias(f"_{out}") for out, (kind, c) in measures.items()]
     )
@@ -423,19 +499,16 @@ def running(
             for out, (kind, _) in measures.items()
         ],
     )
-    same_place = [F.col(c).eqNullSafe(F.col(f"_at_{c}")) for c in place]
-    inside = (
-        Window.partitionBy(*place).orderBy(*sort).rowsBetween(Window.unboundedPreceding, 0)
-    )
-    joined = work.join(starts, same_place)
-    added = {}
+    joined = work.join(starts, [F.col(c).eqNullSafe(F.col(f"_at_{c}")) for c in place])
+    inside = Window.partitionBy(*place).orderBy(*sort).rowsBetween(*upto)
+    totals = {}
     for out, (kind, c) in measures.items():
         local = combine[kind](c).over(inside)
         start = F.col(f"_start_{out}")
-        added[out] = (
+        totals[out] = (
             F.greatest(local, start) if kind == "max" else F.coalesce(start, F.lit(0)) + local
         )
-    return joined.withColumns(added).select(*df.columns, *added)
+    return joined.withColumns(totals).select(*df.columns, *totals)
 
 
 def ranked(
@@ -446,9 +519,10 @@ def ranked(
     by: Sequence[str] = (),
     descending: bool = True,
     name: str = "rank",
+    pieces: int | None = None,
 ) -> DataFrame:
     """Row number in the order (order, tie), per group; rows without a value get no rank."""
     counted = running(
-        df, order, {name: ("sum", F.lit(1))}, tie=tie, by=by, descending=descending
+        df, order, {name: ("sum", F.lit(1))}, tie=tie, by=by, descending=descending, pieces=pieces
     )
     return counted.withColumn(name, F.when(F.col(order).isNotNull(), F.col(name)))

@@ -39,21 +39,30 @@ def test_exact_quantiles_match_sorting(spark):
     assert ordered.exact_quantiles(df, ["v"], probabilities)["v"] == pytest.approx(expected)
 
 
-def test_quantiles_when_the_sketch_misses(spark, monkeypatch):
-    """Brackets that are too narrow are widened until the rank is inside."""
-    real = ordered._sketch
-    calls = []
-
-    def wrong_first(rows, spots, pending, error):
-        calls.append(error)
-        return {i: [[10.0, 11.0]] for i in pending} if len(calls) == 1 else real(
-            rows, spots, pending, error
-        )
-
-    monkeypatch.setattr(ordered, "_sketch", wrong_first)
-    df = spark.range(1001).select(F.col("id").cast("double").alias("v"))
-    assert ordered.exact_quantiles(df, ["v"], [0.5])["v"] == [500.0]
-    assert len(calls) == 2
+@pytest.mark.parametrize("bins", [2, 7])
+def test_bins_are_divided_until_few_rows_are_left(spark, monkeypatch, bins):
+    """Heavy tails, a hot value, infinities and huge integers, with tasks of at most 20 rows."""
+    monkeypatch.setattr(ordered, "ONE_TASK", 20)
+    monkeypatch.setattr(ordered, "BINS", bins)
+    rng = random.Random(2)
+    values = [rng.lognormvariate(0, 6) for _ in range(300)] + [3.25] * 200
+    values += [math.inf, -math.inf, -1e308, 1e308, 0.0]
+    rng.shuffle(values)
+    df = spark.createDataFrame([(v,) for v in values], "v double").repartition(3)
+    ranks = [1, 2, 50, 150, 250, 400, 504, 505]
+    wanted = {"v": ordered.Wanted(F.col("v"), lambda _: ranks)}
+    n, found = ordered.order_statistics(df, wanted)["v"]
+    values.sort()
+    assert n == 505 and [f.value for f in found] == [values[r - 1] for r in ranks]
+    assert [f.below for f in found] == [values.index(f.value) for f in found]
+    assert [f.ties for f in found] == [values.count(f.value) for f in found]
+
+    big = [2**62 + i for i in range(100)]  # equal as doubles
+    ids = spark.createDataFrame([(i,) for i in big], "i bigint")
+    wanted = {"i": ordered.Wanted(F.col("i"), lambda _: [1, 60, 100])}
+    assert [f.value for f in ordered.order_statistics(ids, wanted)["i"][1]] == [
+        big[0], big[59], big[99]
+    ]
 
 
 def test_quantiles_of_nothing(spark):
@@ -68,9 +77,7 @@ def test_cut_points_split_at_the_exact_rank(spark, values):
     rows = [(i, "a", v) for i, v in enumerate(values)]
     df = spark.createDataFrame(rows, SCHEMA)
     wanted = sorted({max(1, len(values) // 3), max(1, len(values) // 2)})
-    n, cuts = ordered.cut_points(
-        df, {"v": F.col("v")}, F.col("id"), [r / len(values) for r in wanted], lambda _: wanted
-    )["v"]
+    n, cuts = ordered.cut_points(df, {"v": F.col("v")}, F.col("id"), lambda _: wanted)["v"]
     assert n == len(values)
     for rank, cut in zip(wanted, cuts):
         before = df.filter(cut.reached_by(F.col("v"), F.col("id"))).select("id").collect()
@@ -79,16 +86,12 @@ def test_cut_points_split_at_the_exact_rank(spark, values):
 
 
 @pytest.mark.parametrize("by", [[], ["g"]])
-@pytest.mark.parametrize("pieces", [3, 16])
-def test_ranked_matches_sorting(spark, by, pieces, monkeypatch):
+@pytest.mark.parametrize("pieces", [None, 3, 16])
+def test_ranked_matches_sorting(spark, by, pieces):
     rows = _skewed(2000)
     df = spark.createDataFrame(rows, SCHEMA).repartition(7)
-    conf = spark.conf.get("spark.sql.shuffle.partitions")
-    spark.conf.set("spark.sql.shuffle.partitions", str(pieces))
-    try:
-        got = {r["id"]: r["rank"] for r in ordered.ranked(df, "v", "id", by=by).collect()}
-    finally:
-        spark.conf.set("spark.sql.shuffle.partitions", conf)
+    ranks = ordered.ranked(df, "v", "id", by=by, pieces=pieces)
+    got = {r["id"]: r["rank"] for r in ranks.collect()}
     expected = {}
     for group in {g if by else None for _, g, _ in rows}:
         mine = [r for r in rows if r[2] is not None and (not by or r[1] == group)]
@@ -97,12 +100,14 @@ def test_ranked_matches_sorting(spark, by, pieces, monkeypatch):
     assert got == {r[0]: expected.get(r[0]) for r in rows}
 
 
-def test_running_maximum_and_sum(spark):
+@pytest.mark.parametrize("pieces", [None, 9])
+def test_running_maximum_and_sum(spark, pieces):
     rows = [(i, "a" if i % 3 else "b", float((i * 37) % 101)) for i in range(500)]
     df = spark.createDataFrame(rows, SCHEMA).repartition(6)
     got = ordered.running(
-        df, "id", {"best": ("max", F.col("v")), "total": ("sum", F.col("v"))}, by=["g"]
-    ).collect()
+        df, "id", {"best": ("max", F.col("v")), "total": ("sum", F.col("v"))}, by=["g"],
+        pieces=pieces,
+    ).collect()
     best, total = {}, {}
     expected = {}
     for i, g, v in rows:
@@ -112,26 +117,34 @@ def test_running_maximum_and_sum(spark):
     assert {r["id"]: (r["best"], r["total"]) for r in got} == expected
 
 
-def test_hot_value_is_spread_over_ranges(spark, monkeypatch):
-    """A value held by most rows is ranked in many small windows, not in one."""
-    seen = {}
-    real = ordered._bucket
-
-    def watch(df, column, splits, output):
-        seen[output] = splits
-        return real(df, column, splits, output)
-
-    monkeypatch.setattr(ordered, "_bucket", watch)
-    df = spark.range(20000).select(
-        F.col("id"), F.when(F.col("id") % 4 > 0, 0.5).otherwise(F.rand(1)).alias("v")
-    )
-    ranks = ordered.running(df, "v", {"n": ("sum", F.lit(1))}, tie="id", pieces=16)
-    assert ranks.agg(F.countDistinct("n"), F.max("n")).first() == (20000, 20000)
-    splits = [-math.inf, *seen["_tie_range"], math.inf]
-    sizes = [sum(1 for i in range(20000) if i % 4 and a <= i < b) for a, b in zip(splits, splits[1:])]
-    assert max(sizes) < 20000 / 8
-
-
-def test_empty_input(spark):
+@pytest.mark.parametrize("shape", ["uniform", "heavy tail", "hot"])
+def test_no_range_holds_much_more_than_its_share(spark, monkeypatch, shape):
+    """Whatever the distribution, the windows stay small; a hot value is spread by its ties."""
+    n, pieces = 20000, 16
+    value = {
+        "uniform": F.rand(1),
+        "heavy tail": F.exp(F.randn(1) * 5),
+        "hot": F.when(F.col("id") % 4 > 0, 0.5).otherwise(F.rand(1)),
+    }[shape]
+    df = spark.range(n).select("id", value.alias("v")).cache()
+    sizes = []
+    real = type(df).join
+
+    def watch(self, other, *args, **kwargs):
+        if "_tie_range" in self.columns:
+            sizes.extend(r["count"] for r in self.groupBy("_range", "_tie_range").count().collect())
+        return real(self, other, *args, **kwargs)
+
+    monkeypatch.setattr(type(df), "join", watch)
+    ranks = ordered.running(df, "v", {"n": ("sum", F.lit(1))}, tie="id", pieces=pieces)
+    assert ranks.agg(F.countDistinct("n"), F.max("n")).first() == (n, n)
+    assert max(sizes) <= 2 * n / pieces
+
+
+@pytest.mark.parametrize("pieces", [None, 8])
+def test_empty_input(spark, pieces):
     df = spark.createDataFrame([], SCHEMA)
-    assert ordered.ranked(df, "v", "id").collect() == []
+    assert ordered.ranked(df, "v", "id", pieces=pieces).collect() == []
+    missing = spark.createDataFrame([(1, "a", None), (2, "a", None)], SCHEMA)
+    ranks = ordered.ranked(missing, "v", "id", pieces=pieces).collect()
+    assert [r["rank"] for r in ranks] == [None, None]
