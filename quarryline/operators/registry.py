@@ -8,13 +8,15 @@ state of a model version is its latest event; nothing is updated in place.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarryline.functions.scalars import elapsed_seconds, run_name, without_model
-from quarryline.operators.ordered import running
+from quarryline.operators.ordered import ONE_TASK, running
+from quarryline.session import new_path
 from quarryline.sources.tables import path_exists
 
 NO_STAGE, STAGING, PRODUCTION, ARCHIVED = "None", "Staging", "Production", "Archived"
@@ -141,41 +143,105 @@ def promotion_gate(candidates: DataFrame, production: DataFrame, gain: float = 0
 def promotion_history(
     runs: DataFrame, group: str, order: str, score: str, gain: float = 0.03
 ) -> DataFrame:
-    """Replay the gate over the whole history of every model: the promoted runs, in order.
+    """Replay the gate over the whole history of every model: the promoted runs, numbered.
 
-    Only a run that is at least as good as all earlier ones can be promoted (unless scores are
-    negative, where the required score lies below the one in production). Those candidates are
-    found with a distributed running maximum; the replay itself then streams over the few that
-    remain, keeping one number per group.
+    A run can only be promoted if it is at least as good as all earlier ones (unless those are
+    negative, where the required score lies below the one in production). Such candidates are found
+    with a running maximum. Without a required gain they are all promoted. Otherwise the replay
+    streams over the candidates of a model, keeping one number; a model with more candidates than
+    one task should see is replayed by search, one promotion per round.
     """
+    if gain < 0:
+        raise ValueError("the history needs a gain of at least 0")
     scored = runs.filter(F.col(score).isNotNull()).select(
-        group, F.col(order).alias("_order"), F.col(score).cast("double").alias("_score")
+        F.col(group).alias("_group"),
+        F.col(order).alias("_order"),
+        F.col(score).cast("double").alias("_score"),
     )
-    if gain >= 0:
-        seen = running(scored, "_order", {"_best": ("max", F.col("_score"))}, by=[group])
-        scored = seen.filter((F.col("_score") >= F.col("_best")) | (F.col("_best") < 0)).drop("_best")
-    ordered = scored.repartition(group).sortWithinPartitions(group, "_order")
-    kind = dict(scored.dtypes)
+    seen = running(scored, "_order", {"_best": ("max", F.col("_score"))}, by=["_group"])
+    record = F.col("_score") >= F.col("_best")
+    if gain == 0:
+        promoted = running(
+            seen.filter(record), "_order", {"_number": ("sum", F.lit(1))}, by=["_group"]
+        )
+    else:
+        candidates = seen.filter(record | (F.col("_best") < 0)).drop("_best")
+        promoted = _replayed(candidates, gain)
+    return promoted.select(
+        F.col("_group").alias(group),
+        F.col("_order").alias(order),
+        F.col("_score").alias(score),
+        F.col("_number").cast("bigint").alias("promotion"),
+    )
+
+
+def _replayed(candidates: DataFrame, gain: float) -> DataFrame:
+    spark = candidates.sparkSession
+    stored = new_path(spark, "candidates")
+    candidates.write.parquet(stored)
+    candidates = spark.read.parquet(stored)
+    sizes = candidates.groupBy("_group").agg(F.count(F.lit(1)).alias("_n"))
+    large = sizes.filter(F.col("_n") > ONE_TASK)
+    if large.isEmpty():
+        return _replay_in_order(candidates, gain)
+    names = large.select(F.col("_group").alias("_name"))
+    is_large = F.col("_group").eqNullSafe(F.col("_name"))
+    few = _replay_in_order(candidates.join(names, is_large, "left_anti"), gain)
+    return few.unionByName(_replay_by_search(candidates.join(names, is_large, "left_semi"), gain))
+
+
+def _replay_in_order(candidates: DataFrame, gain: float) -> DataFrame:
+    """One pass over each model's candidates in time order, with constant memory."""
 
     def replay(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         current, bar, number = None, 0.0, 0
         for batch in batches:
             kept = []
-            for name, place, value in zip(batch[group], batch["_order"], batch["_score"]):
+            for name, place, value in zip(batch["_group"], batch["_order"], batch["_score"]):
                 if current is None or name != current:
                     current, number = name, 0
                 elif value < bar * (1.0 + gain):
                     continue
                 bar, number = value, number + 1
                 kept.append((name, place, value, number))
-            yield pd.DataFrame(kept, columns=[group, order, score, "promotion"])
+            yield pd.DataFrame(kept, columns=["_group", "_order", "_score", "_number"])
 
-    schema = (
-        f"`{group}` {kind[group]}, `{order}` {kind['_order']}, `{score}` double, promotion bigint"
-    )
+    kind = dict(candidates.dtypes)
+    schema = f"_group {kind['_group']}, _order {kind['_order']}, _score double, _number bigint"
+    ordered = candidates.repartition("_group").sortWithinPartitions("_group", "_order")
     return ordered.mapInPandas(replay, schema)
 
 
+def _replay_by_search(candidates: DataFrame, gain: float) -> DataFrame:
+    """Find the next promotion of every model at once, until no model has one.
+
+    Each round is a map-side minimum over the candidates; with a gain, the rounds are as many as
+    the score can rise by that factor. Rounds are written, so a lost executor repeats one round.
+    """
+    spark = candidates.sparkSession
+    root = new_path(spark, "promotions")
+    first = F.min("_order").alias("_order"), F.min_by("_score", "_order").alias("_score")
+    step = candidates.groupBy("_group").agg(*first)
+    written: list[DataFrame] = []
+    while True:
+        path = f"{root}/{len(written)}"
+        step.write.parquet(path)
+        state = spark.read.schema(candidates.schema).parquet(path)
+        if state.isEmpty():
+            break
+        written.append(state.withColumn("_number", F.lit(len(written) + 1).cast("bigint")))
+        bar = state.select(
+            F.col("_group").alias("_name"),
+            F.col("_order").alias("_since"),
+            (F.col("_score") * (F.lit(1.0) + F.lit(float(gain)))).alias("_bar"),
+        )
+        better = candidates.join(bar, F.col("_group").eqNullSafe(F.col("_name"))).filter(
+            (F.col("_order") > F.col("_since")) & (F.col("_score") >= F.col("_bar"))
+        )
+        step = better.groupBy("_group").agg(*first)
+    return reduce(DataFrame.unionByName, written)
+
+
 # --- the stored log ----------------------------------------------------------------------------
 
 

@@ -25,6 +25,7 @@ from pyspark.ml.feature import (
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.param.shared import HasInputCol, HasOutputCol
+from pyspark.ml.stat import Summarizer
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -267,14 +268,11 @@ def mle_dimension(eigenvalues: Sequence[float], n: int) -> int:
 
 def fit_pca(df: DataFrame, vector: str, output: str) -> list[Transformer]:
     """Principal components with the dimension chosen by evidence: [PCA on all, first k]."""
-    width = df.select(F.size(vector_to_array(vector))).first()[0]
-    full = PCA(k=width, inputCol=vector, outputCol=f"{output}_all").fit(df)
-    x = vector_to_array(vector)
-    seen = df.agg(
-        F.count(F.lit(1)).alias("n"), *[F.var_samp(x[i]).alias(f"v{i}") for i in range(width)]
-    ).first()
-    total = sum(seen[f"v{i}"] or 0.0 for i in range(width))
-    k = mle_dimension([share * total for share in full.explainedVariance.toArray()], seen["n"])
+    seen = df.agg(Summarizer.metrics("count", "variance").summary(F.col(vector)).alias("s")).first()
+    n, variances = seen["s"]["count"], seen["s"]["variance"].toArray()
+    full = PCA(k=len(variances), inputCol=vector, outputCol=f"{output}_all").fit(df)
+    total = float(variances.sum())
+    k = mle_dimension([share * total for share in full.explainedVariance.toArray()], n)
     first = VectorSlicer(inputCol=f"{output}_all", outputCol=output, indices=list(range(k)))
     return [full, first]
 

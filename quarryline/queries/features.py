@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -112,14 +112,35 @@ def pca_covariance(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(tr.covariance_table(items, ITEM_NUMBERS), 4, "cov")
 
 
+def _vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "embeddings").select(
+        "vec_id", array_to_vector(F.col("embedding").cast("array<double>")).alias("vector")
+    )
+
+
+@query(
+    """WITH entries AS (SELECT unnest(embedding) AS x, generate_subscripts(embedding, 1) AS i
+      FROM embeddings),
+    variances AS (SELECT i, var_samp(CAST(x AS DOUBLE)) AS v FROM entries GROUP BY i)
+    SELECT count(*) AS n_components, round(sum(v), 6) AS variance FROM variances"""
+)
+def pca_total_variance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All components together carry the variance of the vectors."""
+    vectors = _vectors(spark, sf_dir)
+    full, _ = tr.fit_pca(vectors, "vector", "components")
+    entries = full.transform(vectors).select(
+        F.posexplode(vector_to_array("components_all")).alias("i", "x")
+    )
+    variances = entries.groupBy("i").agg(F.var_samp("x").alias("v"))
+    return variances.agg(
+        F.count(F.lit(1)).alias("n_components"), F.round(F.sum("v"), 6).alias("variance")
+    )
+
+
 @query()
 def pca_project(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Embeddings on their principal components; how many is decided by the evidence."""
-    from pyspark.ml.functions import array_to_vector
-
-    vectors = table(spark, sf_dir, "embeddings").select(
-        "vec_id", array_to_vector(F.col("embedding").cast("array<double>")).alias("vector")
-    )
+    vectors = _vectors(spark, sf_dir)
     projected = vectors
     for stage in tr.fit_pca(vectors, "vector", "components"):
         projected = stage.transform(projected)

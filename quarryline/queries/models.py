@@ -122,6 +122,18 @@ def logistic_regression(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _classify(spark, sf_dir, sp.LOGISTIC, Prep(scaler=STANDARD), C="0.5")
 
 
+@query(
+    """SELECT count(*) AS n, round(avg(CAST(1 - quality AS DOUBLE)), 4) AS mean_score
+    FROM documents JOIN labels USING (doc_id)"""
+)
+def logistic_mean_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The intercept is not penalised, so the mean score is the share of positives."""
+    scored = logistic_regression(spark, sf_dir)
+    return scored.agg(
+        F.count(F.lit(1)).alias("n"), F.round(F.avg("score"), 4).alias("mean_score")
+    )
+
+
 @query()
 def linear_svc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _classify(spark, sf_dir, sp.LINEAR_SVC, Prep(scaler=STANDARD), C="0.5")
@@ -189,6 +201,16 @@ def elastic_net(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _regress(spark, sf_dir, sp.ELASTIC_NET, prep, alpha="0.5", l1_ratio="0.3")
 
 
+@query("SELECT count(*) AS n, round(avg(l_extendedprice), 3) AS mean_score FROM lineitem")
+def elastic_net_mean_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The intercept is not penalised, so the mean prediction is the mean of the label."""
+    df = reg(spark, sf_dir)
+    fitted = _fit(df, "", sp.ELASTIC_NET, Prep(scaler=STANDARD), alpha="0.2", l1_ratio="0.5")
+    return m.score_rows(fitted, df).agg(
+        F.count(F.lit(1)).alias("n"), F.round(F.avg("score"), 3).alias("mean_score")
+    )
+
+
 @query()
 def random_forest_regressor(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _regress(spark, sf_dir, sp.RANDOM_FOREST_REGRESSOR, Prep(), max_samples="0.8")

@@ -98,9 +98,14 @@ def test_gate(spark, best, bar, gain, expected):
     assert line.first()[0] is expected
 
 
-@pytest.mark.parametrize("kind", ["random", "rising", "falling", "negative"])
-@pytest.mark.parametrize("gain", [0.0, 0.05])
-def test_promotion_history_equals_a_plain_replay(spark, kind, gain):
+@pytest.mark.parametrize("kind,gain,one_task", [
+    ("random", 0.0, 1_000_000), ("random", 0.05, 1_000_000), ("rising", 0.0, 1_000_000),
+    ("rising", 0.05, 1_000_000), ("falling", 0.05, 1_000_000), ("negative", 0.05, 1_000_000),
+    ("rising", 0.05, 100), ("negative", 0.05, 100),
+])
+def test_promotion_history_equals_a_plain_replay(spark, kind, gain, one_task, monkeypatch):
+    """With small tasks the models with many candidates are replayed by search."""
+    monkeypatch.setattr(r, "ONE_TASK", one_task)
     rng = random.Random(11)
     rows = []
     for i in range(600):  # one model holds a third of the runs
