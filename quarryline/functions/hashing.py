@@ -10,6 +10,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 HASH_BITS = 48
+HASH_BOUNDS = (0.0, float((1 << HASH_BITS) - 1))
 
 
 def key_hash(*parts: Column | str | int) -> Column:

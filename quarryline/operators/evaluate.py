@@ -58,13 +58,14 @@ def confusion_matrix(
 
 def score_curve(df: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """Per distinct score, highest first: cases at it (pos, neg) and at or above it (tp, fp)."""
-    at_score = df.filter(F.col("score").isNotNull()).groupBy(*by, "score").agg(*_counts())
+    scored = df.filter(F.col("score").isNotNull())
     return running(
-        at_score,
+        scored.groupBy(*by, "score").agg(*_counts()),
         "score",
         {"tp": ("sum", F.col("pos")), "fp": ("sum", F.col("neg"))},
         by=by,
         descending=True,
+        like=scored,
     )
 
 

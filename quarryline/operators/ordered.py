@@ -43,10 +43,14 @@ class Found:
 
 @dataclass(frozen=True)
 class Wanted:
-    """A column (NULLs are left out) and the ranks to look up, given its exact row count."""
+    """A column (NULLs are left out) and the ranks to look up, given its exact row count.
+
+    ``bounds`` that are known beforehand save the pass that finds the lowest and highest value.
+    """
 
     column: Column
     ranks: Callable[[int], Sequence[int]]
+    bounds: tuple[float, float] | None = None
 
 
 @dataclass(frozen=True)
@@ -107,11 +111,9 @@ class _Columns:
 
     @staticmethod
     def _stacked(df: DataFrame, fields: dict[int, list[Column]]) -> DataFrame:
+        # also for one spec: filters then see the value, and do not compute its expression again
         entries = [F.struct(F.lit(i).alias("spec"), *columns) for i, columns in fields.items()]
-        if len(entries) == 1:
-            rows = df.select(entries[0].alias("e")).select("e.*")
-        else:
-            rows = df.select(F.inline(F.array(*entries)))
+        rows = df.select(F.inline(F.array(*entries)))
         return rows.filter("value IS NOT NULL AND NOT isnan(value)")
 
 
@@ -216,14 +218,20 @@ def _divide(source: _Columns | _Labelled, intervals: Intervals, bins: int) -> In
 
 
 def _locate(
-    source: _Columns | _Labelled, ranks: Sequence[Callable[[int], Sequence[int]]]
+    source: _Columns | _Labelled,
+    ranks: Sequence[Callable[[int], Sequence[int]]],
+    bounds: Sequence[tuple[float, float]] | None = None,
 ) -> list[tuple[int, list[Found]]]:
     """(row count, wanted order statistics) of every spec."""
-    whole = _whole(source.rows())
-    wanted = {i: sorted(set(ranks[i](p.rows))) for i, p in whole.items()}
+    if bounds is None:
+        pending: Intervals = {i: [p] for i, p in _whole(source.rows()).items()}
+    else:
+        everything = {i: [Interval(low, high, 0, 0)] for i, (low, high) in enumerate(bounds)}
+        pending = _divide(source, everything, BINS)
+    sizes = {i: parts[-1].below + parts[-1].rows for i, parts in pending.items()}
+    wanted = {i: sorted(set(ranks[i](n))) for i, n in sizes.items()}
     answers: dict[tuple[int, int], Found] = {}
     to_sort: Intervals = defaultdict(list)
-    pending: Intervals = {i: [p] for i, p in whole.items()}
     while pending:
         too_big: Intervals = defaultdict(list)
         for i, parts in pending.items():
@@ -239,7 +247,7 @@ def _locate(
     if to_sort:
         answers |= _sort_inside(source, to_sort, wanted)
     return [
-        (whole[i].rows, [answers[i, r] for r in ranks[i](whole[i].rows)]) if i in whole else (0, [])
+        (sizes[i], [answers[i, r] for r in ranks[i](sizes[i])]) if i in sizes else (0, [])
         for i in range(source.n)
     ]
 
@@ -285,7 +293,9 @@ def _sort_inside(
 def order_statistics(df: DataFrame, wanted: dict[str, Wanted]) -> dict[str, tuple[int, list[Found]]]:
     """Exact order statistics of several columns of one type: ``{name: (n, [Found, ...])}``."""
     source = _Columns(df, [w.column for w in wanted.values()])
-    return dict(zip(wanted, _locate(source, [w.ranks for w in wanted.values()])))
+    bounds = [w.bounds for w in wanted.values()]
+    known = bounds if None not in bounds else None
+    return dict(zip(wanted, _locate(source, [w.ranks for w in wanted.values()], known)))
 
 
 def exact_quantiles(
@@ -333,9 +343,12 @@ def cut_points(
     orders: dict[str, Column],
     key: Column,
     ranks: Callable[[int], Sequence[int]],
+    bounds: tuple[float, float] | None = None,
 ) -> dict[str, tuple[int, list[Cut]]]:
     """Exact cuts after the given ranks, for several orders (value, key); ``key`` is unique."""
-    located = order_statistics(df, {name: Wanted(value, ranks) for name, value in orders.items()})
+    located = order_statistics(
+        df, {name: Wanted(value, ranks, bounds) for name, value in orders.items()}
+    )
     # tied values that a cut goes through: (order, value) -> ranks among the ties
     split: dict[tuple[str, object], list[int]] = {}
     for name, (_, found) in located.items():
@@ -444,12 +457,15 @@ def running(
     by: Sequence[str] = (),
     descending: bool = False,
     pieces: int | None = None,
+    like: DataFrame | None = None,
 ) -> DataFrame:
     """Add cumulative measures (inclusive of the current row) in the order (order, tie).
 
     ``measures`` maps an output name to ``("sum" | "max", column)``. ``order`` is numeric;
     ``tie`` is numeric, ascending and unique among equal ``order`` values, or None when ``order``
-    is itself unique within ``by``. Rows whose order is NULL come last.
+    is itself unique within ``by``. Rows whose order is NULL come last. ``like`` is a table with
+    the same ``order`` values that is cheaper to read, e.g. the rows before an aggregation; the
+    ranges are then taken from it.
     """
     combine = {"sum": F.sum, "max": F.max}
     value = F.col(order).cast("double")
@@ -458,7 +474,10 @@ def running(
     if tie is not None:
         work = work.withColumn("_tie", F.col(tie).cast("double"))
         sort.append(F.col(tie))
-    found = _ranges(work, ["_value"] if tie is None else ["_value", "_tie"], pieces)
+    if like is not None and tie is None:
+        found = _ranges(like.select((-value if descending else value).alias("_value")), ["_value"], pieces)
+    else:
+        found = _ranges(work, ["_value"] if tie is None else ["_value", "_tie"], pieces)
     upto = (Window.unboundedPreceding, Window.currentRow)
     if found is None:
         inside = Window.partitionBy(*by).orderBy(*sort).rowsBetween(*upto)
