@@ -41,17 +41,21 @@ def clean_feature_name(name: Column) -> Column:
     return F.regexp_replace(name, "(non_)?numeric__", "")
 
 
+def _without_prefix(text: Column, prefix: str) -> Column:
+    return F.when(text.startswith(prefix), F.substr(text, F.lit(len(prefix) + 1))).otherwise(text)
+
+
 def friendly_param_name(path: Column) -> Column:
     """Short name of a parameter path, e.g. ``prep__numeric__imputer__transformer`` -> imputer."""
-    step = F.regexp_replace(
-        F.regexp_replace(path, "__transformer$", ""), "^prep__(non_)?numeric__", ""
-    )
+    suffix = "__transformer"
+    step = F.substr(path, F.lit(1), F.length(path) - len(suffix))
+    step = _without_prefix(_without_prefix(step, "prep__numeric__"), "prep__non_numeric__")
     return (
         F.when(
             path == "prep__savings_status__savings_encoder__transformer", "savings_status_encoder"
         )
-        .when(path.startswith("model__"), F.regexp_replace(path, "^model__", ""))
-        .when(path.endswith("__transformer"), step)
+        .when(path.startswith("model__"), _without_prefix(path, "model__"))
+        .when(path.endswith(suffix), step)
         .otherwise(path)
     )
 
@@ -67,9 +71,27 @@ def friendly_params(params: Column) -> Column:
         ordered,
         lambda e: F.struct(friendly_param_name(e["key"]).alias("key"), e["value"].alias("value")),
     )
-    names = F.transform(renamed, lambda e: e["key"])
-    firsts = F.filter(renamed, lambda e, i: F.array_position(names, e["key"]) == i + 1)
-    return F.map_from_entries(firsts)
+    nothing = F.create_map().cast("map<string, string>")
+    return F.aggregate(
+        renamed,
+        nothing,
+        lambda kept, e: F.when(F.map_contains_key(kept, e["key"]), kept).otherwise(
+            F.map_concat(kept, F.create_map(e["key"], e["value"]))
+        ),
+    )
+
+
+def param_value(params: Column, name: str) -> Column:
+    """The value of one parameter by its short name, looked up under the paths it may have."""
+    paths = [
+        f"model__{name}",
+        name,
+        f"prep__numeric__{name}__transformer",
+        f"prep__non_numeric__{name}__transformer",
+    ]
+    if name == "savings_status_encoder":
+        paths.append("prep__savings_status__savings_encoder__transformer")
+    return F.coalesce(*[F.try_element_at(params, F.lit(path)) for path in paths])
 
 
 def without_model(params: Column) -> Column:

@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarryline.functions.scalars import friendly_params
+from quarryline.functions.scalars import friendly_params, param_value
 from quarryline.operators.ordered import ranked, running
 
 
@@ -73,11 +73,10 @@ def trial_table(
     num_rows: int | None = None,
 ) -> DataFrame:
     """One row per trial with a column per short parameter name; ranks are over all trials."""
-    table = trial_rank(trials) if include_rank else trials
-    short = friendly_params(F.col("params"))
-    table = table.withColumn("params", short)
-    columns = [c for c in table.columns if c not in ("params", *parameters)]
-    wide = table.select(*columns, *[F.col("params")[p].alias(p) for p in parameters])
+    columns = [c for c in trials.columns if c not in ("params", *parameters)]
+    wide = trials.select(*columns, *[param_value(F.col("params"), p).alias(p) for p in parameters])
+    if include_rank:
+        wide = trial_rank(wide)
     if query:
         wide = wide.filter(query)
     if num_rows is not None:

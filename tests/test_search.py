@@ -3,7 +3,12 @@
 import pytest
 from pyspark.sql import functions as F
 
-from quarryline.functions.scalars import clean_feature_name, friendly_param_name, friendly_params
+from quarryline.functions.scalars import (
+    clean_feature_name,
+    friendly_param_name,
+    friendly_params,
+    param_value,
+)
 from quarryline.models.estimators import Limits
 from quarryline.operators import search_space as sp
 from quarryline.operators.registry import RunLog
@@ -33,6 +38,10 @@ def test_friendly_names(spark):
     clash = {"prep__numeric__x__transformer": "late", "model__x": "first"}
     line = spark.createDataFrame([(clash,)], "p map<string, string>")
     assert line.select(friendly_params(F.col("p"))).first()[0] == {"x": "first"}
+    assert line.select(param_value(F.col("p"), "x")).first()[0] == "first"
+    values = spark.createDataFrame([({p: s for p, s in FRIENDLY.items()},)], "p map<string, string>")
+    for short in FRIENDLY.values():
+        assert values.select(param_value(F.col("p"), short)).first()[0] == short
     names = spark.createDataFrame([("numeric__a",), ("non_numeric__b_x",)], "n string")
     cleaned = [r[0] for r in names.select(clean_feature_name(F.col("n"))).collect()]
     assert cleaned == ["a", "b_x"]
