@@ -40,6 +40,8 @@ def keys_at(df: DataFrame, key: str, positions: Sequence[int]) -> dict[int, obje
     if last < FEW_ROWS:  # per-task top-k, never a full sort
         head = [r[0] for r in df.select(key).orderBy(key).limit(last + 1).collect()]
         return {p: head[p] for p in positions if p < len(head)}
+    if key not in numeric_columns(df):
+        raise TypeError(f"positions from {FEW_ROWS} on need a numeric key, not {key!r}")
     n = df.count()
     inside = [p for p in positions if p < n]
     if not inside:

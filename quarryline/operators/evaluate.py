@@ -72,11 +72,12 @@ def score_curve(df: DataFrame, by: Sequence[str] = ()) -> DataFrame:
 def _area_roc() -> Column:
     """Aggregate over ``score_curve``: chance that a positive outscores a negative, ties half."""
     outscored = F.sum(F.col("pos") * (F.col("fp") - F.col("neg") / F.lit(2.0)))
-    return F.lit(1.0) - ratio(outscored, (F.sum("pos") * F.sum("neg")).cast("double"))
+    pairs = F.sum("pos").cast("double") * F.sum("neg").cast("double")
+    return F.lit(1.0) - ratio(outscored, pairs)
 
 
 def _average_precision() -> Column:
-    gained = F.sum(F.col("pos") * F.col("tp") / (F.col("tp") + F.col("fp")))
+    gained = F.sum(F.col("pos").cast("double") * F.col("tp") / (F.col("tp") + F.col("fp")))
     return ratio(gained, F.sum("pos").cast("double"))
 
 

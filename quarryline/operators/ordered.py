@@ -345,7 +345,10 @@ def cut_points(
     ranks: Callable[[int], Sequence[int]],
     bounds: tuple[float, float] | None = None,
 ) -> dict[str, tuple[int, list[Cut]]]:
-    """Exact cuts after the given ranks, for several orders (value, key); ``key`` is unique."""
+    """Exact cuts after the given ranks, for several orders (value, key).
+
+    ``key`` is numeric and unique; it is looked at only where a cut goes through equal values.
+    """
     located = order_statistics(
         df, {name: Wanted(value, ranks, bounds) for name, value in orders.items()}
     )

@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 
 from quarryline.operators import transform as tr
 from quarryline.queries.catalog import query, rounded
-from quarryline.queries.profiling import EDITED
 from quarryline.queries.tables import LOAN, NUMBERED, etl_transform
 from quarryline.queries.views import loan, table
 

@@ -7,12 +7,14 @@ from pyspark.sql import functions as F
 
 from quarryline.functions import scalars
 from quarryline.operators import edit
+from quarryline.operators.split import train_test_split
 from quarryline.plans.etl import transform
 from quarryline.queries.catalog import query, rounded, stamp
 from quarryline.queries.views import (
     LOAN_SQL,
     PARAM_SQL,
     RUN_SQL,
+    SCHEMAS,
     TRIAL_SCORES_SQL,
     TRIAL_SQL,
     loan,
@@ -33,7 +35,7 @@ RUN = with_views(RUN_SQL)
 
 @query("SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer")
 def scan_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return io.read_table(spark, f"{sf_dir}/customer.parquet")
+    return io.read_table(spark, f"{sf_dir}/customer.parquet", SCHEMAS["customer"])
 
 
 @query(f"{LOAN} SELECT count(*) AS n_rows, CAST(8 AS INTEGER) AS n_columns FROM loan")
@@ -62,8 +64,6 @@ def processed_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     SELECT app_id, target, CASE WHEN is_test THEN 'test' ELSE 'train' END AS split FROM split"""
 )
 def artifact_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from quarryline.operators.split import train_test_split
-
     root = new_path(spark, "store")
     io.save_dataset(train_test_split(loan(spark, sf_dir, "target"), "app_id"), root, "1")
     absent = io.load_dataset(spark, root, "2")
@@ -184,7 +184,7 @@ def trials_head(spark: SparkSession, sf_dir: str) -> DataFrame:
     FROM part"""
 )
 def feature_name_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
-    part = spark.read.parquet(f"{sf_dir}/part.parquet")
+    part = table(spark, sf_dir, "part")
     size = F.col("p_size") % 3
     encoded = (
         F.when(size == 0, F.concat(F.lit("numeric__"), "p_name"))

@@ -11,6 +11,7 @@ from quarryline.queries.views import (
     PARAM_SQL,
     TRIAL_SCORES_SQL,
     TRIAL_SQL,
+    table,
     trial,
     trial_scores,
     with_views,
@@ -84,7 +85,7 @@ def performance_across_trials(spark: SparkSession, sf_dir: str) -> DataFrame:
     ORDER BY p_retailprice DESC, p_partkey LIMIT 20"""
 )
 def top_k_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pairs = spark.read.parquet(f"{sf_dir}/part.parquet").select(
+    pairs = table(spark, sf_dir, "part").select(
         "p_partkey", F.col("p_name").alias("feature"), F.col("p_retailprice").alias("importance")
     )
     return t.top_k(pairs, "importance", "p_partkey", 20)

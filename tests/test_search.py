@@ -11,8 +11,10 @@ from quarryline.functions.scalars import (
 )
 from quarryline.models.estimators import Limits
 from quarryline.operators import search_space as sp
+from quarryline.operators import trials as trials_ops
 from quarryline.operators.registry import RunLog
 from quarryline.plans.experiment import is_promoted, run_experiment
+from quarryline.plans.report import compare_last_run
 from quarryline.plans.search import SearchSettings, search
 from quarryline.session import new_path
 from quarryline.sources import tables as io
@@ -109,6 +111,12 @@ def test_search_keeps_fold_scores_and_refits_the_best(spark, cases):
     assert trials[best]["params"] == result.best_params
     assert result.model.transform(cases).count() == 240
 
+    table = trials_ops.trial_table(result.trials, ["max_depth", "imputer"]).collect()
+    assert sorted(r["rank"] for r in table) == list(range(1, 11))
+    assert next(r["trial_id"] for r in table if r["rank"] == 1) == best
+    families = trials_ops.best_per_model(result.trials.select("trial_id", "model", "score"))
+    assert families.count() == 5
+
 
 def test_search_with_no_second_class_has_no_best(spark, cases):
     spaces = [s for s in sp.classification_spaces() if s.model == sp.LOGISTIC]
@@ -150,6 +158,11 @@ def test_two_experiments_and_the_gate(spark, cases):
     trials, scores = io.load_results(spark, root, last["run_id"])
     assert trials.count() == 2 and scores.count() == 6
 
+    lines = compare_last_run(log, "credit", "credit_model", "label").collect()
+    assert [r["n"] for r in lines] == [48, 48]  # the last run is the one in production
+    assert len({r["roc_auc"] for r in lines}) == 1 and lines[0]["roc_auc"] > 0.5
+    assert compare_last_run(log, "none", "credit_model", "label") is None
+
 
 def test_gate_for_scores_where_lower_is_better(spark):
     assert is_promoted(spark, 0.9, 1.0, 0.05, "rmse")

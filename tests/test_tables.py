@@ -85,6 +85,18 @@ def test_folds_have_the_right_sizes(spark, n, folds):
         assert any(r["fold_0"] != r["fold_1"] for r in rows)
 
 
+def test_split_by_text_key(spark, monkeypatch):
+    """Equal draws are told apart by a second draw."""
+    from quarryline.functions import hashing
+
+    monkeypatch.setattr(split, "key_hash", lambda *p: hashing.key_hash(*p) % 5)
+    df = spark.range(100).select(F.format_string("k%03d", "id").alias("app_id"))
+    tests = split.train_test_split(df, "app_id").filter("split = 'test'").count()
+    assert 20 <= tests  # draws this coarse collide even as pairs
+    monkeypatch.undo()
+    assert split.train_test_split(df, "app_id").filter("split = 'test'").count() == 20
+
+
 def test_empty_split(spark):
     assert split.train_test_split(_loans(spark, 0), "app_id").collect() == []
 
