@@ -95,9 +95,22 @@ class _Columns:
         self.df = df.select(*[c.alias(f"v{i}") for i, c in enumerate(columns)])
         self.n = len(columns)
 
-    def rows(self) -> DataFrame:
-        """(spec, value)"""
-        return self._stacked(self.df, {i: [F.col(f"v{i}").alias("value")] for i in range(self.n)})
+    def whole(self) -> dict[int, Interval]:
+        """One interval with all rows of each spec, from one aggregate over all columns."""
+        measures = []
+        for i in range(self.n):
+            present = F.when(~F.isnan(f"v{i}"), F.col(f"v{i}"))
+            measures += [
+                F.min(present).alias(f"low{i}"),
+                F.max(present).alias(f"high{i}"),
+                F.count(present).alias(f"n{i}"),
+            ]
+        seen = self.df.agg(*measures).first()
+        return {
+            i: Interval(seen[f"low{i}"], seen[f"high{i}"], 0, seen[f"n{i}"])
+            for i in range(self.n)
+            if seen[f"n{i}"]
+        }
 
     def inside(self, intervals: Intervals) -> DataFrame:
         """(spec, place, value) of the rows inside the intervals, ``place`` counting them from 0."""
@@ -123,8 +136,15 @@ class _Labelled:
     def __init__(self, df: DataFrame, n: int):
         self.df, self.n = df.filter("spec IS NOT NULL AND value IS NOT NULL"), n
 
-    def rows(self) -> DataFrame:
-        return self.df
+    def whole(self) -> dict[int, Interval]:
+        lines = (
+            self.df.groupBy("spec")
+            .agg(
+                F.min("value").alias("low"), F.max("value").alias("high"), F.count("value").alias("n")
+            )
+            .collect()  # one line per spec
+        )
+        return {line["spec"]: Interval(line["low"], line["high"], 0, line["n"]) for line in lines}
 
     def inside(self, intervals: Intervals) -> DataFrame:
         lists = [
@@ -169,16 +189,6 @@ def _mark(df: DataFrame, column: str, parts: Sequence[Interval], output: str) ->
     return marked.withColumn(output, place).drop("_x", "_b")
 
 
-def _whole(rows: DataFrame) -> dict[int, Interval]:
-    """One interval with all rows of each spec."""
-    lines = (
-        rows.groupBy("spec")
-        .agg(F.min("value").alias("low"), F.max("value").alias("high"), F.count("value").alias("n"))
-        .collect()  # one line per spec
-    )
-    return {line["spec"]: Interval(line["low"], line["high"], 0, line["n"]) for line in lines}
-
-
 def _divide(source: _Columns | _Labelled, intervals: Intervals, bins: int) -> Intervals:
     """Split every interval into at most ``bins`` equal-width bins, with exact counts."""
     flat = [(i, k, p.ends) for i, parts in intervals.items() for k, p in enumerate(parts)]
@@ -224,7 +234,7 @@ def _locate(
 ) -> list[tuple[int, list[Found]]]:
     """(row count, wanted order statistics) of every spec."""
     if bounds is None:
-        pending: Intervals = {i: [p] for i, p in _whole(source.rows()).items()}
+        pending: Intervals = {i: [p] for i, p in source.whole().items()}
     else:
         everything = {i: [Interval(low, high, 0, 0)] for i, (low, high) in enumerate(bounds)}
         pending = _divide(source, everything, BINS)
@@ -406,7 +416,7 @@ class Ranges:
 def _ranges(df: DataFrame, columns: Sequence[str], pieces: int | None) -> list[Ranges] | None:
     """Ranges of each column, or None when one task may sort all rows."""
     source = _Columns(df, [F.col(c) for c in columns])
-    whole = _whole(source.rows())
+    whole = source.whole()
     n = max((p.rows for p in whole.values()), default=0)
     pieces = pieces or min(MAX_RANGES, math.ceil(n / ONE_TASK))
     if pieces <= 1:
