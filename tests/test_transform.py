@@ -143,3 +143,22 @@ def test_function_step_names():
     assert step.feature_names(["a"]) == ["a"]
     named = tr.FunctionStep(lambda df: df, lambda names: [n.upper() for n in names])
     assert named.feature_names(["a"]) == ["A"]
+
+
+def test_function_step_runs_any_table_function(spark):
+    """Where no column expression exists, the function works on Arrow batches."""
+    df = _numbers(spark, 1.0, 4.0, 9.0)
+
+    def roots(batches):
+        for batch in batches:
+            yield batch.assign(x=np.sqrt(batch["x"]))
+
+    step = tr.FunctionStep(lambda table: table.mapInPandas(roots, table.schema))
+    assert _values(step.transform(df), "x") == [1.0, 2.0, 3.0]
+
+
+def test_chosen_step_or_passthrough(spark):
+    df = spark.createDataFrame([(0, "b"), (1, "a")], "id int, c string")
+    assert tr.choose(df, None) is df
+    indexed = tr.choose(df, lambda table: tr._indexer(["c"], ["code"]).fit(table))
+    assert _values(indexed, "code") == [1.0, 0.0]
