@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarryline.llm import mixing, packing, sharding, url_rules
+from quarryline.llm import exact_dedup, mixing, packing, sharding, url_rules
 from quarryline.llm.common import free_name
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -42,6 +42,12 @@ def op3_permutation_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.place(docs, F.col("doc_id"), sharding.lookup_table(spark, SHARDS))
 
 
+def op6_grace_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_dedup.deduplicate(table(spark, sf_dir, "documents")).select(
+        "row.doc_id", "keep_id", "group_size", "kept", "text_sha256"
+    )
+
+
 def op7_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, weight = with_quality(
         table(spark, sf_dir, "documents").select("doc_id", "text", "source"),
@@ -69,7 +75,7 @@ def op9_association_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     f.__name__: f
-    for f in (op3_permutation_table, op7_source_mix, op8_best_fit, op9_association_rules)
+    for f in (op3_permutation_table, op6_grace_hash, op7_source_mix, op8_best_fit, op9_association_rules)
 }
 
 _SHARD_LIST = ", ".join(f"'{s}'" for s in SHARDS)
@@ -130,7 +136,17 @@ SELECT doc_id, size, source_size, round(target, 6) AS target,
 FROM ranked
 """
 
+_EXACT_SQL = """
+WITH normal AS (
+  SELECT doc_id, regexp_replace(coalesce(text, ''), '[\\x20\\x09-\\x0D]+', ' ', 'g') AS text FROM documents
+),
+groups AS (SELECT text, min(doc_id) AS keep_id, count(*) AS group_size FROM normal GROUP BY text)
+SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(text) AS text_sha256
+FROM normal JOIN groups USING (text)
+"""
+
 ORACLES: dict[str, str] = {
+    "op6_grace_hash": _EXACT_SQL,
     "op3_permutation_table": _SHARD_SQL,
     "op7_source_mix": _MIX_SQL,
 }
