@@ -8,7 +8,14 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarryline.llm import exact_dedup, mixing, packing, sharding, url_rules
+from quarryline.llm import (
+    exact_dedup,
+    mixing,
+    packing,
+    sharding,
+    similarity_join,
+    url_rules,
+)
 from quarryline.llm.common import free_name
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -73,9 +80,22 @@ def op9_association_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_rules.judge(table(spark, sf_dir, "pages"), LISTED)
 
 
+def op10_partenum(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return similarity_join.join_components(table(spark, sf_dir, "documents")).select(
+        "row.doc_id", "n_shingles", "component_id"
+    )
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
-    for f in (op3_permutation_table, op6_grace_hash, op7_source_mix, op8_best_fit, op9_association_rules)
+    for f in (
+        op3_permutation_table,
+        op6_grace_hash,
+        op7_source_mix,
+        op8_best_fit,
+        op9_association_rules,
+        op10_partenum,
+    )
 }
 
 _SHARD_LIST = ", ".join(f"'{s}'" for s in SHARDS)
