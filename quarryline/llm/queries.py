@@ -10,13 +10,14 @@ from pyspark.sql import functions as F
 
 from quarryline.llm import (
     exact_dedup,
+    langid,
     mixing,
     packing,
     sharding,
     similarity_join,
     url_rules,
 )
-from quarryline.llm.common import free_name
+from quarryline.llm.common import free_name, is_held_out
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -49,6 +50,19 @@ def op3_permutation_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.place(docs, F.col("doc_id"), sharding.lookup_table(spark, SHARDS))
 
 
+def op5_nearest_centroid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    model = langid.fit(docs.filter(~is_held_out("doc_id", 5)))
+    named, name = langid.identify(docs.select("doc_id", "text"), model)
+    return named.select(
+        "doc_id",
+        is_held_out("doc_id", 5).alias("held_out"),
+        F.col(name)["lang"].alias("lang_pred"),
+        F.col(name)["score"].alias("score"),
+        F.col(name)["rejected"].alias("rejected"),
+    )
+
+
 def op6_grace_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.deduplicate(table(spark, sf_dir, "documents")).select(
         "row.doc_id", "keep_id", "group_size", "kept", "text_sha256"
@@ -90,6 +104,7 @@ QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
         op3_permutation_table,
+        op5_nearest_centroid,
         op6_grace_hash,
         op7_source_mix,
         op8_best_fit,
