@@ -92,7 +92,7 @@ def _fold(docs: DataFrame, id_type: str, room: int) -> DataFrame:
             T.StructField("uid", T.LongType()),
             T.StructField("rep", T.LongType()),
             T.StructField("row", docs.schema["row"].dataType),
-            *T._parse_datatype_string(_RECORD.format(id=id_type)).fields[1:],
+            *T.StructType.fromDDL(_RECORD.format(id=id_type)).fields[1:],
         ]
     )
 
@@ -159,7 +159,7 @@ def _batch(schema: pa.Schema, rows: int, **columns) -> pa.RecordBatch:
 
 def _resolve(records: DataFrame, id_type: str, room: int, level: int, buckets: int) -> DataFrame:
     """One round: (rep, keep_id, keep, group_size, digest), and the spilled records with their text."""
-    out = T._parse_datatype_string(
+    out = T.StructType.fromDDL(
         f"{_RECORD.format(id=id_type)}, keep_id {id_type}, keep long, group_size long"
     )
 

@@ -174,7 +174,7 @@ def identify(
     """
     name = free_name(docs.columns, name)
     checked = free_name([*docs.columns, name], "lettered")
-    answer = T._parse_datatype_string("lang string, score double, rejected boolean")
+    answer = T.StructType.fromDDL("lang string, score double, rejected boolean")
     out = T.StructType([*docs.schema.fields, T.StructField(name, answer)])
     shared = docs.sparkSession.sparkContext.broadcast(model)
 

@@ -169,7 +169,7 @@ def pieces(
     read = docs.select(F.struct(*carry).alias("row"), F.col(text).alias("text"))
     out = T.StructType(
         [read.schema["row"]]
-        + T._parse_datatype_string(
+        + T.StructType.fromDDL(
             "piece int, start long, length long, ids_crc32 long"
         ).fields
     )
@@ -234,7 +234,7 @@ def pack(
         .select(*cut.columns, "rank")
     )
     out = T.StructType(
-        cut.schema.fields + T._parse_datatype_string("sequence_id long, offset long").fields
+        cut.schema.fields + T.StructType.fromDDL("sequence_id long, offset long").fields
     )
     return ranked.mapInArrow(_placed(spark.sparkContext.broadcast(steps), out), out)
 

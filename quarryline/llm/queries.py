@@ -16,8 +16,10 @@ from quarryline.llm import (
     sharding,
     similarity_join,
     url_rules,
+    warc,
 )
 from quarryline.llm.common import free_name, is_held_out
+from quarryline.session import new_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -45,6 +47,20 @@ def with_quality(docs: DataFrame, labels: DataFrame) -> tuple[DataFrame, str]:
     return joined.withColumn(name, F.coalesce(1 + 3 * F.col(name), F.lit(2.0))), name
 
 
+def op2_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    path = new_path(spark, "warc")
+    warc.write_archives(pages, path)
+    kind = pages.schema["page_id"].dataType
+    return warc.read_archives(spark, path).select(
+        F.col("page").cast(kind).alias("page_id"),
+        "payload_bytes",
+        "payload_digest",
+        "record_type",
+        F.col("refers_to").cast(kind).alias("refers_to"),
+    )
+
+
 def op3_permutation_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id")
     return sharding.place(docs, F.col("doc_id"), sharding.lookup_table(spark, SHARDS))
@@ -103,6 +119,7 @@ def op10_partenum(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
+        op2_segments,
         op3_permutation_table,
         op5_nearest_centroid,
         op6_grace_hash,
@@ -180,7 +197,25 @@ SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(text) AS te
 FROM normal JOIN groups USING (text)
 """
 
+# DuckDB has no base32: five bits of the hexadecimal digest at a time index the alphabet.
+_WARC_SQL = """
+WITH digests AS (
+  SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes, sha1(coalesce(html, '')) AS hex FROM pages
+),
+named AS (
+  SELECT *, min(page_id) OVER (PARTITION BY hex) AS first_page,
+         array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+           (((('0x' || substr(hex || '0', (i * 5 // 4 + 1)::BIGINT, 2))::BIGINT >> (3 - i * 5 % 4)) & 31) + 1)::BIGINT, 1)), '') AS payload_digest
+  FROM digests
+)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN page_id = first_page THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> first_page THEN first_page END AS refers_to
+FROM named
+"""
+
 ORACLES: dict[str, str] = {
+    "op2_segments": _WARC_SQL,
     "op6_grace_hash": _EXACT_SQL,
     "op3_permutation_table": _SHARD_SQL,
     "op7_source_mix": _MIX_SQL,

@@ -137,7 +137,7 @@ def _prepared(docs: DataFrame, id_type: T.DataType, words: int) -> DataFrame:
             T.StructField("uid", T.LongType()),
             docs.schema["row"],
             T.StructField("id", id_type),
-            *T._parse_datatype_string("n long, node long, packed binary").fields,
+            *T.StructType.fromDDL("n long, node long, packed binary").fields,
         ]
     )
 
@@ -183,7 +183,7 @@ def node_of(found: np.ndarray) -> np.int64:
 
 def _signed(docs: DataFrame, words: int, percent: int, buckets: int) -> DataFrame:
     """(bucket, codes, nodes): the signatures of the sets, packed by bucket."""
-    out = T._parse_datatype_string("bucket int, codes binary, nodes binary")
+    out = T.StructType.fromDDL("bucket int, codes binary, nodes binary")
 
     def signed(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schema, seen, bands = to_arrow_schema(out), set(), Bands(percent)
@@ -227,7 +227,7 @@ def _signed(docs: DataFrame, words: int, percent: int, buckets: int) -> DataFram
 
 def _shared(signed: DataFrame) -> DataFrame:
     """Pairs (a, b) to compare, and the members (run, a) of large runs of sets with one signature."""
-    out = T._parse_datatype_string("run long, a long, b long")
+    out = T.StructType.fromDDL("run long, a long, b long")
 
     def find(key: tuple, blobs: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schema = to_arrow_schema(out)
@@ -296,7 +296,7 @@ def _verified(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> D
     possible = sized.filter(
         100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b")
     ).select("a", "b")
-    out = T._parse_datatype_string("a long, b long")
+    out = T.StructType.fromDDL("a long, b long")
 
     def compare(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unpack = zstandard.ZstdDecompressor().decompress
