@@ -23,7 +23,7 @@ from quarryline.llm.common import WORD, written
 
 CYCLE = (1, 2, 3)
 MAX_EPOCHS = 3
-ROWS_PER_BIN = 5_000
+ROWS_PER_BIN = 500
 SEED = 7
 
 
@@ -65,12 +65,26 @@ def source_targets(
     )
 
 
+def _drawn(narrow: DataFrame, quality: DataFrame | None, unmarked: float, seed: int) -> DataFrame:
+    """Every row with its key ``draw``; texts are gone by now, so only ids and sizes are joined."""
+    weight = F.lit(1.0)
+    if quality is not None:
+        of, value = quality.columns
+        marks = quality.groupBy(F.col(of).alias("marked")).agg(F.max(value).cast("double").alias("weight"))
+        # Sizes are computed in the scan, before rows travel to their weights.
+        narrow = written(narrow, "mix-narrow").join(marks, F.col("id") == F.col("marked"), "left").drop("marked")
+        weight = F.greatest(F.coalesce("weight", F.lit(unmarked)), F.lit(1.0))
+    unit = unit_draw(seed, F.coalesce(F.col("id").cast("string"), F.lit("")))
+    return narrow.withColumn("draw", F.pow(unit, 1 / weight)).select("row", "id", "source", "size", "draw")
+
+
 def mix(
     docs: DataFrame,
     key: str = "doc_id",
     text: str = "text",
     source: str = "source",
-    quality: Column | None = None,
+    quality: DataFrame | None = None,
+    unmarked: float = 2.0,
     carry: Sequence[str] = ("doc_id",),
     cycle: Sequence[float] = CYCLE,
     max_epochs: int = MAX_EPOCHS,
@@ -78,26 +92,20 @@ def mix(
 ) -> DataFrame:
     """One row per document: row (the carried columns), source, size, source_size, target, epochs.
 
-    ``epochs`` says how often a document is taken, 0 to ``max_epochs``. ``quality`` is a weight of at
-    least 1 that does not change the targets; null counts as 1. A null or empty text has size 0 and is
+    ``epochs`` says how often a document is taken, 0 to ``max_epochs``. ``quality`` has
+    ids and weights of at least 1, which do not change the targets; a document without one has ``unmarked``,
+    and of several the largest counts. A null or empty text has size 0 and is
     taken with the complete epochs only. Documents without a source are a source of their own.
     Repeated rows draw the same key; among equal keys the order is by id, then by size, so that only
     fully equal rows can change places. An empty table gives an empty one.
     """
-    weight = F.lit(1.0) if quality is None else F.coalesce(quality.cast("double"), F.lit(1.0))
-    sized = written(
-        docs.select(
-            F.struct(*carry).alias("row"),
-            F.col(key).alias("id"),
-            F.col(source).alias("source"),
-            n_words(F.col(text)).alias("size"),
-            F.pow(
-                unit_draw(seed, F.coalesce(F.col(key).cast("string"), F.lit(""))),
-                1 / F.greatest(weight, F.lit(1.0)),
-            ).alias("draw"),
-        ),
-        "mix-sized",
+    narrow = docs.select(
+        F.struct(*carry).alias("row"),
+        F.col(key).alias("id"),
+        F.col(source).alias("source"),
+        n_words(F.col(text)).alias("size"),
     )
+    sized = written(_drawn(narrow, quality, unmarked, seed), "mix-sized")
     targets = source_targets(sized, cycle, max_epochs).select(
         F.col("source").alias("of"),
         "source_size",

@@ -13,12 +13,14 @@ from quarryline.llm import (
     langid,
     mixing,
     packing,
+    ppm,
     sharding,
     similarity_join,
+    spotsigs,
     url_rules,
     warc,
 )
-from quarryline.llm.common import free_name, is_held_out
+from quarryline.llm.common import is_held_out
 from quarryline.session import new_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -37,14 +39,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def with_quality(docs: DataFrame, labels: DataFrame) -> tuple[DataFrame, str]:
-    """The documents with a sampling weight: 4 for good ones, 2 without a label, 1 for bad ones."""
-    name = free_name(docs.columns, "weight")
-    marks = labels.groupBy("doc_id").agg(F.avg("quality").alias(name)).withColumnRenamed(
-        "doc_id", "labelled"
+def quality_weights(labels: DataFrame) -> DataFrame:
+    """Sampling weights of labelled documents, from 1 for bad ones to 4 for good ones."""
+    return labels.groupBy("doc_id").agg((1 + 3 * F.avg("quality")).alias("weight"))
+
+
+def op1_byte_contexts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = is_held_out("doc_id", 10)
+    scored = ppm.score(docs, ~held_out)
+    return scored.select("row.doc_id", "n_tokens", "n_known", "train_tokens", "base_score", "score").select(
+        "*", held_out.alias("held_out")
     )
-    joined = docs.join(marks, docs["doc_id"] == marks["labelled"], "left").drop("labelled")
-    return joined.withColumn(name, F.coalesce(1 + 3 * F.col(name), F.lit(2.0))), name
 
 
 def op2_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -66,6 +72,19 @@ def op3_permutation_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.place(docs, F.col("doc_id"), sharding.lookup_table(spark, SHARDS))
 
 
+def op4_spot_signatures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spotsigs.with_edits(table(spark, sf_dir, "documents")).select(
+        "row.doc_id",
+        "n_chars",
+        "edited_sha256",
+        "fingerprint",
+        "edited_fingerprint",
+        "near_edited",
+        "near_next",
+        "partition",
+    )
+
+
 def op5_nearest_centroid(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     model = langid.fit(docs.filter(~is_held_out("doc_id", 5)))
@@ -86,11 +105,8 @@ def op6_grace_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs, weight = with_quality(
-        table(spark, sf_dir, "documents").select("doc_id", "text", "source"),
-        table(spark, sf_dir, "labels"),
-    )
-    return mixing.mix(docs, quality=F.col(weight)).select(
+    weights = quality_weights(table(spark, sf_dir, "labels"))
+    return mixing.mix(table(spark, sf_dir, "documents"), quality=weights).select(
         "row.doc_id",
         "size",
         "source_size",
@@ -119,8 +135,10 @@ def op10_partenum(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
+        op1_byte_contexts,
         op2_segments,
         op3_permutation_table,
+        op4_spot_signatures,
         op5_nearest_centroid,
         op6_grace_hash,
         op7_source_mix,
