@@ -2,11 +2,63 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from quarryline.llm import exact_dedup, langid, mixing, packing, similarity_join
 from quarryline.llm.common import written
+from quarryline.llm.queries import TOKENIZER, quality_weights, table
+
+Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
+
+
+def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with a letter that are not far from every language of the labelled ones.
+
+    Where no document has a label there is nothing to be far from, so all with a letter stay.
+    """
+    model = langid.fit(docs)
+    if not model.languages:
+        return docs.filter(langid.has_letter(F.col("text")))
+    named, name = langid.identify(docs, model)
+    return named.filter(~F.col(name)["rejected"]).select(*docs.columns)
+
+
+def without_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of equal texts, the document with the smallest id."""
+    return exact_dedup.deduplicate(docs, carry=docs.columns).filter("kept").select("row.*")
+
+
+def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of linked documents, the one with the smallest id."""
+    return similarity_join.join_components(docs, carry=docs.columns).filter("leader").select("row.*")
+
+
+def mixed_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as often as the mix takes them: a row for each time."""
+    weights = quality_weights(table(spark, sf_dir, "labels"))
+    mixed = mixing.mix(docs, quality=weights, carry=docs.columns)
+    return mixed.filter("epochs > 0").select("row", F.explode(F.sequence(F.lit(1), "epochs"))).select("row.*")
+
+
+def packed_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of the documents and their places in the sequences."""
+    return packing.pack(docs, public_tokenizers.path(TOKENIZER)).select(
+        "row.doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"
+    )
+
 
-STAGES: list = []
+STAGES: list[tuple[str, Stage]] = [
+    ("language", known_language),
+    ("exact copies", without_copies),
+    ("near copies", without_near_copies),
+    ("source mix", mixed_sources),
+    ("packing", packed_sequences),
+]
+# The language model, the tokenizer and the packing are not expressible in SQL.
 ORACLE_SQL = None
 
 

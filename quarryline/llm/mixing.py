@@ -65,17 +65,43 @@ def source_targets(
     )
 
 
-def _drawn(narrow: DataFrame, quality: DataFrame | None, unmarked: float, seed: int) -> DataFrame:
-    """Every row with its key ``draw``; texts are gone by now, so only ids and sizes are joined."""
+def _sized(
+    docs: DataFrame,
+    key: str,
+    text: str,
+    source: str,
+    quality: DataFrame | None,
+    unmarked: float,
+    carry: Sequence[str],
+    seed: int,
+) -> DataFrame:
+    """Every row with its size and its key ``draw``; ``uid`` tells repeated rows apart.
+
+    Sizes are computed in the scan, so no text travels to its weight unless it is carried.
+    """
+    rows = docs.select(
+        F.struct(*carry).alias("row"),
+        F.col(key).alias("id"),
+        F.col(source).alias("source"),
+        n_words(F.col(text)).alias("size"),
+    )
     weight = F.lit(1.0)
     if quality is not None:
         of, value = quality.columns
-        marks = quality.groupBy(F.col(of).alias("marked")).agg(F.max(value).cast("double").alias("weight"))
-        # Sizes are computed in the scan, before rows travel to their weights.
-        narrow = written(narrow, "mix-narrow").join(marks, F.col("id") == F.col("marked"), "left").drop("marked")
+        marks = quality.groupBy(F.col(of).alias("marked")).agg(
+            F.max(value).cast("double").alias("weight")
+        )
+        rows = rows.join(marks, F.col("id") == F.col("marked"), "left")
         weight = F.greatest(F.coalesce("weight", F.lit(unmarked)), F.lit(1.0))
     unit = unit_draw(seed, F.coalesce(F.col("id").cast("string"), F.lit("")))
-    return narrow.withColumn("draw", F.pow(unit, 1 / weight)).select("row", "id", "source", "size", "draw")
+    return rows.select(
+        "row",
+        "id",
+        "source",
+        "size",
+        F.pow(unit, 1 / weight).alias("draw"),
+        F.monotonically_increasing_id().alias("uid"),
+    )
 
 
 def mix(
@@ -92,20 +118,14 @@ def mix(
 ) -> DataFrame:
     """One row per document: row (the carried columns), source, size, source_size, target, epochs.
 
-    ``epochs`` says how often a document is taken, 0 to ``max_epochs``. ``quality`` has
-    ids and weights of at least 1, which do not change the targets; a document without one has ``unmarked``,
-    and of several the largest counts. A null or empty text has size 0 and is
-    taken with the complete epochs only. Documents without a source are a source of their own.
-    Repeated rows draw the same key; among equal keys the order is by id, then by size, so that only
-    fully equal rows can change places. An empty table gives an empty one.
+    ``epochs`` says how often a document is taken, 0 to ``max_epochs``. ``quality`` has ids and
+    weights of at least 1, which do not change the targets; a document without one has ``unmarked``,
+    and of several the largest counts. A null or empty text has size 0 and is taken with the complete
+    epochs only. Documents without a source are a source of their own. Repeated rows draw the same
+    key, and as many of them are taken as the budget holds. An empty table gives an empty one; columns
+    that are not carried do not matter.
     """
-    narrow = docs.select(
-        F.struct(*carry).alias("row"),
-        F.col(key).alias("id"),
-        F.col(source).alias("source"),
-        n_words(F.col(text)).alias("size"),
-    )
-    sized = written(_drawn(narrow, quality, unmarked, seed), "mix-sized")
+    sized = written(_sized(docs, key, text, source, quality, unmarked, carry, seed), "mix-sized")
     targets = source_targets(sized, cycle, max_epochs).select(
         F.col("source").alias("of"),
         "source_size",
@@ -114,44 +134,53 @@ def mix(
         .otherwise(1)
         .alias("full"),
         F.ceil(F.col("source_rows") / ROWS_PER_BIN).alias("bins"),
-    ).withColumn("budget", F.col("target") - F.col("full") * F.col("source_size"))
-    targets = written(targets, "mix-targets")
-    rows = sized.join(targets, F.col("source").eqNullSafe(F.col("of"))).withColumn(
-        "bin", F.floor((1 - F.col("draw")) * F.col("bins"))
     )
-    # Sums of the bins, and the words taken before each of them.
-    upto = (
-        Window.partitionBy("of")
-        .orderBy("bin")
-        .rowsBetween(Window.unboundedPreceding, -1)
+    targets = written(
+        targets.withColumn("budget", F.col("target") - F.col("full") * F.col("source_size")), "mix-targets"
     )
-    sums = (
-        rows.groupBy("of", "bin")
+    of_source = F.col("source").eqNullSafe(F.col("of"))
+    rows = sized.join(targets, of_source).withColumn("bin", F.floor((1 - F.col("draw")) * F.col("bins")))
+    # Sums of the bins, the words taken before each, and the bin in which a source's budget ends.
+    upto = Window.partitionBy("of").orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)
+    ends = (
+        rows.groupBy("of", "bin", "budget")
         .agg(F.sum("size").alias("bin_size"))
         .withColumn("before", F.coalesce(F.sum("bin_size").over(upto), F.lit(0)))
-    )
-    split = (
-        sums.join(targets.select(F.col("of").alias("of2"), "budget"), F.col("of").eqNullSafe(F.col("of2")))
         .filter("before <= budget and before + bin_size > budget")
         .groupBy("of")
-        .agg(F.min(F.struct("bin", "before")).alias("split"))
-        .select(F.col("of").alias("split_of"), "split.*")
-        .withColumnRenamed("bin", "split_bin")
+        .agg(F.min(F.struct("bin", "before")).alias("end"))
+        .select(F.col("of").alias("ends_of"), F.col("end.bin").alias("last_bin"), "end.before")
     )
-    marked = rows.join(split, F.col("of").eqNullSafe(F.col("split_of")), "left")
-    inside = F.col("bin") == F.col("split_bin")
-    # Only the rows of the bin that is split are grouped and sorted; the others are spread by id.
-    order = Window.partitionBy("of", F.when(inside, F.lit(-1)).otherwise(F.xxhash64("id"))).orderBy(
-        F.desc("draw"), F.col("id").asc_nulls_last(), "size"
+    # Where in that bin: a document is still taken if the budget ends beyond its middle.
+    place = F.struct(
+        (-F.col("draw")).alias("draw"), F.col("id").isNull().alias("missing"), "id", "size", "uid"
+    )
+    order = Window.partitionBy("of").orderBy("place").rowsBetween(Window.unboundedPreceding, 0)
+    last = (
+        rows.drop("row")
+        .join(ends, F.col("of").eqNullSafe(F.col("ends_of")) & (F.col("bin") == F.col("last_bin")))
+        .withColumn("place", place)
+        .withColumn("upto", F.col("before") + F.sum("size").over(order))
+        .filter("upto - size / 2 <= budget")
+        .groupBy("of")
+        .agg(F.max("place").alias("last_place"))
+        .select(F.col("of").alias("last_of"), "last_place")
+    )
+    cuts = written(
+        targets.join(ends, F.col("of").eqNullSafe(F.col("ends_of")), "left")
+        .join(last, F.col("of").eqNullSafe(F.col("last_of")), "left")
+        .drop("ends_of", "last_of", "before"),
+        "mix-cuts",
+    )
+    marked = sized.join(cuts, of_source).withColumn(
+        "bin", F.floor((1 - F.col("draw")) * F.col("bins"))
     )
-    total = F.col("before") + F.sum("size").over(order.rowsBetween(Window.unboundedPreceding, 0))
-    # A document is taken if the budget ends beyond its middle.
     chosen = (
-        F.when(F.col("budget") <= 0, False)
-        .when(F.col("split_bin").isNull() | (F.col("bin") < F.col("split_bin")), True)
-        .when(F.col("bin") > F.col("split_bin"), False)
-        .otherwise(total - F.col("size") / 2 <= F.col("budget"))
+        F.when((F.col("budget") <= 0) | (F.col("size") == 0), False)
+        .when(F.col("last_bin").isNull() | (F.col("bin") < F.col("last_bin")), True)
+        .when(F.col("bin") > F.col("last_bin"), False)
+        .otherwise(F.coalesce(place <= F.col("last_place"), F.lit(False)))
+    )
+    return marked.withColumn("epochs", (F.col("full") + chosen.cast("int")).cast("int")).select(
+        "row", "source", "size", "source_size", "target", "epochs"
     )
-    return marked.withColumn(
-        "epochs", (F.col("full") + F.when(chosen & (F.col("size") > 0), 1).otherwise(0)).cast("int")
-    ).select("row", "source", "size", "source_size", "target", "epochs")
