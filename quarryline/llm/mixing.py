@@ -38,8 +38,9 @@ def source_targets(
 
     Weights go round over the sources in the order of their code points, null last. Sharing again
     what is above the limits, until none is above, ends where target = min(level * weight, limit)
-    with one level for all; sources reach their limit in the order of limit / weight, so the level
-    follows from running totals over the sources.
+    with one level for all. Sources reach their limit in the order of limit / weight: the level is that
+    of the first source that stays within its limit when all before it are at theirs, and as levels
+    only fall from there, it is the highest level that stays within a limit.
     """
     by_name = Window.partitionBy(F.lit(0)).orderBy(F.col("source").asc_nulls_last())
     by_limit = Window.partitionBy(F.lit(0)).orderBy("ratio", F.col("source").asc_nulls_last())
@@ -59,7 +60,7 @@ def source_targets(
             (F.sum("source_size").over(all_rows) - F.col("capped"))
             / (F.sum("weight").over(all_rows) - F.col("lighter")),
         )
-        .withColumn("level", F.min(F.when(F.col("level") <= F.col("ratio"), F.col("level"))).over(all_rows))
+        .withColumn("level", F.max(F.when(F.col("level") <= F.col("ratio"), F.col("level"))).over(all_rows))
         .withColumn("target", F.least("cap", F.col("level") * F.col("weight")))
         .select("source", "source_size", "source_rows", "target")
     )

@@ -192,7 +192,7 @@ levels AS (
 ),
 targets AS (
   SELECT source, source_size, least(3.0 * source_size, weight *
-           min(CASE WHEN level <= 3.0 * source_size / weight THEN level END) OVER ()) AS target FROM levels
+           max(CASE WHEN level <= 3.0 * source_size / weight THEN level END) OVER ()) AS target FROM levels
 ),
 ranked AS (
   SELECT s.*, t.source_size, t.target::DOUBLE AS target,
