@@ -36,24 +36,19 @@ from quarryline.operators.search_space import (
     XGB_REGRESSOR,
 )
 from quarryline.operators.transform import RandomCuts, feature_names
+from quarryline.session import checkpoint_dir
 
-MLLIB_MAX_DEPTH = 30
-CUT_COPIES = 4
-CUTS_PER_COPY = 8
-
-
-@dataclass(frozen=True)
-class Limits:
-    """Bounds on tree sizes, for searches that must stay short; None leaves the trial's value."""
-
-    max_trees: int | None = None
-    max_depth: int | None = None
+MLLIB_MAX_DEPTH = 30  # deeper trees are refused by MLlib
+CUT_COPIES, CUTS_PER_COPY = 4, 8  # defaults of the parameters cut_copies and cuts_per_copy
 
 
 @dataclass
 class Fitted:
+    """``effective`` has the parameters that differ from those asked for; the search stores them."""
+
     stages: list[Transformer]
     notes: list[str] = field(default_factory=list)
+    effective: dict[str, str] = field(default_factory=dict)
 
     def transform(self, df: DataFrame) -> DataFrame:
         for stage in self.stages:
@@ -99,7 +94,7 @@ def _number(params: dict[str, str], name: str, default: float | None) -> float |
     return default if value in (None, "None") else float(value)
 
 
-def fit_logistic(train: DataFrame, label: str, params: dict, seed: int, limits: Limits) -> Fitted:
+def fit_logistic(train: DataFrame, label: str, params: dict, seed: int) -> Fitted:
     """The L2 objective with inverse strength C over the sum of losses, as MLlib's mean of losses."""
     strength = _number(params, "C", 1.0)
     n = train.count()
@@ -109,7 +104,7 @@ def fit_logistic(train: DataFrame, label: str, params: dict, seed: int, limits:
     return Fitted([model])
 
 
-def fit_linear_svc(train: DataFrame, label: str, params: dict, seed: int, limits: Limits) -> Fitted:
+def fit_linear_svc(train: DataFrame, label: str, params: dict, seed: int) -> Fitted:
     strength = _number(params, "C", 1.0)
     model = mlc.LinearSVC(
         labelCol=label, maxIter=100, standardization=False,
@@ -118,13 +113,13 @@ def fit_linear_svc(train: DataFrame, label: str, params: dict, seed: int, limits
     return Fitted([model], ["hinge loss; the score is the margin"])
 
 
-def fit_elastic_net(train: DataFrame, label: str, params: dict, seed: int, limits: Limits) -> Fitted:
+def fit_elastic_net(train: DataFrame, label: str, params: dict, seed: int) -> Fitted:
     """MLlib scales the label, so the L2 part of the penalty carries the label's deviation."""
     alpha, mix = _number(params, "alpha", 1.0), _number(params, "l1_ratio", 0.5)
     spread = train.agg(F.stddev_pop(label)).first()[0] or 1.0
     strength = alpha * mix + alpha * (1 - mix) * spread
     model = mlr.LinearRegression(
-        labelCol=label, standardization=False, solver="normal", maxIter=1000, tol=1e-10,
+        labelCol=label, standardization=False, solver="auto", maxIter=1000, tol=1e-10,
         regParam=strength, elasticNetParam=alpha * mix / strength if strength else 0.0,
     ).fit(train)
     return Fitted([model])
@@ -133,63 +128,67 @@ def fit_elastic_net(train: DataFrame, label: str, params: dict, seed: int, limit
 # --- trees -------------------------------------------------------------------------------------
 
 
-def _trees(params: dict, default: int, limits: Limits, notes: list[str]) -> int:
-    wanted = int(_number(params, "n_estimators", default))
-    if limits.max_trees is not None and wanted > limits.max_trees:
-        notes.append(f"n_estimators {wanted} capped at {limits.max_trees}")
-        return limits.max_trees
-    return wanted
+def _trees(params: dict, default: int) -> int:
+    return int(_number(params, "n_estimators", default))
 
 
-def _depth(wanted: float | None, limits: Limits, notes: list[str]) -> int:
-    bound = min(MLLIB_MAX_DEPTH, limits.max_depth or MLLIB_MAX_DEPTH)
-    if wanted is None or wanted > bound:
-        notes.append(f"max_depth {'unlimited' if wanted is None else int(wanted)} capped at {bound}")
-        return bound
+def _depth(wanted: float | None, effective: dict[str, str]) -> int:
+    """The depth asked for; what MLlib cannot grow is its greatest depth, and logged as that."""
+    if wanted is None or wanted > MLLIB_MAX_DEPTH:
+        effective["model__max_depth"] = str(MLLIB_MAX_DEPTH)
+        return MLLIB_MAX_DEPTH
     return int(wanted)
 
 
-def _fraction(value: float) -> str:
-    return f"{min(1.0, max(value, 1e-3)):.6f}"
+def _width(train: DataFrame) -> int:
+    about = train.schema["features"].metadata.get("ml_attr", {})
+    width = about.get("num_attrs") or sum(len(a) for a in about.get("attrs", {}).values())
+    return width or len(train.select("features").first()[0])
+
+
+def _fraction(value: float, width: int) -> str:
+    """The share of the features to look at: one of them at least."""
+    return f"{min(1.0, max(value, 1.000001 / width)):.9f}"
 
 
 def _no_effect(params: dict, names: tuple[str, ...], notes: list[str]) -> None:
     notes += [f"{n} has no effect" for n in names if f"model__{n}" in params]
 
 
-def _forest_settings(params: dict, label: str, seed: int, limits: Limits, regression: bool):
+def _forest_settings(params: dict, label: str, seed: int, regression: bool, width: int):
     notes: list[str] = []
+    effective: dict[str, str] = {}
     features = _number(params, "max_features", None)
     criterion = params.get("model__criterion", "gini")
     settings = {
         "labelCol": label,
-        "numTrees": _trees(params, 500, limits, notes),
-        "maxDepth": _depth(_number(params, "max_depth", None), limits, notes),
+        "numTrees": _trees(params, 500),
+        "maxDepth": _depth(_number(params, "max_depth", None), effective),
         "minInstancesPerNode": int(_number(params, "min_samples_leaf", 1)),
         "subsamplingRate": _number(params, "max_samples", 1.0),
         "featureSubsetStrategy": ("all" if regression else "sqrt")
         if features is None
-        else _fraction(features),
+        else _fraction(features, width),
         "impurity": "variance" if regression else criterion,
         "seed": seed,
     }
     _no_effect(params, ("min_samples_split",), notes)
-    return settings, notes
+    return settings, notes, effective
 
 
-def fit_random_forest(train: DataFrame, label: str, params: dict, seed: int, limits: Limits) -> Fitted:
-    settings, notes = _forest_settings(params, label, seed, limits, regression=False)
-    return Fitted([mlc.RandomForestClassifier(**settings).fit(train)], notes)
+def fit_random_forest(train: DataFrame, label: str, params: dict, seed: int) -> Fitted:
+    settings, *said = _forest_settings(params, label, seed, False, _width(train))
+    return Fitted([mlc.RandomForestClassifier(**settings).fit(train)], *said)
 
 
-def fit_forest_regressor(
-    train: DataFrame, label: str, params: dict, seed: int, limits: Limits
-) -> Fitted:
-    settings, notes = _forest_settings(params, label, seed, limits, regression=True)
-    return Fitted([mlr.RandomForestRegressor(**settings).fit(train)], notes)
+def fit_forest_regressor(train: DataFrame, label: str, params: dict, seed: int) -> Fitted:
+    settings, *said = _forest_settings(params, label, seed, True, _width(train))
+    return Fitted([mlr.RandomForestRegressor(**settings).fit(train)], *said)
 
 
-def _random_cuts(train: DataFrame, seed: int) -> list[tuple[int, list[float]]]:
+def _random_cuts(
+    train: DataFrame, seed: int, copies: int, cuts_per_copy: int
+) -> list[tuple[int, list[float]]]:
     """Random thresholds between the ends of each numeric entry, drawn anew for several copies of
     it; a 0/1 indicator appears once, as it is."""
     ends = train.agg(
@@ -203,10 +202,10 @@ def _random_cuts(train: DataFrame, seed: int) -> list[tuple[int, list[float]]]:
         if i in indicators or low == high:
             entries.append((i, []))
             continue
-        for copy in range(CUT_COPIES):
+        for copy in range(copies):
             draws = [
                 int(hashlib.md5(f"{seed}:{copy}:{i}:{k}".encode()).hexdigest()[: HASH_BITS // 4], 16)
-                for k in range(CUTS_PER_COPY)
+                for k in range(cuts_per_copy)
             ]
             cuts = sorted(float(low + d / (1 << HASH_BITS) * (high - low)) for d in draws)
             entries.append((i, cuts))
@@ -214,22 +213,24 @@ def _random_cuts(train: DataFrame, seed: int) -> list[tuple[int, list[float]]]:
 
 
 def _fit_cut_forest(
-    train: DataFrame, label: str, params: dict, seed: int, limits: Limits, regression: bool
+    train: DataFrame, label: str, params: dict, seed: int, regression: bool
 ) -> Fitted:
     """Extremely randomised trees as a forest over randomly cut copies of the numeric features.
 
     A split picks among a random subset of (feature, random thresholds) pairs; the size of the
-    subset is what it would be without the copies.
+    subset is what it would be without the copies. ``cut_copies`` and ``cuts_per_copy`` among the
+    parameters say how many thresholds a feature has.
     """
-    settings, notes = _forest_settings(params, label, seed, limits, regression)
-    entries = _random_cuts(train, seed)
+    settings, notes, effective = _forest_settings(params, label, seed, regression, _width(train))
+    copies = int(_number(params, "cut_copies", CUT_COPIES))
+    entries = _random_cuts(train, seed, copies, int(_number(params, "cuts_per_copy", CUTS_PER_COPY)))
     width, n_features = len(entries), len({source for source, _ in entries})
     asked = settings["featureSubsetStrategy"]
     if asked == "sqrt":
         candidates = math.sqrt(n_features)
     else:
         candidates = n_features * (1.0 if asked == "all" else float(asked))
-    settings["featureSubsetStrategy"] = _fraction(max(1.0, candidates) / width)
+    settings["featureSubsetStrategy"] = _fraction(max(1.0, candidates) / width, width)
     notes.append("splits on random cut points drawn once per forest")
     cutter = RandomCuts("features", "cut", entries)
     forest = mlr.RandomForestRegressor if regression else mlc.RandomForestClassifier
@@ -238,58 +239,60 @@ def _fit_cut_forest(
         model = forest(**settings, featuresCol="cut").fit(binned)
     finally:
         binned.unpersist()
-    return Fitted([cutter, model], notes)
+    return Fitted([cutter, model], notes, effective)
 
 
-def fit_extra_trees(train: DataFrame, label: str, params: dict, seed: int, limits: Limits) -> Fitted:
-    return _fit_cut_forest(train, label, params, seed, limits, regression=False)
+def fit_extra_trees(train: DataFrame, label: str, params: dict, seed: int) -> Fitted:
+    return _fit_cut_forest(train, label, params, seed, regression=False)
 
 
-def fit_extra_trees_regressor(
-    train: DataFrame, label: str, params: dict, seed: int, limits: Limits
-) -> Fitted:
-    return _fit_cut_forest(train, label, params, seed, limits, regression=True)
+def fit_extra_trees_regressor(train: DataFrame, label: str, params: dict, seed: int) -> Fitted:
+    return _fit_cut_forest(train, label, params, seed, regression=True)
 
 
-def _boosting(params: dict, label: str, seed: int, limits: Limits, leaf_wise: bool):
+def _boosting(train: DataFrame, params: dict, label: str, seed: int, leaf_wise: bool):
+    """Rounds are checkpointed in the shared folder, so that their lineage stays short."""
+    checkpoint_dir(train.sparkSession)
     notes: list[str] = ["gradient-boosted trees of MLlib"]
+    effective: dict[str, str] = {}
     if leaf_wise:
         wanted = math.ceil(math.log2(_number(params, "num_leaves", 31)))
-        rate, trees = 0.1, _trees(params, 100, limits, notes)
+        rate, trees = 0.1, _trees(params, 100)
     else:
         wanted = _number(params, "max_depth", 6)
-        rate, trees = _number(params, "learning_rate", 0.3), _trees(params, 500, limits, notes)
+        rate, trees = _number(params, "learning_rate", 0.3), _trees(params, 500)
     columns = _number(params, "colsample_bytree", 1.0) * _number(params, "colsample_bylevel", 1.0)
     _no_effect(params, ("reg_alpha", "reg_lambda"), notes)
     settings = {
         "labelCol": label,
         "maxIter": trees,
-        "maxDepth": _depth(wanted, limits, notes),
+        "maxDepth": _depth(wanted, effective),
         "stepSize": rate,
         "minInstancesPerNode": int(_number(params, "min_child_weight", 1)),
         "subsamplingRate": _number(params, "subsample", 1.0),
-        "featureSubsetStrategy": _fraction(columns),
+        "featureSubsetStrategy": _fraction(columns, _width(train)),
+        "checkpointInterval": 10,
         "seed": seed,
     }
-    return settings, notes
+    return settings, notes, effective
 
 
-def fit_xgb(train: DataFrame, label: str, params: dict, seed: int, limits: Limits) -> Fitted:
-    settings, notes = _boosting(params, label, seed, limits, leaf_wise=False)
-    return Fitted([mlc.GBTClassifier(**settings).fit(train)], notes)
+def fit_xgb(train: DataFrame, label: str, params: dict, seed: int) -> Fitted:
+    settings, *said = _boosting(train, params, label, seed, leaf_wise=False)
+    return Fitted([mlc.GBTClassifier(**settings).fit(train)], *said)
 
 
-def fit_lgbm(train: DataFrame, label: str, params: dict, seed: int, limits: Limits) -> Fitted:
-    settings, notes = _boosting(params, label, seed, limits, leaf_wise=True)
-    return Fitted([mlc.GBTClassifier(**settings).fit(train)], notes)
+def fit_lgbm(train: DataFrame, label: str, params: dict, seed: int) -> Fitted:
+    settings, *said = _boosting(train, params, label, seed, leaf_wise=True)
+    return Fitted([mlc.GBTClassifier(**settings).fit(train)], *said)
 
 
-def fit_xgb_regressor(train: DataFrame, label: str, params: dict, seed: int, limits: Limits) -> Fitted:
-    settings, notes = _boosting(params, label, seed, limits, leaf_wise=False)
-    return Fitted([mlr.GBTRegressor(**settings).fit(train)], notes)
+def fit_xgb_regressor(train: DataFrame, label: str, params: dict, seed: int) -> Fitted:
+    settings, *said = _boosting(train, params, label, seed, leaf_wise=False)
+    return Fitted([mlr.GBTRegressor(**settings).fit(train)], *said)
 
 
-FAMILIES: dict[str, Callable[[DataFrame, str, dict, int, Limits], Fitted]] = {
+FAMILIES: dict[str, Callable[[DataFrame, str, dict, int], Fitted]] = {
     LOGISTIC: fit_logistic,
     LINEAR_SVC: fit_linear_svc,
     EXTRA_TREES: fit_extra_trees,
@@ -303,14 +306,12 @@ FAMILIES: dict[str, Callable[[DataFrame, str, dict, int, Limits], Fitted]] = {
 }
 
 
-def fit_model(
-    train: DataFrame, label: str, params: dict[str, str], seed: int = 42, limits: Limits = Limits()
-) -> Fitted:
+def fit_model(train: DataFrame, label: str, params: dict[str, str], seed: int = 42) -> Fitted:
     """Fit the family named by ``params['model']`` on rows with ``features`` and the label."""
     family = params["model"]
     if family not in FAMILIES:
         raise ValueError(f"unknown model {family!r}; known: {sorted(FAMILIES)}")
-    return FAMILIES[family](train, label, params, seed, limits)
+    return FAMILIES[family](train, label, params, seed)
 
 
 # --- importances -------------------------------------------------------------------------------

@@ -5,13 +5,11 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quarryline.operators.ordered import Wanted, order_statistics
-
-FEW_ROWS = 10_000
+from quarryline.session import new_path
 
 
 def numeric_columns(df: DataFrame) -> list[str]:
@@ -35,20 +33,34 @@ class RowRange:
 
 
 def keys_at(df: DataFrame, key: str, positions: Sequence[int]) -> dict[int, object]:
-    """The unique key at each 0-based position of the key order; positions past the end are absent."""
-    last = max(positions)
-    if last < FEW_ROWS:  # per-task top-k, never a full sort
-        head = [r[0] for r in df.select(key).orderBy(key).limit(last + 1).collect()]
-        return {p: head[p] for p in positions if p < len(head)}
-    if key not in numeric_columns(df):
-        raise TypeError(f"positions from {FEW_ROWS} on need a numeric key, not {key!r}")
-    n = df.count()
-    inside = [p for p in positions if p < n]
-    if not inside:
+    """The unique key at each 0-based position of the key order; positions past the end are absent.
+
+    The keys, of any type that has an order, are dealt to ranges and written; the sizes of the
+    ranges say where a position lies, and only those ranges are sorted.
+    """
+    spark = df.sparkSession
+    path = new_path(spark, "keys")
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    dealt = df.select(F.col(key).alias("key")).repartitionByRange(parts, "key")
+    dealt.withColumn("part", F.spark_partition_id()).write.parquet(path)
+    keys = spark.read.parquet(path)
+    sizes = keys.groupBy("part").count().collect()  # one line per range
+    wanted, first = [], 0
+    for line in sorted(sizes, key=lambda r: r["part"]):
+        wanted += [
+            (line["part"], p - first + 1, p) for p in positions if first <= p < first + line["count"]
+        ]
+        first += line["count"]
+    if not wanted:
         return {}
-    wanted = Wanted(F.col(key), lambda _: [p + 1 for p in inside])
-    _, found = order_statistics(df, {"key": wanted})["key"]
-    return {p: f.value for p, f in zip(inside, found)}
+    places = spark.createDataFrame(wanted, "in_part int, nth int, position long")
+    order = Window.partitionBy("part").orderBy("key")
+    found = (
+        keys.filter(F.col("part").isin(sorted({w[0] for w in wanted})))
+        .withColumn("nth", F.row_number().over(order))
+        .join(places.withColumnRenamed("in_part", "part"), ["part", "nth"])
+    )
+    return {line["position"]: line["key"] for line in found.collect()}  # as many as positions
 
 
 def edit_rows(df: DataFrame, key: str, edits: Sequence[RowRange]) -> DataFrame:

@@ -25,9 +25,8 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-ONE_TASK = 1_000_000  # rows that one task may sort
+ROWS_TO_SORT = 1_000_000  # an interval with more rows is divided again, one with fewer is sorted
 BINS = 1024
-MAX_RANGES = 4096
 LARGEST = 1.7976931348623157e308
 
 
@@ -249,7 +248,7 @@ def _locate(
                 inside = [r for r in wanted[i] if p.holds(r)]
                 if inside and p.single:
                     answers |= {(i, r): Found(r, p.low, p.below, p.rows) for r in inside}
-                elif inside and (p.rows <= ONE_TASK or not p.divisible()):
+                elif inside and (p.rows <= ROWS_TO_SORT or not p.divisible()):
                     to_sort[i].append(p)
                 elif inside:
                     too_big[i].append(p)
@@ -410,17 +409,13 @@ class Ranges:
     """Split points of similar-sized value ranges, and the values that fill a range alone."""
 
     splits: list[float]
-    hot: list[float]
+    hot: list
 
 
-def _ranges(df: DataFrame, columns: Sequence[str], pieces: int | None) -> list[Ranges] | None:
-    """Ranges of each column, or None when one task may sort all rows."""
+def _ranges(df: DataFrame, columns: Sequence[str], pieces: int) -> list[Ranges]:
+    """Ranges of each column with about a ``pieces``-th of its rows each."""
     source = _Columns(df, [F.col(c) for c in columns])
     whole = source.whole()
-    n = max((p.rows for p in whole.values()), default=0)
-    pieces = pieces or min(MAX_RANGES, math.ceil(n / ONE_TASK))
-    if pieces <= 1:
-        return None
     limit = {i: p.rows / pieces for i, p in whole.items()}
     leaves: dict[int, list[Interval]] = defaultdict(list)
     pending: Intervals = {}
@@ -438,13 +433,13 @@ def _ranges(df: DataFrame, columns: Sequence[str], pieces: int | None) -> list[R
 
 
 def _similar_sizes(leaves: list[Interval], limit: float) -> Ranges:
+    """Different integers that are one double stay together: only a single value can be hot."""
     splits, hot, filled = [], [], math.inf
     for leaf in sorted(leaves, key=lambda p: p.ends):
-        low = leaf.ends[0]
-        if leaf.rows > limit:
-            hot.append(low)
+        if leaf.rows > limit and leaf.single:
+            hot.append(leaf.low)
         if filled + leaf.rows > limit:
-            splits.append(low)
+            splits.append(leaf.ends[0])
             filled = 0
         filled += leaf.rows
     return Ranges(sorted(set(splits)), sorted(set(hot)))
@@ -455,10 +450,10 @@ def _bucket(df: DataFrame, column: str, splits: list[float], output: str) -> Dat
         return df.withColumn(output, F.lit(0.0))
     return Bucketizer(
         splits=[-math.inf, *splits, math.inf],
-        inputCol=column,
+        inputCol="_x",
         outputCol=output,
         handleInvalid="keep",
-    ).transform(df)
+    ).transform(df.withColumn("_x", _number(F.col(column)))).drop("_x")
 
 
 def running(
@@ -478,25 +473,22 @@ def running(
     ``tie`` is numeric, ascending and unique among equal ``order`` values, or None when ``order``
     is itself unique within ``by``. Rows whose order is NULL come last. ``like`` is a table with
     the same ``order`` values that is cheaper to read, e.g. the rows before an aggregation; the
-    ranges are then taken from it.
+    ranges are then taken from it. ``pieces`` is the number of ranges, by default that of the
+    shuffle partitions. Rows are compared by the column itself; a double only picks the range.
     """
     combine = {"sum": F.sum, "max": F.max}
-    value = F.col(order).cast("double")
-    work = df.withColumn("_value", -value if descending else value)
+    value = -F.col(order) if descending else F.col(order)
+    pieces = pieces or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    work = df.withColumn("_value", value)
     sort = [F.col("_value").asc_nulls_last()]
     if tie is not None:
-        work = work.withColumn("_tie", F.col(tie).cast("double"))
+        work = work.withColumn("_tie", F.col(tie))
         sort.append(F.col(tie))
     if like is not None and tie is None:
-        found = _ranges(like.select((-value if descending else value).alias("_value")), ["_value"], pieces)
+        found = _ranges(like.select(value.alias("_value")), ["_value"], pieces)
     else:
         found = _ranges(work, ["_value"] if tie is None else ["_value", "_tie"], pieces)
     upto = (Window.unboundedPreceding, Window.currentRow)
-    if found is None:
-        inside = Window.partitionBy(*by).orderBy(*sort).rowsBetween(*upto)
-        totals = {out: combine[kind](c).over(inside) for out, (kind, c) in measures.items()}
-        return work.withColumns(totals).select(*df.columns, *totals)
-
     ranges = found[0]
     work = _bucket(work, "_value", ranges.splits, "_range")
     # inside [s, next) a hot s comes first; it gets an even number, the other values an odd one

@@ -8,15 +8,13 @@ state of a model version is its latest event; nothing is updated in place.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import reduce
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarryline.functions.scalars import elapsed_seconds, run_name, without_model
-from quarryline.operators.ordered import ONE_TASK, running
-from quarryline.session import new_path
+from quarryline.operators.ordered import running
 from quarryline.sources.tables import path_exists
 
 NO_STAGE, STAGING, PRODUCTION, ARCHIVED = "None", "Staging", "Production", "Archived"
@@ -76,8 +74,9 @@ def next_version(events: DataFrame) -> DataFrame:
 def version_state(events: DataFrame) -> DataFrame:
     """Current stage per model version when every event changes only its own version."""
     return events.groupBy("model_name", "version").agg(
-        F.max_by("stage", "event_seq").alias("stage"),
-        F.min_by("run_id", "event_seq").alias("run_id"),
+        # writers that took the same number at once: the later stage name, the smaller run
+        F.max_by("stage", F.struct("event_seq", "stage")).alias("stage"),
+        F.min_by("run_id", F.struct("event_seq", "run_id")).alias("run_id"),
         F.max("event_seq").alias("event_seq"),
     )
 
@@ -147,9 +146,9 @@ def promotion_history(
 
     A run can only be promoted if it is at least as good as all earlier ones (unless those are
     negative, where the required score lies below the one in production). Such candidates are found
-    with a running maximum. Without a required gain they are all promoted. Otherwise the replay
-    streams over the candidates of a model, keeping one number; a model with more candidates than
-    one task should see is replayed by search, one promotion per round.
+    with a running maximum, in parallel whatever the size of a model. Without a required gain they
+    are all promoted. Otherwise each decision depends on the one before, so the replay streams over
+    the candidates of a model in order, keeping one number.
     """
     if gain < 0:
         raise ValueError("the history needs a gain of at least 0")
@@ -166,7 +165,7 @@ def promotion_history(
         )
     else:
         candidates = seen.filter(record | (F.col("_best") < 0)).drop("_best")
-        promoted = _replayed(candidates, gain)
+        promoted = _replay_in_order(candidates, gain)
     return promoted.select(
         F.col("_group").alias(group),
         F.col("_order").alias(order),
@@ -175,21 +174,6 @@ def promotion_history(
     )
 
 
-def _replayed(candidates: DataFrame, gain: float) -> DataFrame:
-    spark = candidates.sparkSession
-    stored = new_path(spark, "candidates")
-    candidates.write.parquet(stored)
-    candidates = spark.read.parquet(stored)
-    sizes = candidates.groupBy("_group").agg(F.count(F.lit(1)).alias("_n"))
-    large = sizes.filter(F.col("_n") > ONE_TASK)
-    if large.isEmpty():
-        return _replay_in_order(candidates, gain)
-    names = large.select(F.col("_group").alias("_name"))
-    is_large = F.col("_group").eqNullSafe(F.col("_name"))
-    few = _replay_in_order(candidates.join(names, is_large, "left_anti"), gain)
-    return few.unionByName(_replay_by_search(candidates.join(names, is_large, "left_semi"), gain))
-
-
 def _replay_in_order(candidates: DataFrame, gain: float) -> DataFrame:
     """One pass over each model's candidates in time order, with constant memory."""
 
@@ -212,36 +196,6 @@ def _replay_in_order(candidates: DataFrame, gain: float) -> DataFrame:
     return ordered.mapInPandas(replay, schema)
 
 
-def _replay_by_search(candidates: DataFrame, gain: float) -> DataFrame:
-    """Find the next promotion of every model at once, until no model has one.
-
-    Each round is a map-side minimum over the candidates; with a gain, the rounds are as many as
-    the score can rise by that factor. Rounds are written, so a lost executor repeats one round.
-    """
-    spark = candidates.sparkSession
-    root = new_path(spark, "promotions")
-    first = F.min("_order").alias("_order"), F.min_by("_score", "_order").alias("_score")
-    step = candidates.groupBy("_group").agg(*first)
-    written: list[DataFrame] = []
-    while True:
-        path = f"{root}/{len(written)}"
-        step.write.parquet(path)
-        state = spark.read.schema(candidates.schema).parquet(path)
-        if state.isEmpty():
-            break
-        written.append(state.withColumn("_number", F.lit(len(written) + 1).cast("bigint")))
-        bar = state.select(
-            F.col("_group").alias("_name"),
-            F.col("_order").alias("_since"),
-            (F.col("_score") * (F.lit(1.0) + F.lit(float(gain)))).alias("_bar"),
-        )
-        better = candidates.join(bar, F.col("_group").eqNullSafe(F.col("_name"))).filter(
-            (F.col("_order") > F.col("_since")) & (F.col("_score") >= F.col("_bar"))
-        )
-        step = better.groupBy("_group").agg(*first)
-    return reduce(DataFrame.unionByName, written)
-
-
 # --- the stored log ----------------------------------------------------------------------------
 
 
@@ -324,18 +278,23 @@ class RunLog:
         events.write.mode("append").parquet(f"{self.root}/model_version_events")
 
     def register_model(self, run_id: str, model_name: str) -> int:
-        """The next version of the model for this run; a run is registered once per model."""
+        """The next version of the model for this run; a run is registered once per model.
+
+        Events cannot be locked, so the version is read again after it was written: of several
+        runs that took it at once the smallest run id keeps it, and the others take the next.
+        """
         of_model = F.col("model_name") == model_name
-        known = self.events.agg(
-            F.max(F.when(of_model & (F.col("run_id") == run_id), F.col("version"))).alias("mine"),
-            F.max(F.when(of_model, F.col("version"))).alias("latest"),
-            F.max("event_seq").alias("seq"),
-        ).first()
-        if known["mine"] is not None:
-            return known["mine"]
-        version = (known["latest"] or 0) + 1
-        self._add_events([(model_name, version, run_id, NO_STAGE, (known["seq"] or 0) + 1)])
-        return version
+        while True:
+            state = self.state(model_name)
+            mine = state.filter(F.col("run_id") == run_id).agg(F.max("version")).first()[0]
+            if mine is not None:
+                return mine
+            known = self.events.agg(
+                F.max(F.when(of_model, F.col("version"))).alias("latest"),
+                F.max("event_seq").alias("seq"),
+            ).first()
+            version = (known["latest"] or 0) + 1
+            self._add_events([(model_name, version, run_id, NO_STAGE, (known["seq"] or 0) + 1)])
 
     def _around(self, model_name: str, version: int) -> tuple[str, list, int]:
         """The version's run, the versions now in production, and the next event number."""

@@ -167,6 +167,15 @@ def regression_spaces() -> list[Space]:
     return spaces
 
 
+def with_fixed(spaces: list[Space], values: dict[str, dict[str, str]]) -> list[Space]:
+    """The spaces with some parameters of a family at one value, in all its trials: a smaller search
+    space, whose trials say so in their parameters."""
+    return [
+        Space(s.model, {**s.params, **{k: Choice((v,)) for k, v in values.get(s.model, {}).items()}}, s.tuned)
+        for s in spaces
+    ]
+
+
 # --- trials ------------------------------------------------------------------------------------
 
 PLAN_SCHEMA = (

@@ -31,7 +31,14 @@ from quarryline.queries.views import doc_feat, loan, reg
 from quarryline.session import new_path
 from quarryline.sources import tables as io
 
-SMALL = m.Limits(max_trees=10, max_depth=5)  # size of each tree model, not of its data
+# The tree models of these queries are small ones: their own parameters say so.
+FOREST = {"n_estimators": "10", "max_depth": "5"}
+LEAVES = {"n_estimators": "10", "num_leaves": "31"}
+FORESTS = (sp.EXTRA_TREES, sp.RANDOM_FOREST, sp.XGB, sp.EXTRA_TREES_REGRESSOR, sp.RANDOM_FOREST_REGRESSOR, sp.XGB_REGRESSOR)
+SMALL_SPACE = {
+    **{f: {f"model__{k}": v for k, v in FOREST.items()} for f in FORESTS},
+    sp.LGBM: {f"model__{k}": v for k, v in LEAVES.items()},
+}
 SPLIT = f"""{LOAN}, parts AS (
   SELECT app_id, CAST(CASE WHEN target = 'bad' THEN 1 ELSE 0 END AS INTEGER) AS label,
     row_number() OVER (ORDER BY
@@ -87,11 +94,11 @@ def predict_csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(io.read_predictions(spark, output, "app_id bigint"), 9, "predictions")
 
 
-@query("SELECT count(*) AS n, CAST(0 AS BIGINT) AS n_different FROM documents JOIN labels USING (doc_id)")
+@query("SELECT count(*) AS n, CAST(0 AS BIGINT) AS n_different FROM documents")
 def model_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A saved and loaded model gives every row the score of the model in memory."""
-    df = doc_feat(spark, sf_dir)
-    model = _fit(df, "doc_id", sp.EXTRA_TREES, Prep())
+    df = doc_all(spark, sf_dir)
+    model = _fit(df.filter("label IS NOT NULL"), "doc_id", sp.EXTRA_TREES, Prep(), **FOREST)
     root = new_path(spark, "store")
     io.save_model(model, root, "1")
     ours = m.score_rows(model, df, "before").select("doc_id", "before")
@@ -107,13 +114,14 @@ def _fit(df: DataFrame, key: str, model: str, prep: Prep, **params: str) -> Pipe
     pipeline = fit_features(df, Columns.of(df, leave_out=leave_out), prep)
     ready = pipeline.transform(df).withColumn("label", F.col("label").cast("double"))
     settings = {"model": model, **{f"model__{k}": v for k, v in params.items()}}
-    fitted = m.fit_model(ready, "label", settings, 42, SMALL)
+    fitted = m.fit_model(ready, "label", settings)
     return PipelineModel([*pipeline.stages, *fitted.stages])
 
 
 def _classify(spark: SparkSession, sf_dir: str, model: str, prep: Prep, **params: str) -> DataFrame:
-    df = doc_feat(spark, sf_dir)
-    fitted = _fit(df, "doc_id", model, prep, **params)
+    """Fitted on the labelled documents, scored on all."""
+    df = doc_all(spark, sf_dir)
+    fitted = _fit(df.filter("label IS NOT NULL"), "doc_id", model, prep, **params)
     return m.score_rows(fitted, df).select("doc_id", "label", "score")
 
 
@@ -128,7 +136,7 @@ def logistic_regression(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def logistic_mean_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The intercept is not penalised, so the mean score is the share of positives."""
-    scored = logistic_regression(spark, sf_dir)
+    scored = logistic_regression(spark, sf_dir).filter("label IS NOT NULL")
     return scored.agg(
         F.count(F.lit(1)).alias("n"), F.round(F.avg("score"), 4).alias("mean_score")
     )
@@ -141,22 +149,22 @@ def linear_svc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query()
 def random_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _classify(spark, sf_dir, sp.RANDOM_FOREST, Prep(), max_features="0.5")
+    return _classify(spark, sf_dir, sp.RANDOM_FOREST, Prep(), max_features="0.5", **FOREST)
 
 
 @query()
 def extra_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _classify(spark, sf_dir, sp.EXTRA_TREES, Prep(), criterion="entropy")
+    return _classify(spark, sf_dir, sp.EXTRA_TREES, Prep(), criterion="entropy", **FOREST)
 
 
 @query()
 def xgb_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _classify(spark, sf_dir, sp.XGB, Prep(), learning_rate="0.1")
+    return _classify(spark, sf_dir, sp.XGB, Prep(), learning_rate="0.1", **FOREST)
 
 
 @query()
 def lgbm_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _classify(spark, sf_dir, sp.LGBM, Prep(), num_leaves="16")
+    return _classify(spark, sf_dir, sp.LGBM, Prep(), **LEAVES)
 
 
 @query(
@@ -213,47 +221,53 @@ def elastic_net_mean_score(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query()
 def random_forest_regressor(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _regress(spark, sf_dir, sp.RANDOM_FOREST_REGRESSOR, Prep(), max_samples="0.8")
+    return _regress(spark, sf_dir, sp.RANDOM_FOREST_REGRESSOR, Prep(), max_samples="0.8", **FOREST)
 
 
 @query()
 def extra_trees_regressor(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _regress(spark, sf_dir, sp.EXTRA_TREES_REGRESSOR, Prep(encoder=LEARNED_ORDER))
+    return _regress(spark, sf_dir, sp.EXTRA_TREES_REGRESSOR, Prep(encoder=LEARNED_ORDER), **FOREST)
 
 
 @query()
 def xgb_regressor(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _regress(spark, sf_dir, sp.XGB_REGRESSOR, Prep(), learning_rate="0.3")
+    return _regress(spark, sf_dir, sp.XGB_REGRESSOR, Prep(), learning_rate="0.3", **FOREST)
 
 
 @query()
 def feature_importances(spark: SparkSession, sf_dir: str) -> DataFrame:
     df = doc_feat(spark, sf_dir)
-    model = _fit(df, "doc_id", sp.RANDOM_FOREST, Prep())
+    model = _fit(df, "doc_id", sp.RANDOM_FOREST, Prep(), **FOREST)
     return m.feature_importances(spark, model, df).orderBy(F.desc("importance"), "feature")
 
 
-def _search_settings(parallelism: int = 8) -> SearchSettings:
-    return SearchSettings(n_iterations=1, n_folds=3, parallelism=parallelism, limits=SMALL)
-
-
 @query()
 def cv_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every family and trial on every fold over the labelled documents, with means and ranks."""
-    result = search(
-        doc_feat(spark, sf_dir), "doc_id", "label", sp.classification_spaces(), _search_settings()
-    )
+    spaces = sp.with_fixed(sp.classification_spaces(), SMALL_SPACE)
+    settings = SearchSettings(n_iterations=4, n_folds=3, parallelism=8)
+    result = search(doc_feat(spark, sf_dir), "doc_id", "label", spaces, settings)
     return result.trials.select(
         "trial_id", "model", "mean_score", "sd_score", "n_folds", F.size("notes").alias("n_notes")
     )
 
 
+@query()
+def regression_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All four regression families over the line items of every order, by their error."""
+    items = reg(spark, sf_dir).withColumn("row_id", F.monotonically_increasing_id())
+    spaces = sp.with_fixed(sp.regression_spaces(), SMALL_SPACE)
+    settings = SearchSettings(score="rmse", n_iterations=1, n_folds=2, parallelism=8)
+    result = search(items, "row_id", "label", spaces, settings)
+    return result.trials.select("trial_id", "model", "mean_score", "n_folds")
+
+
 @query()
 def experiment_end_to_end(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two linear experiments on the loans; the second meets the gate set by the first."""
+    """Two experiments with all five families on the loans; the second meets the gate of the first."""
     df = _labelled(spark, sf_dir)
     root = new_path(spark, "log")
-    spaces = [s for s in sp.classification_spaces() if s.model == sp.LOGISTIC]
+    spaces = sp.with_fixed(sp.classification_spaces(), SMALL_SPACE)
     lines = []
     for seed, gain in ((3, 0.0001), (10, 0.5)):
         settings = SearchSettings(n_iterations=1, n_folds=3, seed=seed, parallelism=8)
@@ -267,6 +281,53 @@ def experiment_end_to_end(spark: SparkSession, sf_dir: str) -> DataFrame:
     return outcome.withColumn("n_versions", state.agg(F.count(F.lit(1))).scalar())
 
 
+# One split on the quantity, at the best of all cuts between neighbouring values, by the squared error.
+_STUMP = """
+WITH sums AS (
+  SELECT l_quantity AS x, count(*) AS n, sum(l_extendedprice) AS s FROM lineitem GROUP BY l_quantity
+),
+cuts AS (
+  SELECT x, sum(n) OVER upto AS n_left, sum(s) OVER upto AS s_left, sum(n) OVER () AS n_all, sum(s) OVER () AS s_all
+  FROM sums WINDOW upto AS (ORDER BY x)
+),
+best AS (
+  SELECT * FROM cuts WHERE n_left < n_all
+  ORDER BY s_left * s_left / n_left + (s_all - s_left) * (s_all - s_left) / (n_all - n_left) DESC LIMIT 1
+)
+"""
+_STUMP_ROWS = """
+SELECT l_quantity, round(CASE WHEN l_quantity <= best.x THEN s_left / n_left ELSE (s_all - s_left) / (n_all - n_left) END, 4) AS score,
+       count(*) AS n
+FROM lineitem CROSS JOIN best GROUP BY ALL
+"""
+
+
+def _stump(spark: SparkSession, sf_dir: str, model: str, **params: str) -> DataFrame:
+    items = reg(spark, sf_dir).select("label", "l_quantity")
+    fitted = _fit(items, "", model, Prep(), n_estimators="1", max_depth="1", **params)
+    scored = m.score_rows(fitted, items)
+    return scored.groupBy("l_quantity", F.round("score", 4).alias("score")).agg(F.count(F.lit(1)).alias("n"))
+
+
+@query(_STUMP + _STUMP_ROWS)
+def boosted_stump(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One round of boosting with one split: the best cut and the means on both sides of it."""
+    return _stump(spark, sf_dir, sp.XGB_REGRESSOR)
+
+
+@query(
+    """SELECT doc_id, 1 - quality AS label, count(*) OVER () AS n FROM documents LEFT JOIN labels USING (doc_id)"""
+)
+def scored_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document gets a probability of class 1, judged or not; columns the model does not know
+    do not matter."""
+    df = doc_all(spark, sf_dir)
+    fitted = _fit(df.filter("label IS NOT NULL"), "doc_id", sp.LOGISTIC, Prep(scaler=STANDARD))
+    scored = m.score_rows(fitted, df.withColumn("unknown_to_the_model", F.lit("x")))
+    valid = scored.filter("score BETWEEN 0 AND 1").select("doc_id", "label")
+    return valid.withColumn("n", valid.agg(F.count(F.lit(1))).scalar())
+
+
 @query(
     f"""{NUMBERED}, parts AS (
       SELECT CASE WHEN target = 'bad' THEN 1 ELSE 0 END AS label,

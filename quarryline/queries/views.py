@@ -253,11 +253,16 @@ stage_event AS (
   FROM events WHERE event_type <> 'error')"""
 
 
-def doc_feat(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Labelled documents for the classifiers: label 1 = bad quality."""
+def doc_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents for the classifiers: label 1 = bad quality, NULL where nobody judged."""
     documents = table(spark, sf_dir, "documents").select("doc_id", "lang", "source", "n_chars")
     labels = table(spark, sf_dir, "labels").select("doc_id", (1 - F.col("quality")).alias("label"))
-    return documents.join(labels, "doc_id")
+    return documents.join(labels, "doc_id", "left")
+
+
+def doc_feat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Labelled documents."""
+    return doc_all(spark, sf_dir).filter("label IS NOT NULL")
 
 
 def reg(spark: SparkSession, sf_dir: str) -> DataFrame:

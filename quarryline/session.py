@@ -49,3 +49,10 @@ def _local_stand_in() -> str:
 def new_path(spark: SparkSession, label: str) -> str:
     """A path below the shared folder that no other job uses."""
     return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def checkpoint_dir(spark: SparkSession) -> None:
+    """Let RDD checkpoints go to the shared folder, unless the session names a place for them."""
+    context = spark.sparkContext
+    if context._jsc.sc().getCheckpointDir().isEmpty():
+        context.setCheckpointDir(f"{shared_dir(spark)}/rounds")

@@ -16,7 +16,7 @@ from quarryline.operators.registry import RunLog
 from quarryline.session import new_path
 from quarryline.sources import tables as io
 
-LIMITS = m.Limits(max_trees=8, max_depth=4)
+SMALL = {"model__n_estimators": "8", "model__max_depth": "4", "model__num_leaves": "16"}
 CLASSIFIERS = [sp.LOGISTIC, sp.EXTRA_TREES, sp.RANDOM_FOREST, sp.XGB, sp.LGBM]
 REGRESSORS = [sp.ELASTIC_NET, sp.EXTRA_TREES_REGRESSOR, sp.RANDOM_FOREST_REGRESSOR, sp.XGB_REGRESSOR]
 
@@ -76,7 +76,7 @@ def test_classifiers_learn_and_survive_saving(spark, table, family):
     features = table.drop("z")
     columns = Columns.of(features, leave_out=["id", "label"])
     pipeline = fit_features(features, columns, Prep())
-    fitted = m.fit_model(pipeline.transform(features), "label", {"model": family}, 42, LIMITS)
+    fitted = m.fit_model(pipeline.transform(features), "label", {"model": family, **SMALL})
     model = PipelineModel([*pipeline.stages, *fitted.stages])
     scored = m.score_rows(model, features)
     assert roc_auc(scored).first()[0] > 0.75
@@ -105,7 +105,7 @@ def test_classifiers_learn_and_survive_saving(spark, table, family):
 @pytest.mark.parametrize("family", REGRESSORS)
 def test_regressors_beat_the_mean(vectors, family):
     params = {"model": family, "model__alpha": "0.01"}
-    fitted = m.fit_model(vectors, "z", params, 42, LIMITS)
+    fitted = m.fit_model(vectors, "z", {**SMALL, **params})
     scored = m.score_rows(fitted, vectors)
     error = scored.agg(
         F.avg((F.col("score") - F.col("z")) ** 2) / F.var_pop("z")
@@ -113,16 +113,16 @@ def test_regressors_beat_the_mean(vectors, family):
     assert error < 0.5
 
 
-def test_caps_and_ignored_parameters_are_noted(vectors):
+def test_what_differs_from_the_parameters_is_said(vectors):
     params = {
-        "model": sp.RANDOM_FOREST, "model__n_estimators": "700", "model__max_depth": "90",
-        "model__min_samples_split": "4",
+        "model": sp.RANDOM_FOREST, "model__n_estimators": "12", "model__max_depth": "90",
+        "model__min_samples_split": "4", "model__max_features": "0.0001",
     }
-    notes = m.fit_model(vectors, "label", params, 42, LIMITS).notes
-    assert "n_estimators 700 capped at 8" in notes and "max_depth 90 capped at 4" in notes
-    assert "min_samples_split has no effect" in notes
-    free = m.Limits()
-    assert m._depth(100.0, free, found := []) == 30 and found == ["max_depth 100 capped at 30"]
+    fitted = m.fit_model(vectors, "label", params)
+    assert fitted.notes == ["min_samples_split has no effect"]
+    assert fitted.effective == {"model__max_depth": "30"}
+    assert fitted.stages[0].getNumTrees == 12 and fitted.stages[0].totalNumNodes > 12
+    assert m._depth(7.0, said := {}) == 7 and said == {}
 
 
 def test_unknown_model(vectors):

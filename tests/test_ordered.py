@@ -42,7 +42,7 @@ def test_exact_quantiles_match_sorting(spark):
 @pytest.mark.parametrize("bins", [2, 7])
 def test_bins_are_divided_until_few_rows_are_left(spark, monkeypatch, bins):
     """Heavy tails, a hot value, infinities and huge integers, with tasks of at most 20 rows."""
-    monkeypatch.setattr(ordered, "ONE_TASK", 20)
+    monkeypatch.setattr(ordered, "ROWS_TO_SORT", 20)
     monkeypatch.setattr(ordered, "BINS", bins)
     rng = random.Random(2)
     values = [rng.lognormvariate(0, 6) for _ in range(300)] + [3.25] * 200

@@ -9,7 +9,6 @@ from quarryline.functions.scalars import (
     friendly_params,
     param_value,
 )
-from quarryline.models.estimators import Limits
 from quarryline.operators import search_space as sp
 from quarryline.operators import trials as trials_ops
 from quarryline.operators.registry import RunLog
@@ -95,10 +94,11 @@ def cases(spark):
 
 
 def test_search_keeps_fold_scores_and_refits_the_best(spark, cases):
-    settings = SearchSettings(
-        n_iterations=1, n_folds=2, n_repeats=2, parallelism=8, limits=Limits(4, 3)
-    )
-    result = search(cases, "app_id", "label", sp.classification_spaces(), settings)
+    settings = SearchSettings(n_iterations=1, n_folds=2, n_repeats=2, parallelism=8)
+    sizes = {"model__n_estimators": "4", "model__max_depth": "3"}
+    families = (sp.EXTRA_TREES, sp.RANDOM_FOREST, sp.XGB, sp.LGBM)
+    spaces = sp.with_fixed(sp.classification_spaces(), {f: sizes for f in families})
+    result = search(cases, "app_id", "label", spaces, settings)
     scores = result.scores.collect()
     assert len(scores) == 10 * 4
     trials = {t["trial_id"]: t for t in result.trials.collect()}
@@ -165,6 +165,6 @@ def test_two_experiments_and_the_gate(spark, cases):
 
 
 def test_gate_for_scores_where_lower_is_better(spark):
-    assert is_promoted(spark, 0.9, 1.0, 0.05, "rmse")
-    assert not is_promoted(spark, 0.97, 1.0, 0.05, "rmse")
+    assert is_promoted(0.9, 1.0, 0.05, "rmse")
+    assert not is_promoted(0.97, 1.0, 0.05, "rmse")
 

@@ -46,10 +46,12 @@ def test_edit_ranges_past_the_end(spark):
     assert all(r["credit_amount"] == r["app_id"] * 10.0 for r in rows)
 
 
-def test_edit_of_many_rows_uses_order_statistics(spark, monkeypatch):
-    monkeypatch.setattr(edit, "FEW_ROWS", 10)
-    rows = edit.edit_rows(_loans(spark), "app_id", [edit.RowRange("duration", 50, 120)]).collect()
-    assert sorted(r["app_id"] for r in rows if r["duration"] is None) == list(range(50, 120))
+@pytest.mark.parametrize("start, stop", [(0, 10), (9000, 9002), (10_002, 19_000)])
+def test_edit_by_a_text_key(spark, start, stop):
+    df = spark.range(20_000).select(F.format_string("k%07d", "id").alias("k"), F.col("id").alias("v"))
+    edited = edit.edit_rows(df.repartition(7), "k", [edit.RowRange("v", start, stop)])
+    blank = [r["k"] for r in edited.filter("v IS NULL").collect()]
+    assert sorted(blank) == [f"k{i:07d}" for i in range(start, stop)]
 
 
 def test_edit_does_not_shuffle_the_table(spark):
