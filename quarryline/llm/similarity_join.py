@@ -11,8 +11,9 @@ A signature over no shingle at all says nothing and is left out, unless a set ha
 that a similar set could be missed; ``Bands`` has room for a few.
 
 Sets that share a signature are compared in full. Equal sets are one node from the start; within a
-large group of sets only a hub is compared with the others, and what is still in different
-components afterwards is compared across them. Links are joined to components by contraction.
+large group of sets only a hub is compared with the others. What is in different components
+afterwards is compared across them, but for sets that share too few shingles with all the others
+to be similar to any. Links are joined to components by contraction.
 """
 
 from __future__ import annotations
@@ -190,24 +191,12 @@ def _signed(docs: DataFrame, words: int, percent: int, buckets: int) -> DataFram
         waiting: list[np.ndarray] = []
         nodes: list[np.int64] = []
 
-        def flush() -> pa.RecordBatch:
+        def flush() -> Iterator[pa.RecordBatch]:
             codes, owners = sign(waiting, bands)
-            place = ((codes >> U(32)) * U(buckets)) >> U(32)
-            order = np.argsort(place, kind="stable")
-            place, codes = place[order], codes[order].astype(np.uint32)
-            owner_nodes = np.array(nodes, np.int64)[owners[order]]
-            cuts = np.flatnonzero(np.diff(place)) + 1
-            edges = [0, *cuts.tolist(), len(codes)] if len(codes) else []
+            owner_nodes = np.array(nodes, np.int64)[owners]
             waiting.clear()
             nodes.clear()
-            return pa.RecordBatch.from_pydict(
-                {
-                    "bucket": [int(place[a]) for a in edges[:-1]],
-                    "codes": [codes[a:b].tobytes() for a, b in zip(edges, edges[1:])],
-                    "nodes": [owner_nodes[a:b].tobytes() for a, b in zip(edges, edges[1:])],
-                },
-                schema=schema,
-            )
+            yield from _by_bucket(codes, owner_nodes, buckets, np.uint32, schema)
 
         for batch in rows:
             for value in batch.column("text"):
@@ -218,9 +207,9 @@ def _signed(docs: DataFrame, words: int, percent: int, buckets: int) -> DataFram
                 waiting.append(found)
                 nodes.append(node)
                 if len(waiting) >= BATCH or sum(map(len, waiting[-8:])) > 100_000:
-                    yield flush()
+                    yield from flush()
         if waiting:
-            yield flush()
+            yield from flush()
 
     return docs.mapInArrow(signed, out)
 
@@ -317,6 +306,93 @@ def _verified(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> D
     return possible.join(left.drop("n_a"), "a").join(right.drop("n_b"), "b").mapInArrow(compare, out)
 
 
+def _shared_shingles(texts: DataFrame, words: int, buckets: int) -> DataFrame:
+    """(node, n_shared): how many shingles of each set another of these sets has too."""
+    out = T.StructType.fromDDL("bucket int, codes binary, nodes binary")
+
+    def dealt(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        schema = to_arrow_schema(out)
+        unpack = zstandard.ZstdDecompressor().decompress
+        for batch in rows:
+            sets = [shingles(unpack(x.as_py()).decode(), words) for x in batch.column("packed")]
+            nodes = np.repeat(batch.column("node").to_numpy(), [len(s) for s in sets])
+            codes = np.concatenate(sets) if sets else np.empty(0, U)
+            yield from _by_bucket(codes, nodes, buckets, np.uint64, schema)
+
+    def count(table: pa.Table) -> pa.Table:
+        codes = np.concatenate([np.frombuffer(x.as_buffer(), np.uint64) for x in table["codes"]])
+        nodes = np.concatenate([np.frombuffer(x.as_buffer(), np.int64) for x in table["nodes"]])
+        _, of, times = np.unique(codes, return_inverse=True, return_counts=True)
+        found, n = np.unique(nodes[times[of] > 1], return_counts=True)
+        return pa.table({"node": found, "n": n})
+
+    parts = texts.select("node", "packed").mapInArrow(dealt, out)
+    return (
+        parts.groupBy("bucket")
+        .applyInArrow(count, "node long, n long")
+        .groupBy("node")
+        .agg(F.sum("n").alias("n_shared"))
+    )
+
+
+def _by_bucket(
+    codes: np.ndarray, nodes: np.ndarray, buckets: int, kind: type, schema: pa.Schema
+) -> Iterator[pa.RecordBatch]:
+    """Codes with their nodes, packed by the bucket that the upper half of a code names."""
+    place = ((codes >> U(32)) * U(buckets)) >> U(32)
+    order = np.argsort(place, kind="stable")
+    place, codes, nodes = place[order], codes[order].astype(kind), nodes[order].astype(np.int64)
+    edges = [0, *(np.flatnonzero(np.diff(place)) + 1).tolist(), len(codes)] if len(codes) else [0]
+    yield pa.RecordBatch.from_pydict(
+        {
+            "bucket": [int(place[a]) for a in edges[:-1]],
+            "codes": [codes[a:b].tobytes() for a, b in zip(edges, edges[1:])],
+            "nodes": [nodes[a:b].tobytes() for a, b in zip(edges, edges[1:])],
+        },
+        schema=schema,
+    )
+
+
+def _in_question(still: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
+    """The members (run, node, component) that may still be similar to one of another component.
+
+    A set can only have in common with others what it shares with any of them. Members that share
+    too little for the smallest set of the run leave it, runs with one component left are done, and
+    as those that stay share less without the others, this is repeated until nobody leaves.
+    """
+    parts = int(still.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    held = written(
+        texts.join(still.select("node").distinct(), "node", "left_semi").dropDuplicates(["node"]),
+        "join-held",
+    )
+    left = still.count()
+    while left:
+        of_open = held.join(still.select("node").distinct(), "node", "left_semi")
+        counts = _shared_shingles(of_open, words, 4 * parts)
+        sized = still.join(held.select("node", "n").join(counts, "node"), "node")
+        least = sized.groupBy("run").agg(F.min("n").alias("least"))
+        # Sets of x and y shingles that are similar have at least percent / (100 + percent) of x + y.
+        smallest = F.greatest("least", F.ceil(F.col("n") * percent / 100))
+        able = sized.join(least, "run").filter(
+            (100 + percent) * F.col("n_shared") >= percent * (F.col("n") + smallest)
+        )
+        able = able.select("run", "node", "component")
+        still = written(able.join(_mixed_runs(able), "run", "left_semi"), "join-open")
+        before, left = left, still.count()
+        if left == before:
+            break
+    return still
+
+
+def _mixed_runs(members: DataFrame) -> DataFrame:
+    return (
+        members.groupBy("run")
+        .agg(F.min("component").alias("first"), F.max("component").alias("last"))
+        .filter("first < last")
+        .select("run")
+    )
+
+
 def components(links: DataFrame) -> DataFrame:
     """(node, component) of the nodes of links (a, b); a component is called by its smallest node.
 
@@ -388,13 +464,8 @@ def join_components(
     named = members.join(labels, "node", "left").select(
         "run", "node", F.coalesce("component", "node").alias("component")
     )
-    mixed_runs = (
-        named.groupBy("run")
-        .agg(F.min("component").alias("first"), F.max("component").alias("last"))
-        .filter("first < last")
-        .select("run")
-    )
-    still = written(named.join(mixed_runs, "run", "left_semi"), "join-open")
+    still = written(named.join(_mixed_runs(named), "run", "left_semi"), "join-open")
+    still = _in_question(still, texts, words, percent)
     if not still.isEmpty():
         other = still.select("run", F.col("node").alias("other"), F.col("component").alias("of_other"))
         across = written(
