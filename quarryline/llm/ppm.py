@@ -30,7 +30,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.pandas.types import from_arrow_schema, to_arrow_schema
 
 from quarryline.llm.common import WORD_HASHES, mixed, words_of, written
 
@@ -38,7 +38,7 @@ ORDER = 6
 SHARED_ORDER = 2  # contexts up to this length are known to all
 BITS, END, START = 9, 256, 257  # symbols are bytes, the end, and what precedes a text
 SYMBOLS = 257
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 6 << 20
 END_TOKEN = np.uint64(0x9AE16A3B2F90404F)  # stands for the end among the hashes of words
 WORDS, GRAMS, SHORT = 0, 1, 2
 
@@ -219,8 +219,8 @@ def _listed(docs: DataFrame, order: int, block_bytes: int, parts: int) -> DataFr
                     pa.nulls(len(made), pa.binary()),
                     pa.array([m[0] for m in made], pa.int32()),
                     pa.array([m[1] for m in made], pa.int32()),
-                    pa.array([pack(m[2].tobytes()) for m in made], pa.binary()),
-                    pa.array([pack(m[3].astype(np.int64).tobytes()) for m in made], pa.binary()),
+                    pa.array([_packed(m[2].view(np.int64), ascending=True) for m in made], pa.binary()),
+                    pa.array([_packed(m[3].astype(np.int64)) for m in made], pa.binary()),
                 ],
                 schema=schema,
             )
@@ -256,22 +256,40 @@ def _listed(docs: DataFrame, order: int, block_bytes: int, parts: int) -> DataFr
     return docs.mapInArrow(listed, out)
 
 
+def _packed(values: np.ndarray, ascending: bool = False) -> bytes:
+    """Numbers byte by byte, lowest bytes first, and compressed; ascending ones by their steps."""
+    if ascending and len(values):
+        values = np.diff(values, prepend=values.dtype.type(0))
+    columns = np.ascontiguousarray(values).view(np.uint8).reshape(len(values), values.itemsize).T
+    return zstandard.ZstdCompressor(level=3).compress(columns.tobytes())
+
+
+def _unpacked(data: bytes, kind: type, ascending: bool = False) -> np.ndarray:
+    columns = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8)
+    size = np.dtype(kind).itemsize
+    values = np.ascontiguousarray(columns.reshape(size, len(columns) // size).T).view(kind).ravel()
+    return np.cumsum(values, dtype=kind) if ascending else values
+
+
 def _weights(places: np.ndarray, sizes: np.ndarray, learning: np.ndarray, n: int) -> np.ndarray:
     """How often each entry occurs in the texts that are learned from."""
     return np.bincount(places[np.repeat(learning, sizes)], minlength=n).astype(np.int64)
 
 
-def _unpacked(column: pa.Array | pa.ChunkedArray, kind: type) -> list[np.ndarray]:
-    unpack = zstandard.ZstdDecompressor().decompress
-    return [np.frombuffer(unpack(v.as_py()), kind) for v in column]
+def _keys(table: pa.Table) -> list[np.ndarray]:
+    return [_unpacked(v.as_py(), np.int64, ascending=True) for v in table["keys"]]
+
+
+def _counts(table: pa.Table) -> np.ndarray:
+    return np.concatenate([_unpacked(v.as_py(), np.int64) for v in table["counts"]])
 
 
 def _short_contexts(lists: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     """Strings of ``SHARED_ORDER`` + 1 symbols that were learned, with their counts: at most 2^25."""
 
     def merge(table: pa.Table) -> pa.Table:
-        grams, of = np.unique(np.concatenate(_unpacked(table["keys"], np.int64)), return_inverse=True)
-        counts = np.bincount(of, weights=np.concatenate(_unpacked(table["counts"], np.int64)))
+        grams, of = np.unique(np.concatenate(_keys(table)), return_inverse=True)
+        counts = np.bincount(of, weights=_counts(table))
         return pa.table({"gram": grams[counts > 0], "n": counts[counts > 0].astype(np.int64)})
 
     merged = (
@@ -285,15 +303,27 @@ def _short_contexts(lists: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     return merged["gram"].to_numpy(np.int64), merged["n"].to_numpy(np.float64)
 
 
+TOTALS = -1  # the block that gets the totals of the words
+_RETURNED_ARROW = pa.schema(
+    [
+        ("block", pa.int64()),
+        ("kind", pa.int32()),
+        ("part", pa.int32()),
+        ("entries", pa.binary()),
+        ("tokens", pa.int64()),
+        ("different", pa.int64()),
+    ]
+)
+
+
 def _returned(lists: DataFrame, order: int, short: tuple[np.ndarray, np.ndarray]) -> DataFrame:
-    """(block, kind, part, entries): what each list asked for, in its order; words with the tokens
-    and the different tokens of their part (in the first block's line only)."""
+    """(block, kind, part, entries): what each list asked for, in its order; for the block ``TOTALS``
+    a line from each part of the words, with the training tokens and how many are different."""
     shared = lists.sparkSession.sparkContext.broadcast(short)
 
     def merge(table: pa.Table) -> pa.Table:
         kind = table["kind"][0].as_py()
-        listed = _unpacked(table["keys"], np.int64)
-        counts = np.concatenate(_unpacked(table["counts"], np.int64))
+        listed, counts = _keys(table), _counts(table)
         places, keys = pd.factorize(np.concatenate(listed))
         total = np.bincount(places, weights=counts, minlength=len(keys))
         if kind == WORDS:
@@ -307,27 +337,27 @@ def _returned(lists: DataFrame, order: int, short: tuple[np.ndarray, np.ndarray]
             )
             entries = log10_probabilities(keys, low + high).astype(np.float32)
             tokens = different = 0
-        pack = zstandard.ZstdCompressor(level=1).compress
         edges = np.cumsum([0, *map(len, listed)])
-        n = len(listed)
+        made = {
+            "block": table["block"].to_pylist(),
+            "kind": table["kind"].to_pylist(),
+            "part": table["part"].to_pylist(),
+            "entries": [_packed(entries[places[a:b]]) for a, b in zip(edges, edges[1:])],
+            "tokens": [0] * len(listed),
+            "different": [0] * len(listed),
+        }
+        if kind == WORDS:
+            for name, value in zip(made, (TOTALS, kind, made["part"][0], None, tokens, different)):
+                made[name].append(value)
         return pa.table(
-            {
-                "block": table["block"],
-                "kind": table["kind"],
-                "part": table["part"],
-                "entries": pa.array(
-                    [pack(entries[places[a:b]].tobytes()) for a, b in zip(edges, edges[1:])], pa.binary()
-                ),
-                "tokens": pa.array([tokens] + [0] * (n - 1), pa.int64()),
-                "different": pa.array([different] + [0] * (n - 1), pa.int64()),
-            }
+            [pa.array(made[f.name], f.type) for f in _RETURNED_ARROW], schema=_RETURNED_ARROW
         )
 
     return (
         lists.filter(F.col("kind") != SHORT)
         .select("block", "kind", "part", "keys", "counts")
         .groupBy("kind", "part")
-        .applyInArrow(merge, "block long, kind int, part int, entries binary, tokens long, different long")
+        .applyInArrow(merge, from_arrow_schema(_RETURNED_ARROW))
     )
 
 
@@ -356,51 +386,70 @@ def score(
     )
     listed = written(_listed(read, order, block_bytes, parts), "ppm-lists")
     lists = listed.filter("packed is null").drop("row", "packed")
-    returned = written(_returned(lists, order, _short_contexts(lists)), "ppm-returned")
-    totals = returned.agg(F.sum("tokens").alias("n"), F.sum("different").alias("v")).first()
-    train_tokens, different = totals["n"] or 0, totals["v"] or 0
+    answers = _returned(lists, order, _short_contexts(lists))
     out = T.StructType(
         [
-            read.schema["row"],
-            *T.StructType.fromDDL(
-                "n_tokens long, n_known long, train_tokens long, base_score double, score double"
-            ).fields,
+            T.StructField("row", read.schema["row"].dataType),
+            *T.StructType.fromDDL("n_tokens long, n_known long, base double, score double").fields,
+            *T.StructType.fromDDL("tokens long, different long").fields,
         ]
     )
 
+    def totals(answers: pa.Table, schema: pa.Schema) -> pa.Table:
+        sums = {n: sum(answers[n].to_pylist()) for n in ("tokens", "different")}
+        return pa.table(
+            [pa.array([sums.get(f.name)], f.type) for f in schema], schema=schema
+        )
+
     def scored(texts: pa.Table, answers: pa.Table) -> pa.Table:
         schema = to_arrow_schema(out)
+        if not len(texts):
+            return totals(answers, schema)
         unpack = zstandard.ZstdDecompressor().decompress
         block = Block.of([unpack(p.as_py()) for p in texts["packed"]], order)
         entries = {
-            (k, p): unpack(e.as_py())
+            (k, p): e.as_py()
             for k, p, e in zip(answers["kind"].to_pylist(), answers["part"].to_pylist(), answers["entries"])
         }
-        lengths = np.zeros(len(block.grams))
-        seen = np.zeros(len(block.words))
+        lengths = np.zeros(len(block.grams), np.float32)
+        seen = np.zeros(len(block.words), np.int64)
         for kind, part, own in block.lists(parts, order):
             if kind == GRAMS:
-                lengths[own] = np.frombuffer(entries[kind, part], np.float32)
+                lengths[own] = _unpacked(entries[kind, part], np.float32)
             else:
-                seen[own] = np.frombuffer(entries[kind, part], np.int64)
-        base = np.zeros(len(seen))
-        if train_tokens:
-            base = np.log10((seen + 0.1) / (train_tokens + 0.1 * (different + 1)))
+                seen[own] = _unpacked(entries[kind, part], np.int64)
+        base = np.log10(seen + 0.1)
         first = np.cumsum(block.sizes) - block.sizes
         first_token = np.cumsum(block.tokens) - block.tokens
-        known = (seen > 0)[block.of_word].astype(np.int64)
+        known = (seen > 0).astype(np.int64)
+        nothing = pa.nulls(len(block.tokens), pa.int64())
         return pa.table(
             [
                 texts["row"].combine_chunks().cast(schema.field("row").type),
                 pa.array(block.tokens),
-                pa.array(np.add.reduceat(known, first_token)),
-                pa.array(np.full(len(block.tokens), train_tokens, np.int64)),
+                pa.array(np.add.reduceat(known[block.of_word], first_token)),
                 pa.array(np.add.reduceat(base[block.of_word], first_token)),
-                pa.array(np.add.reduceat(lengths[block.of_gram], first)),
+                pa.array(np.add.reduceat(lengths[block.of_gram], first, dtype=np.float64)),
+                nothing,
+                nothing,
             ],
             schema=schema,
         )
 
     texts = listed.filter("packed is not null").select("block", "row", "packed")
-    answers = returned.select("block", "kind", "part", "entries")
-    return texts.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(scored, out)
+    done = written(
+        texts.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(scored, out), "ppm-scored"
+    )
+    # The totals are known with the last block; in the baseline they are the same for all tokens.
+    of_words = done.filter("tokens is not null").select("tokens", "different").first()
+    train_tokens, different = of_words or (0, 0)
+    every = F.lit(float(np.log10(train_tokens + 0.1 * (different + 1)))) if train_tokens else None
+    base = F.lit(0.0) if every is None else F.col("base") - F.col("n_tokens") * every
+    return done.filter("tokens is null").select(
+        "row",
+        "n_tokens",
+        "n_known",
+        F.lit(train_tokens).cast("long").alias("train_tokens"),
+        base.alias("base_score"),
+        "score",
+    )
