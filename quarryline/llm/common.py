@@ -16,7 +16,7 @@ from quarryline.session import new_path
 WORD = r"[^\x20\x09-\x0D]+"  # a word, as a Java pattern
 SPACE = r"[\x20\x09-\x0D]+"
 LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
-CACHED_WORDS = 1_000_000  # a worker forgets its hashes of words beyond that
+CACHED_WORDS = 500_000  # a worker forgets its hashes of words beyond that
 
 
 def written(df: DataFrame, label: str) -> DataFrame:

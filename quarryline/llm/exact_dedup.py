@@ -22,7 +22,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 
 from quarryline.llm.common import SPACE, written
 
-ROOM = 64 << 20  # bytes of text that a table holds
+ROOM = 32 << 20  # bytes of text that a table holds
 ROWS_OUT = 2_000
 
 
