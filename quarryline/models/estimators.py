@@ -38,6 +38,7 @@ from quarryline.operators.search_space import (
 from quarryline.operators.transform import RandomCuts, feature_names
 from quarryline.session import checkpoint_dir
 
+MAX_BINS = 256  # cuts tried per feature, default of the parameter max_bins
 MLLIB_MAX_DEPTH = 30  # deeper trees are refused by MLlib
 CUT_COPIES, CUTS_PER_COPY = 4, 8  # defaults of the parameters cut_copies and cuts_per_copy
 
@@ -166,10 +167,12 @@ def _forest_settings(params: dict, label: str, seed: int, regression: bool, widt
         "maxDepth": _depth(_number(params, "max_depth", None), effective),
         "minInstancesPerNode": int(_number(params, "min_samples_leaf", 1)),
         "subsamplingRate": _number(params, "max_samples", 1.0),
+        "bootstrap": params.get("model__bootstrap", "True") == "True",
         "featureSubsetStrategy": ("all" if regression else "sqrt")
         if features is None
         else _fraction(features, width),
         "impurity": "variance" if regression else criterion,
+        "maxBins": int(_number(params, "max_bins", MAX_BINS)),
         "seed": seed,
     }
     _no_effect(params, ("min_samples_split",), notes)
@@ -271,6 +274,7 @@ def _boosting(train: DataFrame, params: dict, label: str, seed: int, leaf_wise:
         "minInstancesPerNode": int(_number(params, "min_child_weight", 1)),
         "subsamplingRate": _number(params, "subsample", 1.0),
         "featureSubsetStrategy": _fraction(columns, _width(train)),
+        "maxBins": int(_number(params, "max_bins", MAX_BINS)),
         "checkpointInterval": 10,
         "seed": seed,
     }

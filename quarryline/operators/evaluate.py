@@ -7,13 +7,14 @@ cumulative counts come from ``ordered.running``.
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quarryline.operators.ordered import cut_points, running
+from quarryline.session import stored
 
 METRICS = (
     "n", "prevalence", "tp", "fp", "tn", "fn", "tpr", "tnr", "fpr", "fnr", "ppv", "npv",
@@ -59,14 +60,10 @@ def confusion_matrix(
 def score_curve(df: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """Per distinct score, highest first: cases at it (pos, neg) and at or above it (tp, fp)."""
     scored = df.filter(F.col("score").isNotNull())
-    return running(
-        scored.groupBy(*by, "score").agg(*_counts()),
-        "score",
-        {"tp": ("sum", F.col("pos")), "fp": ("sum", F.col("neg"))},
-        by=by,
-        descending=True,
-        like=scored,
-    )
+    # The scores are computed once: ranges and totals come from the lines per distinct score.
+    lines = stored(scored.groupBy(*by, "score").agg(*_counts()), "scores")
+    totals = {"tp": ("sum", F.col("pos")), "fp": ("sum", F.col("neg"))}
+    return running(lines, "score", totals, by=by, descending=True)
 
 
 def _area_roc() -> Column:
@@ -162,28 +159,32 @@ def _metric_line(cells: DataFrame, round_by: int) -> DataFrame:
     )
 
 
-def dummy_metrics(df: DataFrame, constant: int = 1, round_by: int = 3) -> DataFrame:
-    """The same metrics for the baselines that ignore the features.
+def dummy_metrics(
+    train: DataFrame, df: DataFrame, threshold: float = 0.37, constant: float = 1.0, round_by: int = 3
+) -> DataFrame:
+    """The same metrics for the baselines that ignore the features, fitted on train.
 
-    'prior' scores every case with the share of positives and calls the majority class;
-    'constant' always answers ``constant``. Both rank at random: ROC-AUC 0.5, and the average
-    precision is the share of positives.
+    'prior' scores every case with the share of positives in train, 'constant' with one value; a
+    case is called positive when its score reaches the threshold. Both rank at random: ROC-AUC 0.5,
+    and the average precision is the share of positives.
     """
-    totals = df.agg(*_counts())
+    cells = df.agg(*_counts())
+    prior = train.agg(F.avg("label")).scalar()
     pos, neg = F.col("pos"), F.col("neg")
 
-    def line(name: str, calls_positive: Column) -> DataFrame:
-        cells = totals.select(
-            F.when(calls_positive, pos).otherwise(0).alias("tp"),
-            F.when(calls_positive, neg).otherwise(0).alias("fp"),
-            F.when(calls_positive, 0).otherwise(neg).alias("tn"),
-            F.when(calls_positive, 0).otherwise(pos).alias("fn"),
+    def line(name: str, score: Column) -> DataFrame:
+        called = F.coalesce(score >= F.lit(threshold), F.lit(False))
+        counted = cells.withColumn("called", called).select(
+            F.when(F.col("called"), pos).otherwise(0).alias("tp"),
+            F.when(F.col("called"), neg).otherwise(0).alias("fp"),
+            F.when(F.col("called"), 0).otherwise(neg).alias("tn"),
+            F.when(F.col("called"), 0).otherwise(pos).alias("fn"),
             F.when((pos > 0) & (neg > 0), F.lit(0.5)).alias("roc_auc"),
             F.when(pos > 0, pos / (pos + neg)).alias("pr_auc"),
         )
-        return _metric_line(cells, round_by).withColumn("scorer", F.lit(name))
+        return _metric_line(counted, round_by).withColumn("scorer", F.lit(name))
 
-    return line("prior", pos > neg).unionByName(line("constant", F.lit(constant == 1)))
+    return line("prior", prior).unionByName(line("constant", F.lit(float(constant))))
 
 
 def threshold_curves(
@@ -235,7 +236,7 @@ def lift_gain(df: DataFrame, key: str, steps: int = 20) -> DataFrame:
     counted per step without sorting them.
     """
     worst_first = -F.col("score")
-    scored = df.filter(F.col("score").isNotNull())
+    scored = stored(df.filter(F.col("score").isNotNull()).select("score", key, "label"), "cases")
     n, cuts = cut_points(
         scored.select("score", key),
         {"score": worst_first},
@@ -285,19 +286,73 @@ def f1(df: DataFrame, by: Sequence[str] = (), threshold: float = 0.5) -> DataFra
     return cells.select(*by, balance.alias("f1"))
 
 
-def rmse(df: DataFrame, by: Sequence[str] = ()) -> DataFrame:
-    error = F.sqrt(F.avg((F.col("score") - F.col("label")) ** 2))
-    return df.groupBy(*by).agg(error.alias("rmse"))
+def _from_cells(name: str) -> Callable[..., DataFrame]:
+    """A rate of the confusion matrix at a threshold."""
+
+    def score(df: DataFrame, by: Sequence[str] = (), threshold: float = 0.5) -> DataFrame:
+        tp, fp, tn, fn = (F.col(c) for c in ("tp", "fp", "tn", "fn"))
+        rates = {
+            "precision": ratio(tp, tp + fp),
+            "recall": ratio(tp, tp + fn),
+            "balanced_accuracy": (ratio(tp, tp + fn) + ratio(tn, tn + fp)) / 2,
+        }
+        return confusion_matrix(df, threshold, by).select(*by, rates[name].alias(name))
+
+    return score
+
+
+def _mean_of(name: str, measure: Callable[[Column, Column], Column]) -> Callable[..., DataFrame]:
+    """An average over the cases that have a score."""
+
+    def score(df: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+        return df.groupBy(*by).agg(measure(F.col("label"), F.col("score")).alias(name))
 
+    return score
 
-SCORES = {
+
+def _log_loss(label: Column, score: Column) -> Column:
+    tiny = F.lit(2.220446049250313e-16)  # keeps the logarithm finite
+    p = F.greatest(F.least(score, 1 - tiny), tiny)
+    return F.avg(-(label * F.ln(p) + (1 - label) * F.ln(1 - p)))
+
+
+def _r2(label: Column, score: Column) -> Column:
+    left = F.avg((score - label) ** 2)
+    spread = F.var_pop(F.when(score.isNotNull(), label))
+    return F.when(spread > 0, 1 - left / spread)
+
+
+def _negative(name: str, of: str) -> Callable[..., DataFrame]:
+    def score(df: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+        return SCORES[of](df, by).select(*by, (-F.col(of)).alias(name))
+
+    return score
+
+
+SCORES: dict[str, Callable[..., DataFrame]] = {
     "roc_auc": roc_auc,
     "average_precision": average_precision,
     "accuracy": accuracy,
     "f1": f1,
-    "rmse": rmse,
+    **{n: _from_cells(n) for n in ("precision", "recall", "balanced_accuracy")},
+    "log_loss": _mean_of("log_loss", _log_loss),
+    "brier": _mean_of("brier", lambda y, p: F.avg((p - y) ** 2)),
+    "rmse": _mean_of("rmse", lambda y, p: F.sqrt(F.avg((p - y) ** 2))),
+    "mse": _mean_of("mse", lambda y, p: F.avg((p - y) ** 2)),
+    "mae": _mean_of("mae", lambda y, p: F.avg(F.abs(p - y))),
+    "r2": _mean_of("r2", _r2),
+}
+# fixed values: the names by which scorers are asked for when higher must be better
+NEGATIVES = {
+    "neg_log_loss": "log_loss",
+    "neg_brier_score": "brier",
+    "neg_root_mean_squared_error": "rmse",
+    "neg_mean_squared_error": "mse",
+    "neg_mean_absolute_error": "mae",
 }
-LOWER_IS_BETTER = frozenset({"rmse"})
+LOWER_IS_BETTER = frozenset(NEGATIVES.values())
+SCORES |= {name: _negative(name, of) for name, of in NEGATIVES.items()}
+rmse = SCORES["rmse"]
 
 
 def score_table(df: DataFrame, score: str, by: Sequence[str] = ()) -> DataFrame:

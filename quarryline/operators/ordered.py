@@ -465,15 +465,12 @@ def running(
     by: Sequence[str] = (),
     descending: bool = False,
     pieces: int | None = None,
-    like: DataFrame | None = None,
 ) -> DataFrame:
     """Add cumulative measures (inclusive of the current row) in the order (order, tie).
 
     ``measures`` maps an output name to ``("sum" | "max", column)``. ``order`` is numeric;
     ``tie`` is numeric, ascending and unique among equal ``order`` values, or None when ``order``
-    is itself unique within ``by``. Rows whose order is NULL come last. ``like`` is a table with
-    the same ``order`` values that is cheaper to read, e.g. the rows before an aggregation; the
-    ranges are then taken from it. ``pieces`` is the number of ranges, by default that of the
+    is itself unique within ``by``. Rows whose order is NULL come last. ``pieces`` is the number of ranges, by default that of the
     shuffle partitions. Rows are compared by the column itself; a double only picks the range.
     """
     combine = {"sum": F.sum, "max": F.max}
@@ -484,10 +481,7 @@ def running(
     if tie is not None:
         work = work.withColumn("_tie", F.col(tie))
         sort.append(F.col(tie))
-    if like is not None and tie is None:
-        found = _ranges(like.select(value.alias("_value")), ["_value"], pieces)
-    else:
-        found = _ranges(work, ["_value"] if tie is None else ["_value", "_tie"], pieces)
+    found = _ranges(work, ["_value"] if tie is None else ["_value", "_tie"], pieces)
     upto = (Window.unboundedPreceding, Window.currentRow)
     ranges = found[0]
     work = _bucket(work, "_value", ranges.splits, "_range")

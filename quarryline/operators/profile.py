@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from quarryline.operators.edit import non_numeric_columns, numeric_columns
 from quarryline.operators.ordered import exact_quantiles
+from quarryline.session import stored
 
 PERCENTILES = {"p10": 0.10, "p25": 0.25, "p50": 0.50, "p75": 0.75, "p90": 0.90}
 
@@ -34,6 +35,7 @@ def numeric_summary(df: DataFrame, columns: Sequence[str] | None = None) -> Data
     columns = list(columns) if columns is not None else numeric_columns(df)
     if not columns:
         raise ValueError("no numeric columns to summarise")
+    df = stored(df.select(*columns), "numbers")  # read in every pass, computed once
     quantiles = exact_quantiles(df, columns, list(PERCENTILES.values()))
     aggregates = [F.count(F.lit(1)).alias("n")]
     for i, name in enumerate(columns):

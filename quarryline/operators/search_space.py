@@ -201,9 +201,9 @@ def trial_slots(spark: SparkSession, spaces: Sequence[Space], iterations: int) -
     return spark.createDataFrame(rows, PLAN_SCHEMA)
 
 
-def _draw(seed: Column, spec: Column) -> Column:
-    """The sampled value of one parameter, as text."""
-    u = unit_draw(seed, F.col("space_id"), F.col("iteration"), spec["name"])
+def _draw(spec: Column) -> Column:
+    """The sampled value of one parameter (spec, u), as text."""
+    u, spec = spec["u"], spec["spec"]
     low, high = spec["low"], spec["high"]
     log_value = F.exp(F.ln(low) + u * (F.ln(high) - F.ln(low)))
     passed = F.size(F.filter(spec["edges"], lambda edge: u >= edge))
@@ -228,18 +228,25 @@ def plan_trials(
     """
     slots = trial_slots(experiments.sparkSession, spaces, iterations)
     n_slots = sum(iterations if s.tuned else 1 for s in spaces)
-    asked = experiments.select(
+    spark = experiments.sparkSession
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    # A fixed number of partitions: few rows become many draws, which one task should not make.
+    asked = experiments.repartition(parts, "exp_id").select(
         "exp_id",
         F.col(seed).cast("string").alias("_seed"),
         F.explode(F.sequence(F.lit(0), F.lit(n_slots - 1))).alias("trial_id"),
     )
     drawn = F.transform(
-        "specs", lambda s: F.struct(s["name"].alias("key"), _draw(F.col("_seed"), s).alias("value"))
+        "draws", lambda d: F.struct(d["spec"]["name"].alias("key"), _draw(d).alias("value"))
+    )
+    place = F.col("_seed"), F.col("space_id"), F.col("iteration")
+    draws = F.transform(
+        "specs", lambda s: F.struct(s.alias("spec"), unit_draw(*place, s["name"]).alias("u"))
     )
     params = F.map_concat(
         F.create_map(F.lit("model"), F.col("model")), F.map_from_entries(drawn)
     )
-    return asked.join(F.broadcast(slots), "trial_id").select(
+    return asked.join(F.broadcast(slots), "trial_id").withColumn("draws", draws).select(
         "exp_id",
         "trial_id",
         "space_id",

@@ -34,6 +34,7 @@ from quarryline.functions.scalars import MISSING, fill_missing
 from quarryline.operators.edit import non_numeric_columns, numeric_columns
 from quarryline.operators.ordered import exact_quantiles
 from quarryline.operators.profile import most_frequent, value_counts
+from quarryline.session import stored
 
 # fixed values: the order of the savings levels
 SAVINGS_LEVELS = ("no known savings", "<100", "100<=X<500", "500<=X<1000", ">=1000")
@@ -84,10 +85,13 @@ def _double(value: float) -> str:
 def fit_numeric(
     df: DataFrame, columns: Sequence[str], imputer: str = MEAN, scaler: str = NONE
 ) -> list[NumericFit]:
-    """Fill values and scaling of the imputed columns, from one pass over the train rows."""
+    """Fill values and scaling of the imputed columns, from one pass over the train rows; medians and
+    modes take more, over their written columns."""
     columns = list(columns)
     if not columns:
         return []
+    if imputer in (MEDIAN, MODE):  # more than one pass: compute the input once
+        df = stored(df.select(*columns), "numbers")
     fills = _fills(df, columns, imputer)
     aggregates = [F.count(F.lit(1)).alias("n")]
     for i, c in enumerate(columns):

@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from quarryline.operators import evaluate
+from quarryline.operators.split import train_test_split
 from quarryline.queries.catalog import query, rounded
 from quarryline.queries.views import SCORED_SQL, scored, with_views
 
@@ -81,22 +85,28 @@ def two_class_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return evaluate.two_class_metrics(scored(spark, sf_dir))
 
 
-@query(
-    SCORED
-    + ", share AS (SELECT avg(label) AS p FROM scored) SELECT 'prior' AS scorer, * FROM ("
-    + _metrics_sql(
-        f"SELECT {CELLS} FROM (SELECT label, (SELECT p FROM share) > 0.5 AS called FROM scored)",
-        "SELECT CAST(0.5 AS DOUBLE) AS roc_auc, p AS pr_auc FROM share",
-    )
-    + ") UNION ALL SELECT 'constant' AS scorer, * FROM ("
-    + _metrics_sql(
-        f"SELECT {CELLS} FROM (SELECT label, true AS called FROM scored)",
+SPLIT_SCORED = f"""{SCORED}, parts AS (
+  SELECT label, row_number() OVER (ORDER BY
+      CAST('0x' || substr(md5('42:' || CAST(app_id AS VARCHAR)), 1, 12) AS BIGINT), app_id)
+      <= ceil(CAST(0.2 AS DOUBLE) * count(*) OVER ()) AS is_test FROM scored),
+share AS (SELECT avg(label) FILTER (NOT is_test) AS prior, avg(label) FILTER (is_test) AS p FROM parts)"""
+
+
+def _dummy_sql(score: str) -> str:
+    return _metrics_sql(
+        f"SELECT {CELLS} FROM (SELECT label, {score} >= 0.37::DOUBLE AS called FROM parts CROSS JOIN share WHERE is_test)",
         "SELECT CAST(0.5 AS DOUBLE) AS roc_auc, p AS pr_auc FROM share",
     )
-    + ")"
+
+
+@query(
+    f"""{SPLIT_SCORED} SELECT 'prior' AS scorer, * FROM ({_dummy_sql("prior")})
+    UNION ALL SELECT 'constant' AS scorer, * FROM ({_dummy_sql("1.0")})"""
 )
 def dummy_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return evaluate.dummy_metrics(scored(spark, sf_dir))
+    """Baselines fitted on the train rows, evaluated on the test rows."""
+    parts = train_test_split(scored(spark, sf_dir).select("app_id", "label"), "app_id")
+    return evaluate.dummy_metrics(parts.filter("split = 'train'"), parts.filter("split = 'test'"))
 
 
 @query(f"{SCORED}, {_curve()} SELECT round(roc_auc, 9) AS roc_auc FROM (SELECT {AREAS} FROM curve)")
@@ -209,3 +219,39 @@ def score_f1(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(f"{SCORED} SELECT round(sqrt(avg(pow(score - label, 2))), 9) AS rmse FROM scored")
 def score_rmse(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(evaluate.rmse(scored(spark, sf_dir)), 9, "rmse")
+
+
+_CALLED = f"SELECT {CELLS} FROM (SELECT label, score >= 0.5::DOUBLE AS called FROM scored)"
+_TINY = "2.220446049250313e-16::DOUBLE"
+_SCORES_SQL = {
+    "precision": f"SELECT tp / CAST(tp + fp AS DOUBLE) FROM ({_CALLED})",
+    "recall": f"SELECT tp / CAST(tp + fn AS DOUBLE) FROM ({_CALLED})",
+    "balanced_accuracy": f"SELECT (tp / CAST(tp + fn AS DOUBLE) + tn / CAST(tn + fp AS DOUBLE)) / 2 FROM ({_CALLED})",
+    "log_loss": f"""SELECT avg(-(label * ln(p) + (1 - label) * ln(1 - p)))
+      FROM (SELECT label, greatest(least(score, 1 - {_TINY}), {_TINY}) AS p FROM scored)""",
+    "brier": "SELECT avg(pow(score - label, 2)) FROM scored",
+    "rmse": "SELECT sqrt(avg(pow(score - label, 2))) FROM scored",
+    "mse": "SELECT avg(pow(score - label, 2)) FROM scored",
+    "mae": "SELECT avg(abs(score - label)) FROM scored",
+    "r2": "SELECT 1 - avg(pow(score - label, 2)) / var_pop(label) FROM scored",
+}
+_ALL_SCORES_SQL = {
+    **_SCORES_SQL,
+    **{n: f"SELECT -({_SCORES_SQL[of]})" for n, of in evaluate.NEGATIVES.items()},
+}
+
+
+@query(
+    f"{SCORED} "
+    + " UNION ALL ".join(
+        f"SELECT '{name}' AS scorer, round(({sql}), 9) AS score" for name, sql in _ALL_SCORES_SQL.items()
+    )
+)
+def named_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scorers by the names they are asked for."""
+    cases = scored(spark, sf_dir).select("label", "score")
+    lines = [
+        rounded(evaluate.score_table(cases, name), 9, "score").select(F.lit(name).alias("scorer"), "score")
+        for name in _ALL_SCORES_SQL
+    ]
+    return functools.reduce(DataFrame.unionByName, lines)

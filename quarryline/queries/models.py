@@ -27,7 +27,7 @@ from quarryline.plans.predict import run_predict
 from quarryline.plans.search import SearchSettings, search
 from quarryline.queries.catalog import query, rounded
 from quarryline.queries.tables import LOAN, NUMBERED, etl_transform
-from quarryline.queries.views import doc_feat, loan, reg
+from quarryline.queries.views import doc_all, doc_feat, loan, reg
 from quarryline.session import new_path
 from quarryline.sources import tables as io
 
@@ -315,6 +315,12 @@ def boosted_stump(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _stump(spark, sf_dir, sp.XGB_REGRESSOR)
 
 
+@query(_STUMP + _STUMP_ROWS)
+def forest_stump(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A forest of one tree with one split on all rows: the same best cut and means."""
+    return _stump(spark, sf_dir, sp.RANDOM_FOREST_REGRESSOR, bootstrap="False")
+
+
 @query(
     """SELECT doc_id, 1 - quality AS label, count(*) OVER () AS n FROM documents LEFT JOIN labels USING (doc_id)"""
 )

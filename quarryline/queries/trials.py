@@ -183,3 +183,27 @@ def parameter_vs_parameter(spark: SparkSession, sf_dir: str) -> DataFrame:
 def param_correlation(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = t.param_correlation(trial(spark, sf_dir), NUMBERS, FOREST)
     return rounded(lines, 9, "correlation")
+
+
+# Ids this large are not exact as doubles; 1152921504606846976 is 2^60.
+BIG = f"{TRIAL}, big AS (SELECT trial_id + 1152921504606846976 AS trial_id, model, score FROM trial)"
+
+
+def _big_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _plain(spark, sf_dir).withColumn("trial_id", F.col("trial_id") + F.lit(1 << 60))
+
+
+@query(
+    f"""{BIG} SELECT trial_id, model, score, max(score)
+    OVER (PARTITION BY model ORDER BY trial_id) AS best_so_far FROM big"""
+)
+def performance_across_trials_big_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return t.performance_across_trials(_big_keys(spark, sf_dir))
+
+
+@query(
+    f"""{BIG} SELECT trial_id, model, score, CASE WHEN score IS NOT NULL THEN row_number()
+    OVER (ORDER BY score DESC NULLS LAST, trial_id) END AS rank FROM big"""
+)
+def rank_big_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return t.trial_rank(_big_keys(spark, sf_dir))

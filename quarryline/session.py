@@ -6,7 +6,7 @@ import functools
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cores: int | str = 8, shuffle_partitions: int = 8) -> SparkSession:
@@ -56,3 +56,10 @@ def checkpoint_dir(spark: SparkSession) -> None:
     context = spark.sparkContext
     if context._jsc.sc().getCheckpointDir().isEmpty():
         context.setCheckpointDir(f"{shared_dir(spark)}/rounds")
+
+
+def stored(df: DataFrame, label: str) -> DataFrame:
+    """The table as written to the shared folder: several passes then read it, not what it came from."""
+    path = new_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

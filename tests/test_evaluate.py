@@ -42,7 +42,16 @@ def test_one_class_only(spark):
     line = ev.two_class_metrics(df).first()
     assert line["roc_auc"] is None and line["tnr"] is None
     assert (line["tp"], line["fn"], line["pr_auc"]) == (1, 1, 1.0)
-    assert ev.dummy_metrics(df).filter("scorer = 'prior'").first()["roc_auc"] is None
+    assert ev.dummy_metrics(df, df).filter("scorer = 'prior'").first()["roc_auc"] is None
+
+
+def test_baselines_are_fitted_on_train(spark):
+    train = _frame(spark, [(1, 0.0), (0, 0.0), (0, 0.0), (0, 0.0)])
+    test = _frame(spark, [(1, 0.0), (1, 0.0), (0, 0.0)])
+    lines = {r["scorer"]: r for r in ev.dummy_metrics(train, test, threshold=0.37).collect()}
+    assert (lines["prior"]["tp"], lines["prior"]["fn"]) == (0, 2)  # a share of 0.25 is below 0.37
+    assert (lines["constant"]["tp"], lines["constant"]["fp"]) == (2, 1)
+    assert ev.dummy_metrics(train, test, threshold=0.25).filter("tp = 2").count() == 2
 
 
 def test_empty_input(spark):

@@ -148,3 +148,24 @@ def test_empty_input(spark, pieces):
     missing = spark.createDataFrame([(1, "a", None), (2, "a", None)], SCHEMA)
     ranks = ordered.ranked(missing, "v", "id", pieces=pieces).collect()
     assert [r["rank"] for r in ranks] == [None, None]
+
+
+@pytest.mark.parametrize("descending", [False, True])
+@pytest.mark.parametrize("pieces", [1, 3, 16])
+def test_keys_that_are_equal_as_doubles(spark, descending, pieces):
+    """Integers around 2^60, in any input order, with and without a tie column."""
+    rows = [(2**60 + i, float((i * 7) % 13)) for i in range(40)]
+    random.Random(3).shuffle(rows)
+    df = spark.createDataFrame(rows, "k bigint, v double").repartition(4)
+    got = ordered.running(
+        df, "k", {"best": ("max", F.col("v")), "n": ("sum", F.lit(1))}, descending=descending, pieces=pieces
+    ).collect()
+    best, expected = -1.0, {}
+    for n, (k, v) in enumerate(sorted(rows, reverse=descending), 1):
+        best = max(best, v)
+        expected[k] = (best, n)
+    assert {r["k"]: (r["best"], r["n"]) for r in got} == expected
+    ties = df.withColumn("low", F.lit(2**60) + F.col("k") % 2)
+    ranks = ordered.ranked(ties, "low", "k", descending=descending, pieces=pieces).collect()
+    order = sorted(rows, key=lambda r: ((-1 if descending else 1) * (r[0] % 2), r[0]))
+    assert [r["k"] for r in sorted(ranks, key=lambda r: r["rank"])] == [k for k, _ in order]
