@@ -13,7 +13,8 @@ that a similar set could be missed; ``Bands`` has room for a few.
 Sets that share a signature are compared in full. Equal sets are one node from the start; within a
 large group of sets only a hub is compared with the others. What is in different components
 afterwards is compared across them, but for sets that share too few shingles with all the others
-to be similar to any. Links are joined to components by contraction.
+to be similar to any. Before texts are compared, a sketch of each set tells pairs that differ in
+too much; all these bounds are exact. Links are joined to components by contraction.
 """
 
 from __future__ import annotations
@@ -25,7 +26,7 @@ import numpy as np
 import pyarrow as pa
 import zstandard
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
@@ -39,6 +40,7 @@ SMALL_RUN = 12  # sets that share a signature, up to which all are compared with
 PER_BUCKET = 1_000_000  # signatures that are sorted together
 BATCH = 512  # sets that are signed together
 U = np.uint64
+SKETCH = [f"s{i}" for i in range(16)]  # columns of 64 bits
 GOLDEN = U(0x9E3779B97F4A7C15)
 ODD = U(0xD6E8FEB86659FD93)
 
@@ -64,6 +66,24 @@ def similar(a: np.ndarray, b: np.ndarray, percent: int = PERCENT) -> bool:
     return 100 * common >= percent * (len(a) + len(b) - common)
 
 
+def sketch_of(found: np.ndarray) -> np.ndarray:
+    """A bit for each of 1024 classes of shingles: whether the set has an odd number of the class.
+
+    A shingle that only one of two sets has changes one bit, so sketches differ in at most as many
+    bits as the sets in shingles.
+    """
+    odd = np.bincount((mixed(found + GOLDEN) >> U(54)).astype(np.int64), minlength=1024) & 1
+    return np.packbits(odd.astype(bool)).view(np.int64)
+
+
+def _may_be_similar(a: Sequence[Column], b: Sequence[Column], percent: int) -> Column:
+    """False only for sets (size, then the sketch) that differ in too much to be similar."""
+    (n_a, *bits_a), (n_b, *bits_b) = a, b
+    differ = sum((F.bit_count(x.bitwiseXOR(y)) for x, y in zip(bits_a, bits_b)), F.lit(0))
+    close = 100 * F.least(n_a, n_b) >= percent * F.greatest(n_a, n_b)
+    return close & ((100 + percent) * differ <= (100 - percent) * (n_a + n_b))
+
+
 class Bands:
     """Size bands and how each of them divides the domain."""
 
@@ -131,23 +151,25 @@ def sign(sets: list[np.ndarray], bands: Bands) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _prepared(docs: DataFrame, id_type: T.DataType, words: int) -> DataFrame:
-    """(uid, row, id, n, node, packed): the set of each document by size and hash; its text, packed,
-    with the first document of an input task that has the set."""
+    """(uid, row, id, n, node, packed, sketch): the set of each document by size and hash; its text,
+    packed, and its sketch with the first document of an input task that has the set."""
     out = T.StructType(
         [
             T.StructField("uid", T.LongType()),
             docs.schema["row"],
             T.StructField("id", id_type),
             *T.StructType.fromDDL("n long, node long, packed binary").fields,
+            *[T.StructField(c, T.LongType()) for c in SKETCH],
         ]
     )
+    blank = [None] * len(SKETCH)
 
     def prepare(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schema, seen = to_arrow_schema(out), set()
         pack = zstandard.ZstdCompressor(level=3).compress
         uid = TaskContext.get().partitionId() << 33
         for batch in rows:
-            sizes, nodes, packed = [], [], []
+            sizes, nodes, packed, sketches = [], [], [], []
             for value in batch.column("text"):
                 text = value.as_py()
                 found = shingles(text, words)
@@ -158,6 +180,7 @@ def _prepared(docs: DataFrame, id_type: T.DataType, words: int) -> DataFrame:
                 sizes.append(len(found))
                 nodes.append(node)
                 packed.append(pack(text.encode()) if new else None)
+                sketches.append(sketch_of(found).tolist() if new else blank)
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(range(uid, uid + len(sizes)), pa.int64()),
@@ -166,6 +189,7 @@ def _prepared(docs: DataFrame, id_type: T.DataType, words: int) -> DataFrame:
                     pa.array(sizes, pa.int64()),
                     pa.array(nodes, pa.int64()),
                     pa.array(packed, pa.binary()),
+                    *[pa.array(bits, pa.int64()) for bits in (zip(*sketches) if sketches else [()] * len(SKETCH))],
                 ],
                 schema=schema,
             )
@@ -278,13 +302,22 @@ def _rows(schema: pa.Schema, run, a, b) -> Iterator[pa.RecordBatch]:
 def _verified(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
     """The pairs (a, b) whose sets are similar."""
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    held = written(texts.join(wanted, "node", "left_semi").dropDuplicates(["node"]), "join-texts")
-    left = held.select(F.col("node").alias("a"), F.col("n").alias("n_a"), F.col("packed").alias("t_a"))
-    right = held.select(F.col("node").alias("b"), F.col("n").alias("n_b"), F.col("packed").alias("t_b"))
-    sized = pairs.join(left.drop("t_a"), "a").join(right.drop("t_b"), "b")
-    possible = sized.filter(
-        100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b")
-    ).select("a", "b")
+    held = texts.join(wanted, "node", "left_semi").dropDuplicates(["node"])
+    about = written(held.drop("packed"), "join-about")
+    sides = [
+        about.select(F.col("node").alias(side), *[F.col(c).alias(f"{c}_{side}") for c in ("n", *SKETCH)])
+        for side in "ab"
+    ]
+    possible = pairs.join(sides[0], "a").join(sides[1], "b")
+    columns = [[F.col(f"{c}_{side}") for c in ("n", *SKETCH)] for side in "ab"]
+    possible = written(
+        possible.filter(_may_be_similar(*columns, percent)).select("a", "b"), "join-possible"
+    )
+    wanted = possible.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    held = texts.select("node", "packed").join(wanted, "node", "left_semi").dropDuplicates(["node"])
+    held = written(held, "join-texts")
+    left = held.select(F.col("node").alias("a"), F.col("packed").alias("t_a"))
+    right = held.select(F.col("node").alias("b"), F.col("packed").alias("t_b"))
     out = T.StructType.fromDDL("a long, b long")
 
     def compare(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -303,7 +336,7 @@ def _verified(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> D
                 [batch.column(c).filter(pa.array(good, pa.bool_())) for c in ("a", "b")], names=["a", "b"]
             )
 
-    return possible.join(left.drop("n_a"), "a").join(right.drop("n_b"), "b").mapInArrow(compare, out)
+    return possible.join(left, "a").join(right, "b").mapInArrow(compare, out)
 
 
 def _shared_shingles(texts: DataFrame, words: int, buckets: int) -> DataFrame:
@@ -358,7 +391,7 @@ def _in_question(still: DataFrame, texts: DataFrame, words: int, percent: int) -
 
     A set can only have in common with others what it shares with any of them. Members that share
     too little for the smallest set of the run leave it, runs with one component left are done, and
-    as those that stay share less without the others, this is repeated until nobody leaves.
+    as those that stay share less without the others, this is repeated while many leave.
     """
     parts = int(still.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     held = written(
@@ -379,7 +412,7 @@ def _in_question(still: DataFrame, texts: DataFrame, words: int, percent: int) -
         able = able.select("run", "node", "component")
         still = written(able.join(_mixed_runs(able), "run", "left_semi"), "join-open")
         before, left = left, still.count()
-        if left == before:
+        if left > 0.9 * before:  # the rest is compared in full
             break
     return still
 
@@ -456,7 +489,7 @@ def join_components(
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     buckets = max(4 * parts, total // PER_BUCKET)
     shared = written(_shared(_signed(read.select("text"), words, percent, buckets)), "join-shared")
-    texts = prepared.filter("packed is not null").select("node", "n", "packed")
+    texts = prepared.filter("packed is not null").select("node", "n", "packed", *SKETCH)
     pairs = written(shared.filter("run = -1").select("a", "b").distinct(), "join-pairs")
     links = written(_verified(pairs, texts, words, percent), "join-links")
     labels = components(links)
@@ -467,10 +500,23 @@ def join_components(
     still = written(named.join(_mixed_runs(named), "run", "left_semi"), "join-open")
     still = _in_question(still, texts, words, percent)
     if not still.isEmpty():
-        other = still.select("run", F.col("node").alias("other"), F.col("component").alias("of_other"))
+        about = texts.drop("packed").join(still.select("node").distinct(), "node", "left_semi")
+        about = written(about.dropDuplicates(["node"]), "join-about")
+        still = written(still.join(about, "node"), "join-open")
+        other = still.select(
+            F.col("run").alias("of_run"),
+            F.col("node").alias("other"),
+            F.col("component").alias("of_other"),
+            *[F.col(c).alias(f"{c}_other") for c in ("n", *SKETCH)],
+        )
+        columns = [[F.col(f"{c}{end}") for c in ("n", *SKETCH)] for end in ("", "_other")]
         across = written(
-            still.join(other, "run")
-            .filter("component < of_other")
+            still.join(
+                other,
+                (F.col("run") == F.col("of_run"))
+                & (F.col("component") < F.col("of_other"))
+                & _may_be_similar(*columns, percent),
+            )
             .select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b"))
             .distinct()
             .join(pairs, ["a", "b"], "left_anti"),
@@ -478,7 +524,7 @@ def join_components(
         )
         links = links.unionByName(_verified(across, texts, words, percent))
         labels = components(links)
-    grouped = prepared.drop("packed").join(labels, "node", "left").withColumn(
+    grouped = prepared.drop("packed", *SKETCH).join(labels, "node", "left").withColumn(
         "of", F.coalesce("component", "node")
     )
     order = F.struct(F.col("id").isNull().alias("missing"), "id", "uid")
