@@ -4,7 +4,7 @@ The model is a trie of byte contexts up to ``ORDER`` long, with counts of the sy
 them in the training texts. A symbol is coded in the longest context seen before; if it did not occur
 there, an escape leads to the context one shorter, in which the symbols of the longer one are excluded
 because the escape has ruled them out. The escape is estimated from the different symbols of the
-context: each gives it half of one of its counts. After the shortest context all other symbols are equally likely. The code length of a text is the
+context: each gives it ``DISCOUNT`` of its count. After the shortest context all other symbols are equally likely. The code length of a text is the
 sum over its bytes and its end. Texts are taken as their words in lower case with one space between.
 
 A pretrained model gives a symbol the same code length wherever the same ``ORDER`` bytes precede it. So
@@ -34,7 +34,8 @@ from pyspark.sql.pandas.types import from_arrow_schema, to_arrow_schema
 
 from quarryline.llm.common import WORD_HASHES, mixed, words_of, written
 
-ORDER = 6
+ORDER = 5
+DISCOUNT = 0.3  # what each different symbol of a context gives to its escape
 SHARED_ORDER = 2  # contexts up to this length are known to all
 BITS, END, START = 9, 256, 257  # symbols are bytes, the end, and what precedes a text
 SYMBOLS = 257
@@ -111,10 +112,10 @@ def log10_probabilities(grams: np.ndarray, levels: Sequence[Level]) -> np.ndarra
             total = level.totals[node] - gone_total
             kinds = level.kinds[node] - gone_kinds
             coded = known & seen
-            value[coded] += np.log10((level.counts[entry[coded]] - 0.5) / total[coded])
+            value[coded] += np.log10((level.counts[entry[coded]] - DISCOUNT) / total[coded])
             # When all symbols of the context are excluded, the escape is certain and costs nothing.
             escaped = known & ~seen & (kinds > 0)
-            value[escaped] += np.log10(kinds[escaped] / 2 / total[escaped])
+            value[escaped] += np.log10(DISCOUNT * kinds[escaped] / total[escaped])
             still &= ~coded
             gone_total = np.where(known, level.ruled_out[node], 0.0)
             gone_kinds = np.where(known, level.kinds[node], 0.0)

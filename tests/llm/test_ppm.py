@@ -34,11 +34,11 @@ def brute_force(texts, learns, order):
                     continue
                 left = {s: n for s, n in trie[context].items() if s not in gone}
                 if found[at] in left:
-                    total += math.log10((left[found[at]] - 0.5) / sum(left.values()))
+                    total += math.log10((left[found[at]] - ppm.DISCOUNT) / sum(left.values()))
                     coded = True
                     break
                 if left:
-                    total += math.log10(len(left) / 2 / sum(left.values()))
+                    total += math.log10(ppm.DISCOUNT * len(left) / sum(left.values()))
                 gone = set(trie[context])
             if not coded:
                 total -= math.log10(257 - len(gone))
@@ -47,7 +47,7 @@ def brute_force(texts, learns, order):
     return [score(t) for t in texts]
 
 
-@pytest.mark.parametrize("order", [3, 6])
+@pytest.mark.parametrize("order", [3, 5, 6])
 def test_scores_equal_brute_force(spark, prose, order):
     texts = [prose(n, n) for n in range(1, 40)] + [None, "", "ÄÖ new words"]
     rows = [(i, t, i % 3 > 0) for i, t in enumerate(texts)]
