@@ -4,8 +4,9 @@ The model is a trie of byte contexts up to ``ORDER`` long, with counts of the sy
 them in the training texts. A symbol is coded in the longest context seen before; if it did not occur
 there, an escape leads to the context one shorter, in which the symbols of the longer one are excluded
 because the escape has ruled them out. The escape is estimated from the different symbols of the
-context: each gives it ``DISCOUNT`` of its count. After the shortest context all other symbols are equally likely. The code length of a text is the
-sum over its bytes and its end. Texts are taken as their words in lower case with one space between.
+context: each gives it ``DISCOUNT`` of its count. After the shortest context all other symbols are
+equally likely. The code length of a text is the sum over its bytes and its end. Texts are taken as
+their words in lower case with one space between.
 
 A pretrained model gives a symbol the same code length wherever the same ``ORDER`` bytes precede it. So
 texts are worked on in blocks: a block lists its different (context, symbol) strings with their
