@@ -27,7 +27,7 @@ from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.param.shared import HasInputCol, HasOutputCol
 from pyspark.ml.stat import Summarizer
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quarryline.functions.scalars import MISSING, fill_missing
@@ -184,37 +184,53 @@ def _as_text(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df.withColumns({c: fill_missing(F.col(c).cast("string")) for c in columns})
 
 
-def fit_levels(df: DataFrame, columns: Sequence[str]) -> dict[str, list[str]]:
-    """The sorted levels of each category, the missing one included when train rows lack a value."""
-    text = _as_text(df.select(*columns), columns)
-    model = _indexer(columns, [f"_{c}" for c in columns]).fit(text)
-    return {c: list(levels) for c, levels in zip(columns, model.labelsArray)}
+def fit_levels(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """(column, level, code): the levels of each category with their place in sorted order from 0,
+    the missing one included when train rows lack a value.
 
-
-def ordinal_code(category: Column, levels: Sequence[str]) -> Column:
-    """Rank of the level in sorted order from 0; -1 for a level not seen in train."""
-    codes = F.create_map(*[F.lit(v) for i, level in enumerate(levels) for v in (level, float(i))])
-    text = fill_missing(category.cast("string"))
-    return F.coalesce(F.try_element_at(codes, text), F.lit(-1.0)) if levels else F.lit(-1.0)
+    The levels stay a table, as many as they are: they are dealt to ranges, numbered there, and the
+    sizes of the ranges before are added.
+    """
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    found = value_counts(_as_text(df.select(*columns), columns), columns)
+    levels = found.select("column", F.col("value").alias("level"))
+    dealt = levels.repartitionByRange(parts, "column", "level")
+    dealt = stored(dealt.withColumn("part", F.spark_partition_id()), "levels")
+    inside = Window.partitionBy("column", "part").orderBy("level")
+    before = Window.partitionBy("column").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    firsts = (
+        dealt.groupBy("column", "part")
+        .count()
+        .select("column", "part", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("first"))
+    )
+    code = F.col("first") + F.row_number().over(inside) - 1
+    numbered = dealt.join(firsts, ["column", "part"])
+    return stored(numbered.select("column", "level", code.cast("double").alias("code")), "codes")
 
 
-def ordinal_encode(df: DataFrame, levels: dict[str, list[str]]) -> DataFrame:
-    return df.withColumns({c: ordinal_code(F.col(c), known) for c, known in levels.items()})
+def ordinal_encode(df: DataFrame, levels: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Each category as the code of its level; -1 for a level not seen in train."""
+    for c in columns:
+        known = levels.filter(F.col("column") == c).select(
+            F.col("level").alias("_level"), F.col("code").alias("_code")
+        )
+        coded = df.join(known, fill_missing(F.col(c).cast("string")) == F.col("_level"), "left")
+        df = coded.withColumn(c, F.coalesce("_code", F.lit(-1.0))).drop("_level", "_code")
+    return df
 
 
-def one_hot_long(df: DataFrame, key: str, levels: dict[str, list[str]]) -> DataFrame:
+def one_hot_long(
+    df: DataFrame, key: str, levels: DataFrame, columns: Sequence[str]
+) -> DataFrame:
     """One row (key, feature, 1.0) per category value known from train; an unseen one has none."""
     entries = [
-        F.when(
-            fill_missing(F.col(c).cast("string")).isin(known),
-            F.concat(F.lit(f"{c}_"), fill_missing(F.col(c).cast("string"))),
-        )
-        for c, known in levels.items()
+        F.struct(F.lit(c).alias("column"), fill_missing(F.col(c).cast("string")).alias("level"))
+        for c in columns
     ]
     return (
-        df.select(key, F.explode(F.array(*entries)).alias("feature"))
-        .filter(F.col("feature").isNotNull())
-        .withColumn("value", F.lit(1.0))
+        df.select(key, F.inline(F.array(*entries)))
+        .join(levels.select("column", "level"), ["column", "level"])
+        .select(key, F.concat_ws("_", "column", "level").alias("feature"), F.lit(1.0).alias("value"))
     )
 
 

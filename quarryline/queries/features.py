@@ -157,8 +157,15 @@ def pca_project(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def one_hot(spark: SparkSession, sf_dir: str) -> DataFrame:
     df = etl_transform(spark, sf_dir)
-    levels = tr.fit_levels(df, ["checking_status", "purpose", "foreign_worker"])
-    return tr.one_hot_long(df, "app_id", levels)
+    columns = ["checking_status", "purpose", "foreign_worker"]
+    return tr.one_hot_long(df, "app_id", tr.fit_levels(df, columns), columns)
+
+
+@query("SELECT p_partkey, 'p_name_' || p_name AS feature, CAST(1 AS DOUBLE) AS value FROM part")
+def one_hot_many_levels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """About a level per row."""
+    parts = table(spark, sf_dir, "part").select("p_partkey", "p_name")
+    return tr.one_hot_long(parts, "p_partkey", tr.fit_levels(parts, ["p_name"]), ["p_name"])
 
 
 @query(
@@ -189,8 +196,19 @@ def ordinal_learned(spark: SparkSession, sf_dir: str) -> DataFrame:
     df = etl_transform(spark, sf_dir).select("app_id", "checking_status", "purpose")
     train = df.filter("app_id % 5 > 0")
     levels = tr.fit_levels(train, ["checking_status"])
-    levels |= tr.fit_levels(train.filter("purpose <> 'BUILDING'"), ["purpose"])
-    return tr.ordinal_encode(df, levels)
+    levels = levels.union(tr.fit_levels(train.filter("purpose <> 'BUILDING'"), ["purpose"]))
+    return tr.ordinal_encode(df, levels, ["checking_status", "purpose"])
+
+
+@query(
+    """SELECT c_custkey, CAST(dense_rank() OVER (ORDER BY c_name) - 1 AS DOUBLE) AS c_name,
+    CAST(dense_rank() OVER (ORDER BY c_mktsegment) - 1 AS DOUBLE) AS c_mktsegment FROM customer"""
+)
+def ordinal_many_levels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A column with a level per row beside one with few."""
+    customers = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_mktsegment")
+    columns = ["c_name", "c_mktsegment"]
+    return tr.ordinal_encode(customers, tr.fit_levels(customers, columns), columns)
 
 
 @query(f"{KEYED} SELECT app_id, credit_amount, duration FROM edited")

@@ -70,11 +70,21 @@ def test_unseen_categories(spark):
     train = spark.createDataFrame([(0, "b"), (1, "a")], "id int, c string")
     other = spark.createDataFrame([(0, "a"), (1, "z"), (2, None)], "id int, c string")
     levels = tr.fit_levels(train, ["c"])
-    assert levels == {"c": ["a", "b"]}
-    assert _values(tr.ordinal_encode(other, levels), "c") == [0.0, -1.0, -1.0]
-    assert [r["feature"] for r in tr.one_hot_long(other, "id", levels).collect()] == ["c_a"]
+    assert _codes(levels) == {"a": 0, "b": 1}
+    assert _values(tr.ordinal_encode(other, levels, ["c"]), "c") == [0.0, -1.0, -1.0]
+    assert [r["feature"] for r in tr.one_hot_long(other, "id", levels, ["c"]).collect()] == ["c_a"]
     with_missing = tr.fit_levels(train.union(other), ["c"])
-    assert with_missing == {"c": ["<missing>", "a", "b", "z"]}
+    assert _codes(with_missing) == {"<missing>": 0, "a": 1, "b": 2, "z": 3}
+
+
+def _codes(levels):
+    return {r["level"]: r["code"] for r in levels.filter("column = 'c'").collect()}
+
+
+def test_as_many_levels_as_rows(spark):
+    df = spark.range(5000).select("id", F.format_string("k%05d", 4999 - F.col("id")).alias("c"))
+    got = tr.ordinal_encode(df.repartition(7), tr.fit_levels(df, ["c"]), ["c"]).collect()
+    assert all(r["c"] == 4999 - r["id"] for r in got) and len(got) == 5000
 
 
 @pytest.mark.parametrize("rank", [2, 5])
