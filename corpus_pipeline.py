@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarryline.llm import exact_dedup, langid, mixing, packing, similarity_join
-from quarryline.llm.common import written
+from quarryline.llm.common import chosen_rows, free_name, text_key, written
 from quarryline.llm.queries import TOKENIZER, quality_weights, table
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -29,12 +29,22 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def without_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of equal texts, the document with the smallest id."""
-    return exact_dedup.deduplicate(docs, carry=docs.columns).filter("kept").select("row.*")
+    keyed, name = _keyed(docs)
+    found = exact_dedup.deduplicate(keyed, carry=["doc_id", name]).filter("kept")
+    return chosen_rows(docs, found.select("row.*"), "doc_id", "text")
 
 
 def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of linked documents, the one with the smallest id."""
-    return similarity_join.join_components(docs, carry=docs.columns).filter("leader").select("row.*")
+    keyed, name = _keyed(docs)
+    found = similarity_join.join_components(keyed, carry=["doc_id", name]).filter("leader")
+    return chosen_rows(docs, found.select("row.*"), "doc_id", "text")
+
+
+def _keyed(docs: DataFrame) -> tuple[DataFrame, str]:
+    """With a hash of the text: operators carry it and the id, not whole rows."""
+    name = free_name(docs.columns, "text_key")
+    return docs.withColumn(name, text_key(F.col("text"))), name
 
 
 def mixed_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

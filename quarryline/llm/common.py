@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import functools
 import itertools
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
+from contextvars import ContextVar
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quarryline.session import new_path
@@ -19,13 +21,59 @@ LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
 CACHED_WORDS = 500_000  # a worker forgets its hashes of words beyond that
 
 
+_MADE: ContextVar[list[str] | None] = ContextVar("_MADE", default=None)
+
+
 def written(df: DataFrame, label: str) -> DataFrame:
     """The table as it lies in the shared folder: computed once, whichever executor is lost."""
     path = new_path(df.sparkSession, label)
+    if (made := _MADE.get()) is not None:
+        made.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def tidy(operator: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
+    """The operator with its result written, and the tables it wrote on the way removed."""
+
+    @functools.wraps(operator)
+    def call(*args, **kwargs) -> DataFrame:
+        made: list[str] = []
+        token = _MADE.set(made)
+        try:
+            result = operator(*args, **kwargs)
+        finally:
+            _MADE.reset(token)
+        done = written(result, operator.__name__)
+        spark = result.sparkSession
+        for path in made:
+            place = spark._jvm.org.apache.hadoop.fs.Path(path)
+            place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+        return done
+
+    return call
+
+
+def text_key(text) -> Column:
+    """64 bits of a text; a null counts as the empty text."""
+    return F.xxhash64(F.coalesce(text, F.lit("")))
+
+
+def chosen_rows(docs: DataFrame, chosen: DataFrame, key: str, text: str) -> DataFrame:
+    """The documents named by ``chosen`` (id, text_key), one row for each line, with all their columns.
+
+    Ids may be missing or repeated. Of rows with the same id and text any one is taken; whole rows
+    travel once, and only here.
+    """
+    names = [free_name(docs.columns, n) for n in ("chosen_id", "chosen_key", "chosen_nth")]
+    chosen_id, chosen_key, nth = names
+    wanted = chosen.toDF(chosen_id, chosen_key)
+    same = F.col(key).eqNullSafe(F.col(chosen_id)) & (text_key(F.col(text)) == F.col(chosen_key))
+    one = Window.partitionBy(chosen_id, chosen_key).orderBy(F.lit(0))
+    found = docs.join(wanted, same).withColumn(nth, F.row_number().over(one))
+    return found.filter(F.col(nth) == 1).select(*[docs[c] for c in docs.columns])
+
+
 def free_name(columns: Iterable[str], base: str) -> str:
     """A column name that the table does not use yet (names differ by more than case)."""
     taken = {c.lower() for c in columns}

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from quarryline.llm.common import SPACE, written
+from quarryline.llm.common import SPACE, tidy, written
 
 ROOM = 32 << 20  # bytes of text that a table holds
 ROWS_OUT = 2_000
@@ -207,6 +207,7 @@ def _resolve(records: DataFrame, id_type: str, room: int, level: int, buckets: i
     return records.groupBy(bucket.alias("bucket")).applyInArrow(in_bucket, out)
 
 
+@tidy
 def deduplicate(
     docs: DataFrame,
     key: str = "doc_id",

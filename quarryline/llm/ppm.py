@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import from_arrow_schema, to_arrow_schema
 
-from quarryline.llm.common import WORD_HASHES, mixed, words_of, written
+from quarryline.llm.common import WORD_HASHES, mixed, tidy, words_of, written
 
 ORDER = 5
 DISCOUNT = 0.3  # what each different symbol of a context gives to its escape
@@ -363,6 +363,7 @@ def _returned(lists: DataFrame, order: int, short: tuple[np.ndarray, np.ndarray]
     )
 
 
+@tidy
 def score(
     docs: DataFrame,
     learns: Column,

@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from quarryline.llm.common import WORD_HASHES, mixed, words_of, written
+from quarryline.llm.common import WORD_HASHES, mixed, tidy, words_of, written
 
 WORDS = 5
 PERCENT = 80
@@ -464,6 +464,7 @@ def components(links: DataFrame) -> DataFrame:
     return labels
 
 
+@tidy
 def join_components(
     docs: DataFrame,
     key: str = "doc_id",
