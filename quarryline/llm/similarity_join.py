@@ -37,7 +37,7 @@ WORDS = 5
 PERCENT = 80
 PARTS = 3
 SMALL_RUN = 12  # sets that share a signature, up to which all are compared with each other
-PER_BUCKET = 1_000_000  # signatures that are sorted together
+PER_BUCKET = 1_000_000  # signatures or shingles that are sorted together
 BATCH = 512  # sets that are signed together
 U = np.uint64
 SKETCH = [f"s{i}" for i in range(16)]  # columns of 64 bits
@@ -300,12 +300,9 @@ def _rows(schema: pa.Schema, run, a, b) -> Iterator[pa.RecordBatch]:
 
 
 def _verified(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
-    """The pairs (a, b) whose sets are similar."""
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    held = texts.join(wanted, "node", "left_semi").dropDuplicates(["node"])
-    about = written(held.drop("packed"), "join-about")
+    """The pairs (a, b) whose sets are similar; ``texts`` has each of their nodes once."""
     sides = [
-        about.select(F.col("node").alias(side), *[F.col(c).alias(f"{c}_{side}") for c in ("n", *SKETCH)])
+        texts.select(F.col("node").alias(side), *[F.col(c).alias(f"{c}_{side}") for c in ("n", *SKETCH)])
         for side in "ab"
     ]
     possible = pairs.join(sides[0], "a").join(sides[1], "b")
@@ -313,11 +310,8 @@ def _verified(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> D
     possible = written(
         possible.filter(_may_be_similar(*columns, percent)).select("a", "b"), "join-possible"
     )
-    wanted = possible.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    held = texts.select("node", "packed").join(wanted, "node", "left_semi").dropDuplicates(["node"])
-    held = written(held, "join-texts")
-    left = held.select(F.col("node").alias("a"), F.col("packed").alias("t_a"))
-    right = held.select(F.col("node").alias("b"), F.col("packed").alias("t_b"))
+    left = texts.select(F.col("node").alias("a"), F.col("packed").alias("t_a"))
+    right = texts.select(F.col("node").alias("b"), F.col("packed").alias("t_b"))
     out = T.StructType.fromDDL("a long, b long")
 
     def compare(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -393,15 +387,12 @@ def _in_question(still: DataFrame, texts: DataFrame, words: int, percent: int) -
     too little for the smallest set of the run leave it, runs with one component left are done, and
     as those that stay share less without the others, this is repeated while many leave.
     """
-    parts = int(still.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    held = written(
-        texts.join(still.select("node").distinct(), "node", "left_semi").dropDuplicates(["node"]),
-        "join-held",
-    )
+    held = written(texts.join(still.select("node").distinct(), "node", "left_semi"), "join-held")
+    buckets = max(8, (held.agg(F.sum("n")).first()[0] or 0) // PER_BUCKET)
     left = still.count()
     while left:
         of_open = held.join(still.select("node").distinct(), "node", "left_semi")
-        counts = _shared_shingles(of_open, words, 4 * parts)
+        counts = _shared_shingles(of_open, words, buckets)
         sized = still.join(held.select("node", "n").join(counts, "node"), "node")
         least = sized.groupBy("run").agg(F.min("n").alias("least"))
         # Sets of x and y shingles that are similar have at least percent / (100 + percent) of x + y.
@@ -492,18 +483,20 @@ def join_components(
     shared = written(_shared(_signed(read.select("text"), words, percent, buckets)), "join-shared")
     texts = prepared.filter("packed is not null").select("node", "n", "packed", *SKETCH)
     pairs = written(shared.filter("run = -1").select("a", "b").distinct(), "join-pairs")
+    members = shared.filter("run <> -1").select("run", F.col("a").alias("node"))
+    # The texts that are compared, fetched once.
+    ends = pairs.select(F.explode(F.array("a", "b")).alias("node"))
+    wanted = ends.unionByName(members.select("node")).distinct()
+    texts = written(texts.join(wanted, "node", "left_semi").dropDuplicates(["node"]), "join-texts")
     links = written(_verified(pairs, texts, words, percent), "join-links")
     labels = components(links)
-    members = shared.filter("run <> -1").select("run", F.col("a").alias("node"))
     named = members.join(labels, "node", "left").select(
         "run", "node", F.coalesce("component", "node").alias("component")
     )
     still = written(named.join(_mixed_runs(named), "run", "left_semi"), "join-open")
     still = _in_question(still, texts, words, percent)
     if not still.isEmpty():
-        about = texts.drop("packed").join(still.select("node").distinct(), "node", "left_semi")
-        about = written(about.dropDuplicates(["node"]), "join-about")
-        still = written(still.join(about, "node"), "join-open")
+        still = written(still.join(texts.drop("packed"), "node"), "join-open")
         other = still.select(
             F.col("run").alias("of_run"),
             F.col("node").alias("other"),
