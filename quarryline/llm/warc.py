@@ -160,13 +160,14 @@ def write_archives(
             F.explode(F.sequence(F.lit(1).cast("long"), "times")).alias("nth"),
         )
     )
-    writers = named.filter("is_first").select(F.col("page").alias("writer"), F.col("sha1").alias("of"))
+    # A key without nulls: payloads are dealt to the join by it, and stay there for the window.
+    writer = F.coalesce(F.concat(F.lit("page "), "page"), F.lit("none")).alias("writer")
+    writers = named.filter("is_first").select(writer, "sha1")
+    one = Window.partitionBy("writer", "sha1").orderBy("url")
     responses = (
-        read.select("page", "url", "payload", F.sha1("payload").alias("sha1"))
-        .join(writers, F.col("page").eqNullSafe(F.col("writer")) & (F.col("sha1") == F.col("of")))
-        .withColumn(
-            "again", F.row_number().over(Window.partitionBy("page", "sha1").orderBy("url"))
-        )
+        read.select("page", "url", "payload", writer, F.sha1("payload").alias("sha1"))
+        .join(writers, ["writer", "sha1"])
+        .withColumn("again", F.row_number().over(one))
         .filter("again = 1")
         .select(
             "page",
