@@ -17,13 +17,15 @@ from __future__ import annotations
 import base64
 import bisect
 import hashlib
+import math
 from collections.abc import Iterator, Sequence
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.ml.feature import Bucketizer
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
@@ -131,18 +133,15 @@ def edited(text: str, following: str) -> str:
     return text[: len(text) - half] + following[:half]
 
 
-def _bucket(key: Column, bounds: Sequence) -> Column:
-    """How many bounds are below the key; a missing key counts as below all."""
-    if not bounds:
-        return F.lit(0)
-    above = F.array(*[F.lit(b) for b in bounds])
-    # Bounds ascend, so a binary search over them is a fold of halves.
-    place: Column = F.lit(0)
-    step = 1 << (len(bounds).bit_length() - 1)
-    while step:
-        place = F.when(F.get(above, place + (step - 1)) < key, place + step).otherwise(place)
-        step >>= 1
-    return F.when(key.isNull(), 0).otherwise(place)
+def _ranged(rows: DataFrame, bounds: Sequence) -> DataFrame:
+    """The rows with the ``range`` of their id: how many bounds are not above it, 0 for a missing one."""
+    splits = [-math.inf, *sorted({float(b) for b in bounds}), math.inf]
+    if len(splits) < 3:
+        return rows.withColumn("range", F.lit(0))
+    finder = Bucketizer(splits=splits, inputCol="place", outputCol="found", handleInvalid="keep")
+    found = finder.transform(rows.withColumn("place", F.col("id").cast("double")))
+    place = F.when(F.col("id").isNull(), 0).otherwise(F.col("found").cast("int"))
+    return found.withColumn("range", place).drop("place", "found")
 
 
 def with_edits(
@@ -169,7 +168,7 @@ def with_edits(
     ).withColumn("tie", F.xxhash64("text"))
     share = [F.lit(i / parts) for i in range(1, parts)]
     bounds = docs.agg(F.percentile_approx(key, F.array(*share), 10_000)).first()[0] if share else []
-    dealt = read.withColumn("range", _bucket(F.col("id"), sorted(set(bounds or []))))
+    dealt = _ranged(read, bounds or [])
     last = dealt.groupBy("range").agg(F.max(F.struct("id", "tie")).alias("last"))
     by_range = Window.partitionBy(F.lit(0)).orderBy("range")  # one row for each range
     whole = by_range.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
