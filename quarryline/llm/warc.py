@@ -250,40 +250,46 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
     are those of the full payload. ``whole`` is false, and the payload null, where a segment is missing or
     repeated with other content, the total length differs, or the digest does not fit.
     """
-    out = T.StructType.fromDDL(
-        "origin string, number int, total long, type string, page string, original string, digest string, block binary"
+    raw = T.StructType.fromDDL(
+        "origin string, number int, total long, type string, original string, digest string, block binary"
     )
+    out = T.StructType(_READ.fields + raw.fields)
 
     def parse(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schema = to_arrow_schema(out)
         for batch in rows:
             for content in batch.column("content"):
-                found: dict[str, list] = {n: [] for n in schema.names}
+                found: list[dict] = []
                 for fields, block in records_in(gzip.decompress(content.as_buffer())):
                     total = fields.get("WARC-Segment-Total-Length")
                     number = int(fields.get("WARC-Segment-Number", 0))
-                    found["origin"].append(fields.get("WARC-Segment-Origin-ID") or fields["WARC-Record-ID"])
-                    found["number"].append(number)
-                    found["total"].append(int(total) if total else None if number else len(block))
-                    found["type"].append(fields["WARC-Type"])
-                    found["page"].append(json.loads(fields.get("X-Page", "null")))
-                    found["original"].append(json.loads(fields.get("X-Original-Page", "null")))
-                    found["digest"].append(fields.get("WARC-Payload-Digest", "sha1:")[5:])
-                    found["block"].append(block)
-                arrays = [pa.array(found[f.name], f.type) for f in schema]
+                    record = {
+                        "origin": fields.get("WARC-Segment-Origin-ID") or fields["WARC-Record-ID"],
+                        "number": number,
+                        "total": int(total) if total else None if number else len(block),
+                        "type": fields["WARC-Type"],
+                        "page": json.loads(fields.get("X-Page", "null")),
+                        "original": json.loads(fields.get("X-Original-Page", "null")),
+                        "digest": fields.get("WARC-Payload-Digest", "sha1:")[5:],
+                    }
+                    if number:  # only segments travel
+                        found.append(record | {"block": block})
+                    else:
+                        decoded = _decode(record, block, len(block))
+                        found.append(dict(zip(_READ.names, decoded)) | {"number": 0})
+                arrays = [pa.array([r.get(f.name) for r in found], f.type) for f in schema]
                 yield pa.RecordBatch.from_arrays(arrays, schema=schema)
 
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.gz").load(path).select("content")
     parsed = files.mapInArrow(parse, out)
-    # Only segments travel: a record that is whole already is decoded where it was read.
-    complete = parsed.filter("number = 0").mapInArrow(_decoded, _READ)
     segments = (
         parsed.filter("number > 0")
+        .select("page", *raw.names)
         .repartition("origin")
         .sortWithinPartitions("origin", "number")
         .mapInArrow(_assembled, _READ)
     )
-    return complete.unionByName(segments)
+    return parsed.filter("number = 0").select(*_READ.names).unionByName(segments)
 
 
 _READ_ARROW = pa.schema(
@@ -328,11 +334,6 @@ def _segments(batch: pa.RecordBatch) -> Iterator[tuple[dict, pa.Scalar]]:
         yield dict(zip(names, values)), block
 
 
-def _decoded(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in rows:
-        yield _batch_of([_decode(r, b.as_py(), r["total"]) for r, b in _segments(batch)])
-
-
 def _assembled(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows in the order of origin and number: one payload at a time is in memory."""
     first: dict | None = None
