@@ -31,14 +31,6 @@ from quarryline.queries.views import doc_all, doc_feat, loan, reg
 from quarryline.session import new_path
 from quarryline.sources import tables as io
 
-# The tree models of these queries are small ones: their own parameters say so.
-FOREST = {"n_estimators": "10", "max_depth": "5"}
-LEAVES = {"n_estimators": "10", "num_leaves": "31"}
-FORESTS = (sp.EXTRA_TREES, sp.RANDOM_FOREST, sp.XGB, sp.EXTRA_TREES_REGRESSOR, sp.RANDOM_FOREST_REGRESSOR, sp.XGB_REGRESSOR)
-SMALL_SPACE = {
-    **{f: {f"model__{k}": v for k, v in FOREST.items()} for f in FORESTS},
-    sp.LGBM: {f"model__{k}": v for k, v in LEAVES.items()},
-}
 SPLIT = f"""{LOAN}, parts AS (
   SELECT app_id, CAST(CASE WHEN target = 'bad' THEN 1 ELSE 0 END AS INTEGER) AS label,
     row_number() OVER (ORDER BY
@@ -98,7 +90,7 @@ def predict_csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 def model_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A saved and loaded model gives every row the score of the model in memory."""
     df = doc_all(spark, sf_dir)
-    model = _fit(df.filter("label IS NOT NULL"), "doc_id", sp.EXTRA_TREES, Prep(), **FOREST)
+    model = _fit(df.filter("label IS NOT NULL"), "doc_id", sp.EXTRA_TREES, Prep())
     root = new_path(spark, "store")
     io.save_model(model, root, "1")
     ours = m.score_rows(model, df, "before").select("doc_id", "before")
@@ -149,22 +141,22 @@ def linear_svc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query()
 def random_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _classify(spark, sf_dir, sp.RANDOM_FOREST, Prep(), max_features="0.5", **FOREST)
+    return _classify(spark, sf_dir, sp.RANDOM_FOREST, Prep(), max_features="0.5")
 
 
 @query()
 def extra_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _classify(spark, sf_dir, sp.EXTRA_TREES, Prep(), criterion="entropy", **FOREST)
+    return _classify(spark, sf_dir, sp.EXTRA_TREES, Prep(), criterion="entropy")
 
 
 @query()
 def xgb_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _classify(spark, sf_dir, sp.XGB, Prep(), learning_rate="0.1", **FOREST)
+    return _classify(spark, sf_dir, sp.XGB, Prep(), learning_rate="0.1")
 
 
 @query()
 def lgbm_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _classify(spark, sf_dir, sp.LGBM, Prep(), **LEAVES)
+    return _classify(spark, sf_dir, sp.LGBM, Prep())
 
 
 @query(
@@ -221,32 +213,31 @@ def elastic_net_mean_score(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query()
 def random_forest_regressor(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _regress(spark, sf_dir, sp.RANDOM_FOREST_REGRESSOR, Prep(), max_samples="0.8", **FOREST)
+    return _regress(spark, sf_dir, sp.RANDOM_FOREST_REGRESSOR, Prep(), max_samples="0.8")
 
 
 @query()
 def extra_trees_regressor(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _regress(spark, sf_dir, sp.EXTRA_TREES_REGRESSOR, Prep(encoder=LEARNED_ORDER), **FOREST)
+    return _regress(spark, sf_dir, sp.EXTRA_TREES_REGRESSOR, Prep(encoder=LEARNED_ORDER))
 
 
 @query()
 def xgb_regressor(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _regress(spark, sf_dir, sp.XGB_REGRESSOR, Prep(), learning_rate="0.3", **FOREST)
+    return _regress(spark, sf_dir, sp.XGB_REGRESSOR, Prep(), learning_rate="0.3")
 
 
 @query()
 def feature_importances(spark: SparkSession, sf_dir: str) -> DataFrame:
     df = doc_feat(spark, sf_dir)
-    model = _fit(df, "doc_id", sp.RANDOM_FOREST, Prep(), **FOREST)
+    model = _fit(df, "doc_id", sp.RANDOM_FOREST, Prep())
     return m.feature_importances(spark, model, df).orderBy(F.desc("importance"), "feature")
 
 
 @query()
 def cv_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every family and trial on every fold over the labelled documents, with means and ranks."""
-    spaces = sp.with_fixed(sp.classification_spaces(), SMALL_SPACE)
     settings = SearchSettings(n_iterations=4, n_folds=3, parallelism=8)
-    result = search(doc_feat(spark, sf_dir), "doc_id", "label", spaces, settings)
+    result = search(doc_feat(spark, sf_dir), "doc_id", "label", sp.classification_spaces(), settings)
     return result.trials.select(
         "trial_id", "model", "mean_score", "sd_score", "n_folds", F.size("notes").alias("n_notes")
     )
@@ -256,9 +247,8 @@ def cv_search(spark: SparkSession, sf_dir: str) -> DataFrame:
 def regression_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All four regression families over the line items of every order, by their error."""
     items = reg(spark, sf_dir).withColumn("row_id", F.monotonically_increasing_id())
-    spaces = sp.with_fixed(sp.regression_spaces(), SMALL_SPACE)
-    settings = SearchSettings(score="rmse", n_iterations=1, n_folds=2, parallelism=8)
-    result = search(items, "row_id", "label", spaces, settings)
+    settings = SearchSettings(score="rmse", n_iterations=4, n_folds=3, parallelism=8)
+    result = search(items, "row_id", "label", sp.regression_spaces(), settings)
     return result.trials.select("trial_id", "model", "mean_score", "n_folds")
 
 
@@ -267,13 +257,12 @@ def experiment_end_to_end(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two experiments with all five families on the loans; the second meets the gate of the first."""
     df = _labelled(spark, sf_dir)
     root = new_path(spark, "log")
-    spaces = sp.with_fixed(sp.classification_spaces(), SMALL_SPACE)
     lines = []
     for seed, gain in ((3, 0.0001), (10, 0.5)):
-        settings = SearchSettings(n_iterations=1, n_folds=3, seed=seed, parallelism=8)
+        settings = SearchSettings(n_iterations=4, n_folds=3, seed=seed, parallelism=8)
         done = run_experiment(
             df, "app_id", "label", root, "credit", "credit_model",
-            settings=settings, required_gain=gain, spaces=spaces, tags={"type": "search"},
+            settings=settings, required_gain=gain, tags={"type": "search"},
         )
         lines.append((seed, done.promoted, float(done.result.best_score)))
     state = RunLog(spark, root).state("credit_model")
