@@ -3,8 +3,10 @@
 A spot signature is a common word (the anchor) with the chain of the next ``CHAIN`` content words,
 ``DISTANCE`` content words apart. Running prose is full of anchors, lists and menus are not, and a
 changed passage changes only the signatures that reach into it. The start of a text is an anchor
-too, so that every text with a word has a signature. The fingerprint is the set of a text's
-signatures; likeness is the Jaccard similarity of two sets.
+too, so that every text with a word has a signature. So is one content word in ``SPOTS``, by its hash,
+which lays signatures over lists, menus, code and languages without listed words as well; it stays a
+content word of other chains. The fingerprint is the set of a text's signatures; likeness is the
+Jaccard similarity of two sets.
 
 Sets are compared length by length: sizes alone bound the similarity, so a comparison ends before
 it begins, or as soon as too many signatures differ, when the likeness cannot reach what is asked.
@@ -18,6 +20,7 @@ import base64
 import bisect
 import hashlib
 import math
+import re
 from collections.abc import Iterator, Sequence
 from functools import lru_cache
 
@@ -46,18 +49,30 @@ ANCHORS = frozenset(
 )
 U = np.uint64
 GOLDEN = U(0x9E3779B97F4A7C15)
-ANCHOR_BIT = 1
+ANCHOR_BIT, SPOT_BIT = 1, 2
+SPOTS = 4  # one content word in so many is an anchor
 MARKS = b".,;:!?\"'()"
+NO_LETTERS = re.compile(r"^[\W\d_]+|[\W\d_]+$")  # at the ends of a word
+
+
+def _listed(word: bytes) -> bytes | None:
+    """The common word that this one is, whatever its case and the marks and digits around it."""
+    bare = NO_LETTERS.sub("", word.decode("utf-8", "surrogatepass").lower())
+    bare = bare.encode("utf-8", "surrogatepass")
+    return bare if bare in ANCHORS else None
 
 
 class SpotHashes(dict):
-    """63-bit hashes of words without marks around them; the lowest bit says anchor."""
+    """62-bit hashes of words without marks around them; the lowest bits say common word and
+    content word that is an anchor."""
 
     def __missing__(self, word: bytes) -> int:
         if len(self) >= CACHED_WORDS:
             self.clear()
-        bare = word.strip(MARKS) or word
-        value = xxhash.xxh3_64_intdigest(bare) & ~ANCHOR_BIT | (bare in ANCHORS)
+        common = _listed(word)
+        value = xxhash.xxh3_64_intdigest(common or word.strip(MARKS) or word)
+        kind = ANCHOR_BIT if common else SPOT_BIT * (value % SPOTS == 0)
+        value = value & ~(ANCHOR_BIT | SPOT_BIT) | kind
         self[word] = value
         return value
 
@@ -75,14 +90,14 @@ def signatures(text: str | None, chain: int = CHAIN, distance: int = DISTANCE) -
     hashes[1:] = np.fromiter(map(SPOT_HASHES.__getitem__, words), U, len(words))
     anchor = (hashes & U(ANCHOR_BIT)).astype(bool)
     content = hashes[~anchor]
-    at = np.flatnonzero(anchor)
-    following = at - np.arange(len(at))  # content words before the anchor
+    at = np.flatnonzero(hashes & U(ANCHOR_BIT | SPOT_BIT))
+    following = np.cumsum(~anchor)[at]  # content words up to the anchor
     padded = np.concatenate([content, np.zeros(chain * distance + 1, U)])  # past the end: nothing
     code = hashes[at]
     for i in range(chain):
         code = mixed(code * GOLDEN + padded[np.minimum(following + i * distance, len(content))])
-    # An anchor with no content word after it says nothing, but for the start of a text.
-    use = following < len(content)
+    # A common word with no content word after it says nothing, but for the start of a text.
+    use = (following < len(content)) | ~anchor[at]
     use[0] = True
     if not len(content):  # only common words: their sequence is the signature
         code[0] = U(xxhash.xxh3_64_intdigest(b" ".join(words)))

@@ -1,6 +1,9 @@
 import hashlib
+import itertools
+import random
 
 import numpy as np
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
@@ -80,3 +83,35 @@ def test_odd_rows(spark, tricky, none_at_all):
     assert spotsigs.with_edits(none_at_all).count() == 0
     alone = spotsigs.with_edits(tricky.filter("doc_id = 9")).first()
     assert alone["near_next"] == 1.0
+
+
+def made_up(seed, n, like):
+    """n words that are no common words, put together as in one kind of text."""
+    draw = random.Random(seed)
+    words = ["".join(draw.choices("bdgklmnprstvz", k=2)) + draw.choice("äôuiy") * 2 + str(draw.randint(0, 99)) for _ in range(n)]
+    return like(words)
+
+
+KINDS = {
+    "list": " | ".join,
+    "words": " ".join,
+    "lines": "\n".join,
+    "code": lambda words: "\n".join(f"{w}_x = f({w!r})" for w in words),
+    "marked": lambda words: " ".join(f"{w} {a}" for w, a in zip(words, itertools.cycle(["von&&&", "la,&&&"]))),
+}
+
+
+@pytest.mark.parametrize("kind", KINDS)
+def test_half_replaced_texts_are_not_near(kind):
+    for seed in range(40):
+        text, other = (made_up(s, 60, KINDS[kind]) for s in (seed, seed + 1000))
+        found = spotsigs.signatures(text)
+        assert len(found) > 3
+        assert spotsigs.likeness(found, spotsigs.signatures(spotsigs.edited(text, other))) < 0.8
+
+
+def test_common_words_are_known_by_their_letters():
+    for word in ("von&&&", "LA,&&&", "FÜR", "--the--", "of,"):
+        assert spotsigs.SPOT_HASHES[word.encode()] & spotsigs.ANCHOR_BIT
+    for word in ("&&&", "|", "vonder"):
+        assert not spotsigs.SPOT_HASHES[word.encode()] & spotsigs.ANCHOR_BIT
