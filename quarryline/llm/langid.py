@@ -2,9 +2,9 @@
 
 A text becomes a vector of byte n-gram counts (of its letters, in lower case), damped, weighted by
 inverse document frequency and scaled to length one. For each language, spherical k-means over
-labelled texts gives several centroids, each with the lowest cosine at which its own texts still
-belong to it. A text gets the language of the nearest centroid; farther from it than that, it is
-rejected.
+labelled texts gives several centroids, each with the cosines that nearly all of its own texts of a
+length reach: short texts lie farther out, and the farthest are odd or mislabelled. A text gets the
+language of the nearest centroid; much farther from it than texts of its length, it is rejected.
 
 The document frequencies count all labelled texts. The centroids are fitted on about
 ``per_language`` texts of each language, chosen by a hash of the text: the bound that a fit needs.
@@ -32,7 +32,10 @@ CLUSTERS = 4
 PER_LANGUAGE = 1_500
 ROUNDS = 12
 LEAST_SHARE = 0.03  # smaller clusters of a language are mislabelled or odd texts and are left out
-SLACK = 0.5  # a text is rejected below this share of the lowest cosine of the centroid's texts
+ODD = 0.05  # the share of a centroid's texts that may be odd ones or mislabelled
+BANDS = 8  # of text length, each four times as long as the one before
+ENOUGH = 20  # texts that a quantile needs; a band with fewer takes in its neighbours
+SLACK = 0.5  # a text is rejected below this share of the cosine that the centroid's texts reach
 # Letters of other scripts and accents keep their bytes; all else of ASCII becomes a space.
 KEEP = bytes(
     c + 32 if 65 <= c <= 90 else c if 97 <= c <= 122 or c >= 128 else 32 for c in range(256)
@@ -43,7 +46,7 @@ KEEP = bytes(
 class Model:
     languages: list[str]  # of each centroid
     centroids: np.ndarray  # (centroids, DIMENSIONS), rows of length one
-    floors: np.ndarray  # the lowest cosine of the centroid's own texts
+    floors: np.ndarray  # (centroids, BANDS), the cosine that the centroid's own texts reach
     weights: np.ndarray  # inverse document frequencies
 
 
@@ -61,8 +64,26 @@ def counts_of(text: str) -> np.ndarray:
     return np.bincount((grams * np.uint32(2654435761)) >> np.uint32(20), minlength=DIMENSIONS)
 
 
+def band_of(counts: np.ndarray) -> int:
+    return min(int(counts.sum()).bit_length() // 2, BANDS - 1)
+
+
+def _floors(cosine: np.ndarray, bands: np.ndarray) -> list[float]:
+    """For each band, the cosine that all but ``ODD`` of its texts reach."""
+    floors = []
+    for band in range(BANDS):
+        away = np.abs(bands - band)
+        near = next((n for n in range(BANDS) if (away <= n).sum() >= ENOUGH), BANDS)
+        floors.append(float(np.quantile(cosine[away <= near], ODD)))
+    return floors
+
+
 def vector_of(text: str, weights: np.ndarray) -> np.ndarray:
-    found = np.log1p(counts_of(text)) * weights
+    return _scaled(counts_of(text), weights)
+
+
+def _scaled(counts: np.ndarray, weights: np.ndarray) -> np.ndarray:
+    found = np.log1p(counts) * weights
     length = np.sqrt(found @ found)
     return found / length if length else found
 
@@ -92,9 +113,11 @@ def _frequencies(texts: DataFrame) -> tuple[int, np.ndarray]:
     return n, found
 
 
-def _clusters(texts: list[str], weights: np.ndarray, clusters: int) -> list[tuple[np.ndarray, float]]:
-    """Spherical k-means, begun with texts far apart: (centroid, lowest cosine of its texts)."""
-    points = np.array([vector_of(t, weights) for t in texts], dtype=np.float32)
+def _clusters(texts: list[str], weights: np.ndarray, clusters: int) -> list[tuple[np.ndarray, list[float]]]:
+    """Spherical k-means, begun with texts far apart: (centroid, floors of the bands)."""
+    counts = [counts_of(t) for t in texts]
+    points = np.array([_scaled(c, weights) for c in counts], dtype=np.float32)
+    bands = np.array([band_of(c) for c in counts])[points.any(axis=1)]
     points = points[points.any(axis=1)]
     if not len(points):
         return []
@@ -112,7 +135,7 @@ def _clusters(texts: list[str], weights: np.ndarray, clusters: int) -> list[tupl
     cosine = points @ middle.T
     own = np.argmax(cosine, axis=1)
     return [
-        (middle[k].astype(np.float64), float(cosine[own == k, k].min()))
+        (middle[k].astype(np.float64), _floors(cosine[own == k, k], bands[own == k]))
         for k in range(len(middle))
         if (own == k).sum() >= min(LEAST_SHARE * len(own), np.bincount(own).max())
     ]
@@ -144,20 +167,20 @@ def fit(
             {
                 "lang": [pdf["lang"].iloc[0]] * len(parts),
                 "centroid": [c.tolist() for c, _ in parts],
-                "lowest": [f for _, f in parts],
+                "floors": [f for _, f in parts],
             }
         )
 
     model = (
         sample.select("lang", "text")
         .groupBy("lang")
-        .applyInPandas(cluster, "lang string, centroid array<double>, lowest double")
+        .applyInPandas(cluster, "lang string, centroid array<double>, floors array<double>")
     )
-    parts = sorted(model.collect(), key=lambda r: (r["lang"], r["lowest"], r["centroid"]))
+    parts = sorted(model.collect(), key=lambda r: (r["lang"], r["floors"], r["centroid"]))
     return Model(
         [r["lang"] for r in parts],
         np.array([r["centroid"] for r in parts]).reshape(len(parts), DIMENSIONS),
-        np.array([r["lowest"] for r in parts]),
+        np.array([r["floors"] for r in parts]).reshape(len(parts), BANDS),
         weights,
     )
 
@@ -186,13 +209,14 @@ def identify(
                 if not lettered.as_py() or not known.languages:
                     found.append({"lang": UNKNOWN, "score": 0.0, "rejected": True})
                     continue
-                cosine = known.centroids @ vector_of(value.as_py(), known.weights)
+                counts = counts_of(value.as_py())
+                cosine = known.centroids @ _scaled(counts, known.weights)
                 k = int(np.argmax(cosine))
                 found.append(
                     {
                         "lang": known.languages[k],
                         "score": min(1.0, max(0.0, float(cosine[k]))),
-                        "rejected": bool(cosine[k] < slack * known.floors[k]),
+                        "rejected": bool(cosine[k] < slack * known.floors[k, band_of(counts)]),
                     }
                 )
             columns = [batch.column(f.name).cast(schema.field(f.name).type) for f in docs_fields]

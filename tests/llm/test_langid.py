@@ -1,5 +1,7 @@
 import math
 
+import pytest
+
 from quarryline.llm import langid
 from quarryline.llm.queries import QUERIES
 
@@ -45,3 +47,25 @@ def test_vectors_have_length_one(prose):
     weights = langid.np.ones(langid.DIMENSIONS)
     assert math.isclose(langid.np.linalg.norm(langid.vector_of(prose(20, 3), weights)), 1)
     assert not langid.vector_of("", weights)[1:].all()
+
+
+@pytest.mark.parametrize("clusters", [1, langid.CLUSTERS])
+def test_floors_do_not_follow_mislabelled_texts(spark, prose, clusters):
+    """Foreign texts and code stay rejected where a few of them have the label of the language."""
+    other = "kaikki ihmiset syntyvat vapaina ja tasavertaisina arvoltaan oikeuksiltaan"
+    code = "for i in range(len(rows)): out.append(rows[i].strip().split(',')[0])"
+    wrong = [" ".join([t] * n) for t in (other, code) for n in (1, 5)]
+    rows = [(i, prose(100, i), "xx") for i in range(400)] + [(400 + i, t, "xx") for i, t in enumerate(wrong)]
+    model = langid.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"), clusters=clusters)
+    texts = [prose(100, 999), prose(300, 998), prose(40, 997), other * 8, code * 8, other, code]
+    probe = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    named, name = langid.identify(probe, model)
+    got = [r[name]["rejected"] for r in named.orderBy("doc_id").collect()]
+    assert got == [False] * 3 + [True] * 4
+
+
+def test_short_texts_have_floors_of_their_own():
+    cosine = langid.np.array([0.2] * 40 + [0.6] * 40)
+    bands = langid.np.array([2] * 40 + [6] * 40)
+    floors = langid._floors(cosine, bands)
+    assert floors[2] == 0.2 and floors[6] == 0.6
