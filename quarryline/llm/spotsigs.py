@@ -8,8 +8,9 @@ which lays signatures over lists, menus, code and languages without listed words
 content word of other chains. The fingerprint is the set of a text's signatures; likeness is the
 Jaccard similarity of two sets.
 
-Sets are compared length by length: sizes alone bound the similarity, so a comparison ends before
-it begins, or as soon as too many signatures differ, when the likeness cannot reach what is asked.
+Sizes alone bound the similarity: ``likeness`` with ``at_least`` compares no sets whose lengths cannot
+reach it. ``with_edits`` returns every likeness, so it asks for no least one and prunes nothing; it
+compares a document with its edit and its next one, and no partitions with each other.
 ``partition_of`` numbers the lengths so that sets that can reach a similarity lie in the same
 partition or in neighbouring ones.
 """
