@@ -17,6 +17,7 @@ from quarryline.llm import (
     sharding,
     similarity_join,
     spotsigs,
+    token_counts,
     url_rules,
     warc,
 )
@@ -33,6 +34,7 @@ LISTED = (
     url_rules.ListedRule("allow", "org", "/fr/"),
 )
 TOKENIZER = "word_bpe_49k.json"
+TOKEN_LIMIT = 2048
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -132,6 +134,13 @@ def op10_partenum(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_overlap_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counted = token_counts.count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER))
+    return counted.select(
+        "row.doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > TOKEN_LIMIT).alias("over_limit")
+    )
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -145,6 +154,7 @@ QUERIES: dict[str, Query] = {
         op8_best_fit,
         op9_association_rules,
         op10_partenum,
+        op12_overlap_counts,
     )
 }
 
