@@ -16,6 +16,7 @@ from quarryline.llm import (
     ppm,
     sharding,
     similarity_join,
+    spelling,
     spotsigs,
     token_counts,
     url_rules,
@@ -134,6 +135,10 @@ def op10_partenum(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_pivotal_grams(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(table(spark, sf_dir, "documents"))
+
+
 def op12_overlap_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     counted = token_counts.count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER))
     return counted.select(
@@ -154,6 +159,7 @@ QUERIES: dict[str, Query] = {
         op8_best_fit,
         op9_association_rules,
         op10_partenum,
+        op11_pivotal_grams,
         op12_overlap_counts,
     )
 }
