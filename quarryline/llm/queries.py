@@ -12,6 +12,7 @@ from quarryline.llm import (
     exact_dedup,
     langid,
     mixing,
+    negatives,
     packing,
     ppm,
     sharding,
@@ -146,6 +147,12 @@ def op12_overlap_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_angular_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    key, label = F.col("vec_id"), F.col("label")
+    label = F.when(key % 7 == 0, (label + 1) % 10).otherwise(label)
+    return negatives.hard_negatives(table(spark, sf_dir, "embeddings"), key % 100 == 0, label=label)
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -161,6 +168,7 @@ QUERIES: dict[str, Query] = {
         op10_partenum,
         op11_pivotal_grams,
         op12_overlap_counts,
+        op13_angular_filter,
     )
 }
 
@@ -248,9 +256,36 @@ SELECT page_id, payload_bytes, payload_digest,
 FROM named
 """
 
+_NEGATIVES_SQL = """
+WITH vectors AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS numbers
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+),
+scored AS (
+  SELECT a.vec_id AS anchor_id, a.label = v.label AS same, v.vec_id,
+         list_inner_product(a.numbers, v.numbers)::BIGINT AS score
+  FROM vectors a JOIN vectors v ON a.vec_id % 100 = 0 AND a.vec_id <> v.vec_id
+),
+positives AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scored WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+),
+fitting AS (
+  SELECT anchor_id, positive_id, vec_id AS negative_id, positive_score, score AS negative_score,
+         row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id)::INTEGER AS rank
+  FROM positives JOIN scored USING (anchor_id)
+  WHERE NOT same AND 80 * positive_score <= 100 * score AND 100 * score <= 100 * positive_score
+)
+SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM fitting WHERE rank <= 5
+"""
+
 ORACLES: dict[str, str] = {
     "op2_segments": _WARC_SQL,
     "op6_grace_hash": _EXACT_SQL,
     "op3_permutation_table": _SHARD_SQL,
     "op7_source_mix": _MIX_SQL,
+    "op13_angular_filter": _NEGATIVES_SQL,
 }
