@@ -1,27 +1,23 @@
 """Model families: from a trial's parameters to fitted MLlib stages.
 
-A family without an exact MLlib counterpart is approximated; what was capped, approximated or left
-without effect is returned as notes, which the search stores with the trial.
+Linear models are fitted by MLlib; trees by ``trees``, which returns models of MLlib's classes. Where a
+family differs from what its name says, it returns notes, which the search stores with the trial.
 """
 
 from __future__ import annotations
 
-import hashlib
 import math
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
-from pyspark import StorageLevel
 from pyspark.ml import PipelineModel, Transformer
 from pyspark.ml import classification as mlc
 from pyspark.ml import regression as mlr
 from pyspark.ml.feature import SQLTransformer
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarryline.functions.hashing import HASH_BITS
 from quarryline.functions.scalars import clean_feature_name
 from quarryline.operators.search_space import (
     ELASTIC_NET,
@@ -35,21 +31,14 @@ from quarryline.operators.search_space import (
     XGB,
     XGB_REGRESSOR,
 )
-from quarryline.operators.transform import RandomCuts, feature_names
-from quarryline.session import checkpoint_dir
-
-MAX_BINS = 256  # cuts tried per feature, default of the parameter max_bins
-MLLIB_MAX_DEPTH = 30  # deeper trees are refused by MLlib
-CUT_COPIES, CUTS_PER_COPY = 4, 8  # defaults of the parameters cut_copies and cuts_per_copy
+from quarryline.models.trees import MAX_BINS, Boosting, Forest, fit_trees
+from quarryline.operators.transform import feature_names
 
 
 @dataclass
 class Fitted:
-    """``effective`` has the parameters that differ from those asked for; the search stores them."""
-
     stages: list[Transformer]
     notes: list[str] = field(default_factory=list)
-    effective: dict[str, str] = field(default_factory=dict)
 
     def transform(self, df: DataFrame) -> DataFrame:
         for stage in self.stages:
@@ -129,184 +118,89 @@ def fit_elastic_net(train: DataFrame, label: str, params: dict, seed: int) -> Fi
 # --- trees -------------------------------------------------------------------------------------
 
 
-def _trees(params: dict, default: int) -> int:
-    return int(_number(params, "n_estimators", default))
-
-
-def _depth(wanted: float | None, effective: dict[str, str]) -> int:
-    """The depth asked for; what MLlib cannot grow is its greatest depth, and logged as that."""
-    if wanted is None or wanted > MLLIB_MAX_DEPTH:
-        effective["model__max_depth"] = str(MLLIB_MAX_DEPTH)
-        return MLLIB_MAX_DEPTH
-    return int(wanted)
-
-
 def _width(train: DataFrame) -> int:
     about = train.schema["features"].metadata.get("ml_attr", {})
     width = about.get("num_attrs") or sum(len(a) for a in about.get("attrs", {}).values())
     return width or len(train.select("features").first()[0])
 
 
-def _fraction(value: float, width: int) -> str:
-    """The share of the features to look at: one of them at least."""
-    return f"{min(1.0, max(value, 1.000001 / width)):.9f}"
-
-
-def _no_effect(params: dict, names: tuple[str, ...], notes: list[str]) -> None:
-    notes += [f"{n} has no effect" for n in names if f"model__{n}" in params]
-
-
-def _forest_settings(params: dict, label: str, seed: int, regression: bool, width: int):
-    notes: list[str] = []
-    effective: dict[str, str] = {}
-    features = _number(params, "max_features", None)
-    criterion = params.get("model__criterion", "gini")
-    settings = {
-        "labelCol": label,
-        "numTrees": _trees(params, 500),
-        "maxDepth": _depth(_number(params, "max_depth", None), effective),
-        "minInstancesPerNode": int(_number(params, "min_samples_leaf", 1)),
-        "subsamplingRate": _number(params, "max_samples", 1.0),
-        "bootstrap": params.get("model__bootstrap", "True") == "True",
-        "featureSubsetStrategy": ("all" if regression else "sqrt")
-        if features is None
-        else _fraction(features, width),
-        "impurity": "variance" if regression else criterion,
-        "maxBins": int(_number(params, "max_bins", MAX_BINS)),
-        "seed": seed,
-    }
-    _no_effect(params, ("min_samples_split",), notes)
-    return settings, notes, effective
-
-
-def fit_random_forest(train: DataFrame, label: str, params: dict, seed: int) -> Fitted:
-    settings, *said = _forest_settings(params, label, seed, False, _width(train))
-    return Fitted([mlc.RandomForestClassifier(**settings).fit(train)], *said)
-
-
-def fit_forest_regressor(train: DataFrame, label: str, params: dict, seed: int) -> Fitted:
-    settings, *said = _forest_settings(params, label, seed, True, _width(train))
-    return Fitted([mlr.RandomForestRegressor(**settings).fit(train)], *said)
-
-
-def _random_cuts(
-    train: DataFrame, seed: int, copies: int, cuts_per_copy: int
-) -> list[tuple[int, list[float]]]:
-    """Random thresholds between the ends of each numeric entry, drawn anew for several copies of
-    it; a 0/1 indicator appears once, as it is."""
-    ends = train.agg(
-        Summarizer.min(F.col("features")).alias("low"),
-        Summarizer.max(F.col("features")).alias("high"),
-    ).first()
-    attributes = train.schema["features"].metadata.get("ml_attr", {}).get("attrs", {})
-    indicators = {a["idx"] for a in attributes.get("binary", [])}
-    entries: list[tuple[int, list[float]]] = []
-    for i, (low, high) in enumerate(zip(ends["low"], ends["high"])):
-        if i in indicators or low == high:
-            entries.append((i, []))
-            continue
-        for copy in range(copies):
-            draws = [
-                int(hashlib.md5(f"{seed}:{copy}:{i}:{k}".encode()).hexdigest()[: HASH_BITS // 4], 16)
-                for k in range(cuts_per_copy)
-            ]
-            cuts = sorted(float(low + d / (1 << HASH_BITS) * (high - low)) for d in draws)
-            entries.append((i, cuts))
-    return entries
-
-
-def _fit_cut_forest(
-    train: DataFrame, label: str, params: dict, seed: int, regression: bool
-) -> Fitted:
-    """Extremely randomised trees as a forest over randomly cut copies of the numeric features.
-
-    A split picks among a random subset of (feature, random thresholds) pairs; the size of the
-    subset is what it would be without the copies. ``cut_copies`` and ``cuts_per_copy`` among the
-    parameters say how many thresholds a feature has.
-    """
-    settings, notes, effective = _forest_settings(params, label, seed, regression, _width(train))
-    copies = int(_number(params, "cut_copies", CUT_COPIES))
-    entries = _random_cuts(train, seed, copies, int(_number(params, "cuts_per_copy", CUTS_PER_COPY)))
-    width, n_features = len(entries), len({source for source, _ in entries})
-    asked = settings["featureSubsetStrategy"]
-    if asked == "sqrt":
-        candidates = math.sqrt(n_features)
-    else:
-        candidates = n_features * (1.0 if asked == "all" else float(asked))
-    settings["featureSubsetStrategy"] = _fraction(max(1.0, candidates) / width, width)
-    notes.append("splits on random cut points drawn once per forest")
-    cutter = RandomCuts("features", "cut", entries)
-    forest = mlr.RandomForestRegressor if regression else mlc.RandomForestClassifier
-    binned = cutter.transform(train).select(label, "cut").persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        model = forest(**settings, featuresCol="cut").fit(binned)
-    finally:
-        binned.unpersist()
-    return Fitted([cutter, model], notes, effective)
-
-
-def fit_extra_trees(train: DataFrame, label: str, params: dict, seed: int) -> Fitted:
-    return _fit_cut_forest(train, label, params, seed, regression=False)
-
-
-def fit_extra_trees_regressor(train: DataFrame, label: str, params: dict, seed: int) -> Fitted:
-    return _fit_cut_forest(train, label, params, seed, regression=True)
+def _forest(width: int, params: dict, seed: int, regression: bool, random_cuts: bool) -> Forest:
+    """Extremely randomised trees draw one threshold for each feature a node looks at. Without ``max_features`` a node looks at the root of the number of features, or at all of them
+    for a number to predict."""
+    share = _number(params, "max_features", None)
+    usual = width if regression else int(math.sqrt(width))
+    return Forest(
+        trees=int(_number(params, "n_estimators", 500)),
+        criterion="variance" if regression else params.get("model__criterion", "gini"),
+        max_depth=_number(params, "max_depth", math.inf),
+        min_split=_number(params, "min_samples_split", 2),
+        min_leaf=_number(params, "min_samples_leaf", 1),
+        features=max(1, usual if share is None else int(share * width)),
+        bootstrap=params.get("model__bootstrap", "True") == "True",
+        rate=_number(params, "max_samples", 1.0),
+        random_cuts=random_cuts,
+        seed=seed,
+    )
 
 
-def _boosting(train: DataFrame, params: dict, label: str, seed: int, leaf_wise: bool):
-    """Rounds are checkpointed in the shared folder, so that their lineage stays short."""
-    checkpoint_dir(train.sparkSession)
-    notes: list[str] = ["gradient-boosted trees of MLlib"]
-    effective: dict[str, str] = {}
+def _boosting(params: dict, seed: int, regression: bool, leaf_wise: bool) -> Boosting:
+    """By levels with the parameters of one outside library, or by leaves with those of the other."""
+    common = dict(
+        logistic=not regression,
+        subsample=_number(params, "subsample", 1.0),
+        by_tree=_number(params, "colsample_bytree", 1.0),
+        by_level=_number(params, "colsample_bylevel", 1.0),
+        l1=_number(params, "reg_alpha", 0.0),
+        seed=seed,
+    )
     if leaf_wise:
-        wanted = math.ceil(math.log2(_number(params, "num_leaves", 31)))
-        rate, trees = 0.1, _trees(params, 100)
-    else:
-        wanted = _number(params, "max_depth", 6)
-        rate, trees = _number(params, "learning_rate", 0.3), _trees(params, 500)
-    columns = _number(params, "colsample_bytree", 1.0) * _number(params, "colsample_bylevel", 1.0)
-    _no_effect(params, ("reg_alpha", "reg_lambda"), notes)
-    settings = {
-        "labelCol": label,
-        "maxIter": trees,
-        "maxDepth": _depth(wanted, effective),
-        "stepSize": rate,
-        "minInstancesPerNode": int(_number(params, "min_child_weight", 1)),
-        "subsamplingRate": _number(params, "subsample", 1.0),
-        "featureSubsetStrategy": _fraction(columns, _width(train)),
-        "maxBins": int(_number(params, "max_bins", MAX_BINS)),
-        "checkpointInterval": 10,
-        "seed": seed,
-    }
-    return settings, notes, effective
-
-
-def fit_xgb(train: DataFrame, label: str, params: dict, seed: int) -> Fitted:
-    settings, *said = _boosting(train, params, label, seed, leaf_wise=False)
-    return Fitted([mlc.GBTClassifier(**settings).fit(train)], *said)
+        return Boosting(
+            rounds=int(_number(params, "n_estimators", 100)),
+            step=_number(params, "learning_rate", 0.1),
+            leaves=int(_number(params, "num_leaves", 31)),
+            max_depth=math.inf,
+            min_hessian=_number(params, "min_child_weight", 1e-3),
+            min_rows=_number(params, "min_child_samples", 20),
+            l2=_number(params, "reg_lambda", 0.0),
+            **common,
+        )
+    return Boosting(
+        rounds=int(_number(params, "n_estimators", 500)),
+        step=_number(params, "learning_rate", 0.3),
+        max_depth=_number(params, "max_depth", 6),
+        min_hessian=_number(params, "min_child_weight", 1),
+        l2=_number(params, "reg_lambda", 1.0),
+        **common,
+    )
 
 
-def fit_lgbm(train: DataFrame, label: str, params: dict, seed: int) -> Fitted:
-    settings, *said = _boosting(train, params, label, seed, leaf_wise=True)
-    return Fitted([mlc.GBTClassifier(**settings).fit(train)], *said)
+def tree_settings(width: int, params: dict[str, str], seed: int) -> Forest | Boosting | None:
+    """What to grow for a trial over so many features; None for a family without trees."""
+    model = params["model"]
+    if model in (EXTRA_TREES, RANDOM_FOREST, EXTRA_TREES_REGRESSOR, RANDOM_FOREST_REGRESSOR):
+        numbers = model in (EXTRA_TREES_REGRESSOR, RANDOM_FOREST_REGRESSOR)
+        return _forest(width, params, seed, numbers, model in (EXTRA_TREES, EXTRA_TREES_REGRESSOR))
+    if model in (XGB, LGBM, XGB_REGRESSOR):
+        return _boosting(params, seed, model == XGB_REGRESSOR, model == LGBM)
+    return None
 
 
-def fit_xgb_regressor(train: DataFrame, label: str, params: dict, seed: int) -> Fitted:
-    settings, *said = _boosting(train, params, label, seed, leaf_wise=False)
-    return Fitted([mlr.GBTRegressor(**settings).fit(train)], *said)
+def fit_tree_family(train: DataFrame, label: str, params: dict, seed: int) -> Fitted:
+    settings = tree_settings(_width(train), params, seed)
+    return Fitted([fit_trees(train, label, settings, int(_number(params, "max_bins", MAX_BINS)))])
 
 
 FAMILIES: dict[str, Callable[[DataFrame, str, dict, int], Fitted]] = {
     LOGISTIC: fit_logistic,
     LINEAR_SVC: fit_linear_svc,
-    EXTRA_TREES: fit_extra_trees,
-    RANDOM_FOREST: fit_random_forest,
-    XGB: fit_xgb,
-    LGBM: fit_lgbm,
+    EXTRA_TREES: fit_tree_family,
+    RANDOM_FOREST: fit_tree_family,
+    XGB: fit_tree_family,
+    LGBM: fit_tree_family,
     ELASTIC_NET: fit_elastic_net,
-    EXTRA_TREES_REGRESSOR: fit_extra_trees_regressor,
-    RANDOM_FOREST_REGRESSOR: fit_forest_regressor,
-    XGB_REGRESSOR: fit_xgb_regressor,
+    EXTRA_TREES_REGRESSOR: fit_tree_family,
+    RANDOM_FOREST_REGRESSOR: fit_tree_family,
+    XGB_REGRESSOR: fit_tree_family,
 }
 
 
@@ -324,21 +218,21 @@ def fit_model(train: DataFrame, label: str, params: dict[str, str], seed: int =
 def feature_importances(
     spark: SparkSession, model: PipelineModel, sample: DataFrame
 ) -> DataFrame | None:
-    """(feature, importance), as many rows as the model has features; None for a linear model.
-
-    The copies of a randomly cut feature count for the feature.
-    """
+    """(feature, importance), as many rows as the model has features; None for a linear model."""
     trees = [s for s in model.stages if hasattr(s, "featureImportances")]
     if not trees:
         return None
     names = feature_names(model.transform(sample.limit(0)))
-    cutters = [s for s in model.stages if isinstance(s, RandomCuts)]
-    sources = cutters[0].sources() if cutters else range(len(names))
-    importances = [0.0] * len(names)
-    for stage in trees:
-        for source, value in zip(sources, stage.featureImportances.toArray()):
-            importances[source] += float(value) / len(trees)
+    values = trees[-1].featureImportances.toArray()
     pairs = spark.createDataFrame(
-        list(zip(names, importances)), "feature string, importance double"
+        [(name, float(value)) for name, value in zip(names, values)], "feature string, importance double"
     )
     return pairs.withColumn("feature", clean_feature_name(F.col("feature")))
+
+
+# --- scoring rows with few different features ----------------------------------------------------
+
+
+def score_features(model: PipelineModel | Fitted, rows: DataFrame, features: list[str]) -> DataFrame:
+    """The scores of the different values of the columns that the model reads, one row for each."""
+    return score_rows(model, rows.select(*features).distinct())

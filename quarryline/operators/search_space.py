@@ -77,6 +77,7 @@ ELASTIC_NET = "ElasticNet()"
 EXTRA_TREES_REGRESSOR = "ExtraTreesRegressor()"
 RANDOM_FOREST_REGRESSOR = "RandomForestRegressor()"
 XGB_REGRESSOR = "XGBRegressor()"
+REGRESSORS = (ELASTIC_NET, EXTRA_TREES_REGRESSOR, RANDOM_FOREST_REGRESSOR, XGB_REGRESSOR)
 
 _PENALTY = {"model__C": Real(1e-06, 100, log=True)}
 _ELASTIC = {"model__alpha": Real(1e-05, 10, log=True), "model__l1_ratio": Real(0, 1)}

@@ -7,7 +7,6 @@ so scoring is a projection and the model can be saved and loaded.
 
 from __future__ import annotations
 
-import json
 import math
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
@@ -22,11 +21,7 @@ from pyspark.ml.feature import (
     VectorAssembler,
     VectorSlicer,
 )
-from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.ml.param import Param, Params, TypeConverters
-from pyspark.ml.param.shared import HasInputCol, HasOutputCol
 from pyspark.ml.stat import Summarizer
-from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -319,45 +314,6 @@ def choose(df: DataFrame, fit: Callable[[DataFrame], Transformer] | None) -> Dat
     return df if fit is None else fit(df).transform(df)
 
 
-class RandomCuts(
-    Transformer, HasInputCol, HasOutputCol, DefaultParamsReadable, DefaultParamsWritable
-):
-    """A vector of binned entries: each output entry counts the cut points below its source entry.
-
-    An output entry without cut points copies its source, e.g. a 0/1 indicator.
-    """
-
-    cuts = Param(
-        Params._dummy(), "cuts", "JSON list of [source index, [cut points]], one per output entry",
-        TypeConverters.toString,
-    )
-
-    def __init__(self, inputCol: str = "features", outputCol: str = "cut", cuts=None):
-        super().__init__()
-        self._setDefault(inputCol="features", outputCol="cut", cuts="[]")
-        self._set(inputCol=inputCol, outputCol=outputCol)
-        if cuts is not None:
-            self._set(cuts=json.dumps(cuts))
-
-    def sources(self) -> list[int]:
-        return [source for source, _ in json.loads(self.getOrDefault(self.cuts))]
-
-    def _transform(self, dataset: DataFrame) -> DataFrame:
-        entries = F.from_json(
-            F.lit(json.dumps([{"s": s, "c": c} for s, c in json.loads(self.getOrDefault(self.cuts))])),
-            "array<struct<s: int, c: array<double>>>",
-        )
-        x = vector_to_array(self.getInputCol())
-        codes = F.transform(
-            entries,
-            lambda e: F.when(
-                F.size(e["c"]) > 0,
-                F.size(F.filter(e["c"], lambda cut: cut < F.get(x, e["s"]))).cast("double"),
-            ).otherwise(F.get(x, e["s"])),
-        )
-        return dataset.withColumn(self.getOutputCol(), array_to_vector(codes))
-
-
 # --- the whole feature pipeline ----------------------------------------------------------------
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from quarryline.functions.scalars import binary_label
 from quarryline.models import estimators as m
+from quarryline.models.trees import Boosting, fit_trees
 from quarryline.operators import evaluate
 from quarryline.operators import search_space as sp
 from quarryline.operators.registry import RunLog
@@ -186,7 +187,10 @@ def ridge_normal_equations(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _regress(spark: SparkSession, sf_dir: str, model: str, prep: Prep, **params: str) -> DataFrame:
     """Error of the fitted regressor and of the mean, over all line items."""
     df = reg(spark, sf_dir)
-    scored = m.score_rows(_fit(df, "", model, prep, **params), df)
+    read = [c for c in df.columns if c != "label"]
+    different = m.score_features(_fit(df, "", model, prep, **params), df, read)
+    same = F.struct(*[df[c] for c in read]).eqNullSafe(F.struct(*[different[c] for c in read]))
+    scored = df.join(different, same).select(df["label"], different["score"])
     error = F.sqrt(F.avg((F.col("score") - F.col("label")) ** 2))
     return scored.agg(
         F.count(F.lit(1)).alias("n"),
@@ -300,8 +304,50 @@ def _stump(spark: SparkSession, sf_dir: str, model: str, **params: str) -> DataF
 
 @query(_STUMP + _STUMP_ROWS)
 def boosted_stump(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One round of boosting with one split: the best cut and the means on both sides of it."""
-    return _stump(spark, sf_dir, sp.XGB_REGRESSOR)
+    """One whole step with one split: the best cut and the means on both sides of it."""
+    return _stump(spark, sf_dir, sp.XGB_REGRESSOR, learning_rate="1", reg_lambda="0")
+
+
+@query(
+    """
+WITH sums AS (
+  SELECT l_quantity AS x, count(*) AS n, sum(l_extendedprice) AS s FROM lineitem GROUP BY l_quantity
+),
+cuts AS (
+  SELECT x, sum(n) OVER upto AS n_left, sum(s) OVER upto AS s_left, sum(n) OVER () AS n_all, sum(s) OVER () AS s_all
+  FROM sums WINDOW upto AS (ORDER BY x)
+),
+gradients AS (
+  SELECT x, n_left, n_all - n_left AS n_right, s_all / n_all AS mean,
+         n_left * s_all / n_all - s_left AS g_left, (n_all - n_left) * s_all / n_all - (s_all - s_left) AS g_right
+  FROM cuts WHERE n_left < n_all
+),
+shrunk AS (
+  SELECT *, sign(g_left) * greatest(abs(g_left) - 20000::DOUBLE, 0) AS a_left,
+         sign(g_right) * greatest(abs(g_right) - 20000::DOUBLE, 0) AS a_right FROM gradients
+),
+best AS (
+  SELECT * FROM shrunk ORDER BY a_left * a_left / (n_left + 300) + a_right * a_right / (n_right + 300) DESC LIMIT 1
+)
+SELECT l_quantity, round(mean - 0.25::DOUBLE * CASE WHEN l_quantity <= best.x THEN a_left / (n_left + 300)
+       ELSE a_right / (n_right + 300) END, 4) AS score, count(*) AS n
+FROM lineitem CROSS JOIN best GROUP BY ALL
+"""
+)
+def boosted_regularised(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One round with L1 and L2 on the leaves and a short step: gain and leaves by the formula."""
+    return _stump(spark, sf_dir, sp.XGB_REGRESSOR, learning_rate="0.25", reg_alpha="20000", reg_lambda="300")
+
+
+@query(_STUMP + _STUMP_ROWS)
+def leaf_wise_stump(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One round of a tree that may have two leaves: the leaf to split first is the best one."""
+    items = reg(spark, sf_dir).select("label", "l_quantity")
+    pipeline = fit_features(items, Columns(("l_quantity",), ()), Prep())
+    settings = Boosting(1, logistic=False, step=1.0, leaves=2, l2=0.0)
+    model = fit_trees(pipeline.transform(items), "label", settings)
+    scored = m.score_rows(PipelineModel([*pipeline.stages, model]), items)
+    return scored.groupBy("l_quantity", F.round("score", 4).alias("score")).agg(F.count(F.lit(1)).alias("n"))
 
 
 @query(_STUMP + _STUMP_ROWS)

@@ -20,3 +20,18 @@ def spark():
 @pytest.fixture(scope="session")
 def sf_dir():
     return SF_DIR
+
+
+@pytest.fixture(scope="session")
+def built(spark, sf_dir):
+    """Queries by name as DataFrames, each built once: building some of them fits models."""
+    import __spark_entry__ as driver
+
+    queries, done = driver.queries(), {}
+
+    def build(name):
+        if name not in done:
+            done[name] = queries[name](spark, sf_dir)
+        return done[name]
+
+    return build

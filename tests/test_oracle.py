@@ -19,13 +19,13 @@ def test_oracles_belong_to_queries():
 
 
 @pytest.mark.parametrize("name", sorted(ORACLES))
-def test_same_rows_as_sql(spark, sf_dir, db, name):
-    assert difference(QUERIES[name](spark, sf_dir), db, ORACLES[name]) is None
+def test_same_rows_as_sql(built, db, name):
+    assert difference(built(name), db, ORACLES[name]) is None
 
 
 @pytest.mark.parametrize("name", sorted(set(QUERIES) - set(ORACLES) - SLOW))
-def test_rows_without_sql(spark, sf_dir, name):
-    assert QUERIES[name](spark, sf_dir).take(1)
+def test_rows_without_sql(built, name):
+    assert built(name).take(1)
 
 
 def test_flagship(spark):

@@ -14,8 +14,8 @@ def _plan(df) -> str:
 
 
 @pytest.mark.parametrize("name", sorted(set(QUERIES) - LONG))
-def test_no_cross_join_and_no_row_python(spark, sf_dir, name):
-    plan = _plan(QUERIES[name](spark, sf_dir))
+def test_no_cross_join_and_no_row_python(built, name):
+    plan = _plan(built(name))
     assert "CartesianProduct" not in plan and "NestedLoopJoin" not in plan
     assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan
     assert name in PYTHON or "MapInPandas" not in plan

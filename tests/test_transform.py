@@ -104,15 +104,6 @@ def test_pca_dimension_and_components(spark, rank):
     assert variances == pytest.approx(eigenvalues[:rank])
 
 
-def test_random_cuts_count_thresholds(spark):
-    df = spark.createDataFrame([([0.5, 1.0],), ([2.5, 0.0],)], "a array<double>").select(
-        array_to_vector("a").alias("features")
-    )
-    cutter = tr.RandomCuts("features", "cut", [(0, [0.1, 1.0, 2.0]), (1, []), (0, [3.0])])
-    got = [r[0] for r in cutter.transform(df).select(vector_to_array("cut")).collect()]
-    assert got == [[1.0, 1.0, 0.0], [3.0, 0.0, 0.0]]
-
-
 def _table(spark):
     rows = [
         (1.0, 10, True, "x", "<100"),
