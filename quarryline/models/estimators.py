@@ -1,7 +1,7 @@
 """Model families: from a trial's parameters to fitted MLlib stages.
 
-Linear models are fitted by MLlib; trees by ``trees``, which returns models of MLlib's classes. Where a
-family differs from what its name says, it returns notes, which the search stores with the trial.
+Linear models are fitted by MLlib, but for the squared hinge of ``svc``; trees by ``trees``. Both return
+models of MLlib's classes. Where a family differs from what its name says, it returns notes, which the search stores with the trial.
 """
 
 from __future__ import annotations
@@ -31,6 +31,7 @@ from quarryline.operators.search_space import (
     XGB,
     XGB_REGRESSOR,
 )
+from quarryline.models.svc import fit_squared_hinge
 from quarryline.models.trees import MAX_BINS, Boosting, Forest, fit_trees
 from quarryline.operators.transform import feature_names
 
@@ -95,12 +96,9 @@ def fit_logistic(train: DataFrame, label: str, params: dict, seed: int) -> Fitte
 
 
 def fit_linear_svc(train: DataFrame, label: str, params: dict, seed: int) -> Fitted:
-    strength = _number(params, "C", 1.0)
-    model = mlc.LinearSVC(
-        labelCol=label, maxIter=100, standardization=False,
-        regParam=1 / (strength * max(train.count(), 1)),
-    ).fit(train)
-    return Fitted([model], ["hinge loss; the score is the margin"])
+    """Squared hinge loss; the score is the margin."""
+    model, done = fit_squared_hinge(train, label, _number(params, "C", 1.0), _width(train))
+    return Fitted([model], [] if done else ["stopped before its gradient was small"])
 
 
 def fit_elastic_net(train: DataFrame, label: str, params: dict, seed: int) -> Fitted:

@@ -55,6 +55,31 @@ def test_logistic_objective_has_zero_gradient(vectors, data):
     assert abs(residual.sum()) < 0.05
 
 
+@pytest.mark.parametrize("strength", [0.01, 0.7, 50.0])
+def test_squared_hinge_has_zero_gradient(vectors, data, strength):
+    x, y, _ = data
+    params = {"model": sp.LINEAR_SVC, "model__C": str(strength)}
+    fitted = m.fit_model(vectors, "label", params)
+    assert fitted.notes == []
+    w, b = fitted.stages[0].coefficients.toArray(), fitted.stages[0].intercept
+    sign = 2 * y - 1
+    pull = 2 * strength * sign * np.maximum(0, 1 - sign * (x @ w + b))
+    start = np.abs(2 * strength * x.T @ sign).max()
+    assert np.abs(w - x.T @ pull).max() < 1e-5 * max(1, start)
+    assert abs(b - pull.sum()) < 1e-5 * max(1, start)
+
+
+def test_squared_hinge_with_odd_rows(spark):
+    """Equal rows, one class, and rows without a label."""
+    rows = [(1.0, 2.0), (1.0, 2.0), (None, 9.0)]
+    table = spark.createDataFrame(rows, "label double, x double")
+    table = VectorAssembler(inputCols=["x"], outputCol="features").transform(table)
+    model = m.fit_model(table, "label", {"model": sp.LINEAR_SVC}).stages[0]
+    # along the one direction of the rows w = 2 b, where the gradient is b - 4 * (1 - 5 b)
+    assert model.coefficients[0] == pytest.approx(2 * model.intercept, abs=1e-6)
+    assert model.intercept - 4 * (1 - 5 * model.intercept) == pytest.approx(0, abs=1e-5)
+
+
 @pytest.mark.parametrize("alpha,mix", [(0.1, 0.0), (0.5, 0.3), (0.2, 1.0)])
 def test_elastic_net_equals_coordinate_descent(vectors, data, alpha, mix):
     x, _, z = data
