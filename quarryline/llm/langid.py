@@ -7,7 +7,9 @@ length reach: short texts lie farther out, and the farthest are odd or mislabell
 language of the nearest centroid; much farther from it than texts of its length, it is rejected.
 
 The document frequencies count all labelled texts. The centroids are fitted on about
-``per_language`` texts of each language, chosen by a hash of the text: the bound that a fit needs.
+``per_language`` texts of each language, chosen by a hash of the text and the row's key: the bound
+that a fit needs. Copies are drawn apart and equal texts then count once, so a text with many copies
+neither fills the sample nor outweighs the others. A drawn text leaves its task as counts of n-grams.
 Model and vectors have fixed sizes: ``DIMENSIONS`` and ``CLUSTERS`` numbers per language.
 """
 
@@ -19,7 +21,7 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
@@ -42,6 +44,11 @@ KEEP = bytes(
 )
 
 
+COUNTED = pa.schema(
+    [("lang", pa.string()), ("key", pa.int64()), ("place", pa.list_(pa.int32())), ("n", pa.list_(pa.int64()))]
+)
+
+
 @dataclass(frozen=True)
 class Model:
     languages: list[str]  # of each centroid
@@ -113,11 +120,25 @@ def _frequencies(texts: DataFrame) -> tuple[int, np.ndarray]:
     return n, found
 
 
-def _clusters(texts: list[str], weights: np.ndarray, clusters: int) -> list[tuple[np.ndarray, list[float]]]:
+def _counted(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """For each text, the n-grams it has and how often: a bounded number, however long the text."""
+    for batch in rows:
+        for lang, key, text in zip(*(batch.column(n) for n in ("lang", "key", "text"))):
+            counts = counts_of(text.as_py())
+            place = np.flatnonzero(counts)
+            line = {"lang": lang.as_py(), "key": key.as_py(), "place": place, "n": counts[place]}
+            yield pa.RecordBatch.from_pylist([line], schema=COUNTED)
+
+
+def _clusters(rows: pd.DataFrame, weights: np.ndarray, clusters: int) -> list[tuple[np.ndarray, list[float]]]:
     """Spherical k-means, begun with texts far apart: (centroid, floors of the bands)."""
-    counts = [counts_of(t) for t in texts]
-    points = np.array([_scaled(c, weights) for c in counts], dtype=np.float32)
-    bands = np.array([band_of(c) for c in counts])[points.any(axis=1)]
+    points = np.zeros((len(rows), DIMENSIONS), np.float32)
+    bands = np.zeros(len(rows), np.int64)
+    for i, (place, n) in enumerate(zip(rows["place"], rows["n"])):
+        counts = np.zeros(DIMENSIONS, np.int64)
+        counts[place] = n
+        points[i], bands[i] = _scaled(counts, weights), band_of(counts)
+    bands = bands[points.any(axis=1)]
     points = points[points.any(axis=1)]
     if not len(points):
         return []
@@ -147,22 +168,34 @@ def fit(
     lang: str = "lang",
     clusters: int = CLUSTERS,
     per_language: int = PER_LANGUAGE,
+    key: str | None = None,
 ) -> Model:
-    """Centroids of the labelled texts; rows without a label or a letter teach nothing."""
-    rows = labelled.select(F.col(text).alias("text"), F.col(lang).alias("lang")).filter(
-        F.col("lang").isNotNull() & has_letter(F.col("text"))
-    )
+    """Centroids of the labelled texts; rows without a label or a letter teach nothing.
+
+    ``key`` names a column that tells rows apart. Rows with the same key and text (or, without a key,
+    the same text) are drawn together, and count once like all equal texts of a language.
+    """
+    nth = F.lit(None).cast("string") if key is None else F.col(key).cast("string")
+    rows = labelled.select(
+        F.col(text).alias("text"), F.col(lang).cast("string").alias("lang"), nth.alias("nth")
+    ).filter(F.col("lang").isNotNull() & has_letter(F.col("text")))
     n, found = _frequencies(rows.select("text"))
     weights = np.log((1 + n) / (1 + found)) + 1
-    sizes = rows.groupBy("lang").count().withColumnRenamed("lang", "of")
-    draw = F.pmod(F.xxhash64("text", F.lit(5)), F.lit(1 << 30)) / float(1 << 30)
-    sample = rows.join(sizes, F.col("lang") == F.col("of")).filter(
-        draw < F.lit(float(per_language)) / F.col("count")
+    sizes = rows.groupBy("lang").count().collect()  # a row for each language to be learned
+    if not sizes:
+        return _model([], weights)
+    size = F.create_map(*[F.lit(value) for row in sizes for value in (row["lang"], float(row["count"]))])
+    draw = F.pmod(F.xxhash64("text", "nth", F.lit(5)), F.lit(1 << 30)) / float(1 << 30)
+    sample = rows.filter(draw * size[F.col("lang")] < float(per_language))
+    counted = (
+        sample.select("lang", F.xxhash64("text").alias("key"), "text")
+        .mapInArrow(_counted, "lang string, key long, place array<int>, n array<long>")
+        .dropDuplicates(["lang", "key"])
     )
 
     def cluster(pdf: pd.DataFrame) -> pd.DataFrame:
-        # In the order of the texts, so that the result does not depend on how rows arrive.
-        parts = _clusters(sorted(pdf["text"]), weights, clusters)
+        # In the order of the hashes, so that the result does not depend on how rows arrive.
+        parts = _clusters(pdf.sort_values("key"), weights, clusters)
         return pd.DataFrame(
             {
                 "lang": [pdf["lang"].iloc[0]] * len(parts),
@@ -171,12 +204,14 @@ def fit(
             }
         )
 
-    model = (
-        sample.select("lang", "text")
-        .groupBy("lang")
-        .applyInPandas(cluster, "lang string, centroid array<double>, floors array<double>")
+    model = counted.groupBy("lang").applyInPandas(
+        cluster, "lang string, centroid array<double>, floors array<double>"
     )
-    parts = sorted(model.collect(), key=lambda r: (r["lang"], r["floors"], r["centroid"]))
+    return _model(model.collect(), weights)
+
+
+def _model(lines: list[Row], weights: np.ndarray) -> Model:
+    parts = sorted(lines, key=lambda r: (r["lang"], r["floors"], r["centroid"]))
     return Model(
         [r["lang"] for r in parts],
         np.array([r["centroid"] for r in parts]).reshape(len(parts), DIMENSIONS),

@@ -91,7 +91,7 @@ def op4_spot_signatures(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op5_nearest_centroid(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
-    model = langid.fit(docs.filter(~is_held_out("doc_id", 5)))
+    model = langid.fit(docs.filter(~is_held_out("doc_id", 5)), key="doc_id")
     named, name = langid.identify(docs.select("doc_id", "text"), model)
     return named.select(
         "doc_id",

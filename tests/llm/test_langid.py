@@ -69,3 +69,72 @@ def test_short_texts_have_floors_of_their_own():
     bands = langid.np.array([2] * 40 + [6] * 40)
     floors = langid._floors(cosine, bands)
     assert floors[2] == 0.2 and floors[6] == 0.6
+
+
+def _plain_counts(text):
+    """n-grams of bytes, one by one: letters of ASCII in lower case, others of ASCII as one space."""
+    kept = []
+    for byte in text.encode():
+        letter = chr(byte).lower() if byte < 128 and chr(byte).isalpha() else byte if byte >= 128 else " "
+        kept.append(ord(letter) if isinstance(letter, str) else letter)
+    data = b" " + b" ".join(bytes(kept).split(b" ")) + b" "
+    while b"  " in data:
+        data = data.replace(b"  ", b" ")
+    counts = [0] * langid.DIMENSIONS
+    for size in (1, 2, 3):
+        for at in range(len(data) - size + 1):
+            code = (size % 3) << 24 | int.from_bytes(data[at : at + size], "big")  # told apart by size
+            counts[(code * 2654435761 % 2**32) >> 20] += 1
+    return counts
+
+
+def _plain_vector(text, idf):
+    vector = [math.log1p(n) * w for n, w in zip(_plain_counts(text), idf)]
+    length = math.sqrt(sum(x * x for x in vector))
+    return [x / length for x in vector]
+
+
+def test_equals_brute_force(spark, prose):
+    """Document frequencies, the one centroid of a language and cosines, computed one by one."""
+    texts = [(i, prose(30 + i, i), "a") for i in range(8)]
+    texts += [(8 + i, "Zażółć gęślą jaźń, " * (i + 1) + prose(3, i), "b") for i in range(8)]
+    texts += [(16, "12 34", "a"), (17, prose(5, 1), None)]  # no letter, no label: teach nothing
+    model = langid.fit(spark.createDataFrame(texts, "doc_id long, text string, lang string"), clusters=1)
+    taught = [(t, lang) for _, t, lang in texts[:16]]
+    seen = [sum(c > 0 for c in column) for column in zip(*(_plain_counts(t) for t, _ in taught))]
+    idf = [math.log(17 / (1 + n)) + 1 for n in seen]
+    assert model.weights == pytest.approx(idf)
+    assert model.languages == ["a", "b"]
+    for k, lang in enumerate("ab"):
+        total = [sum(column) for column in zip(*(_plain_vector(t, idf) for t, name in taught if name == lang))]
+        length = math.sqrt(sum(x * x for x in total))
+        assert model.centroids[k] == pytest.approx([x / length for x in total], abs=1e-5)
+    docs = spark.createDataFrame([(i, t) for i, t, _ in texts if i != 16], "doc_id long, text string")
+    named, name = langid.identify(docs, model)
+    for row in named.collect():
+        vector = _plain_vector(row["text"], idf)
+        cosine = [sum(x * y for x, y in zip(vector, c)) for c in model.centroids]
+        best = max(range(2), key=cosine.__getitem__)
+        assert row[name]["lang"] == model.languages[best]
+        assert row[name]["score"] == pytest.approx(min(1.0, cosine[best]))
+
+
+def test_sample_is_bounded_by_rows(spark, prose, monkeypatch):
+    """Copies are drawn apart, and equal texts that were drawn count once."""
+    rows = [(i, prose(20, i % 3), "a") for i in range(3000)] + [(i, prose(20, i), "a") for i in range(10, 510)]
+    table = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    plain = langid._clusters
+
+    def seen(rows, weights, clusters):
+        return plain(rows, weights, clusters)[:1] * len(rows)  # as many centroids as texts
+
+    monkeypatch.setattr(langid, "_clusters", seen)
+    sizes = [len(langid.fit(table, per_language=n, key="doc_id", clusters=1).languages) for n in (100, 350)]
+    assert 3 <= sizes[0] < 60 and sizes[0] < sizes[1] < 150  # of 503 different texts in 3,500 rows
+    monkeypatch.undo()
+    whole = langid.fit(table, per_language=10**6, key="doc_id", clusters=1)
+    distinct = {t for _, t, _ in rows}
+    idf = list(whole.weights)
+    total = [sum(column) for column in zip(*(_plain_vector(t, idf) for t in distinct))]
+    length = math.sqrt(sum(x * x for x in total))
+    assert whole.centroids[0] == pytest.approx([x / length for x in total], abs=1e-4)
