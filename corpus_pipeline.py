@@ -20,7 +20,7 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
     Where no document has a label there is nothing to be far from, so all with a letter stay.
     """
-    model = langid.fit(docs)
+    model = langid.fit(docs, key="doc_id")
     if not model.languages:
         return docs.filter(langid.has_letter(F.col("text")))
     named, name = langid.identify(docs, model)
