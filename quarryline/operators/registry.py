@@ -2,12 +2,15 @@
 
 Tables: ``experiments(exp_id, name)``, ``runs(run_id, exp_id, name, start_time, end_time, metrics,
 params, tags)``, ``model_version_events(model_name, version, run_id, stage, event_seq)``. The
-state of a model version is its latest event; nothing is updated in place.
+state of a model version is its latest event; nothing is updated in place. Events are added by
+commits, numbered without gaps, of which each is one file that only one writer can create.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import json
+from collections.abc import Callable, Iterator
+from typing import Any
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -15,7 +18,7 @@ from pyspark.sql import functions as F
 
 from quarryline.functions.scalars import elapsed_seconds, run_name, without_model
 from quarryline.operators.ordered import running
-from quarryline.sources.tables import path_exists
+from quarryline.sources.tables import create_once, path_exists
 
 NO_STAGE, STAGING, PRODUCTION, ARCHIVED = "None", "Staging", "Production", "Archived"
 STAGES = (NO_STAGE, STAGING, PRODUCTION, ARCHIVED)
@@ -25,6 +28,8 @@ RUN_SCHEMA = (
     "run_id string, exp_id string, name string, start_time timestamp, end_time timestamp, "
     "metrics map<string, double>, params map<string, string>, tags map<string, string>"
 )
+COMMIT_TRIES = 1000  # others may take a number first; a missing file never comes back
+EVENTS = "model_version_events"
 EVENT_SCHEMA = (
     "model_name string, version int, run_id string, stage string, event_seq bigint"
 )
@@ -224,7 +229,11 @@ class RunLog:
 
     @property
     def events(self) -> DataFrame:
-        return self._table("model_version_events", EVENT_SCHEMA)
+        """All events, of the files there are now: one for each commit, named by its number."""
+        path = f"{self.root}/{EVENTS}"
+        if path_exists(self.spark, path):
+            return self.spark.read.schema(EVENT_SCHEMA).json(path)
+        return self.spark.createDataFrame([], EVENT_SCHEMA)
 
     def append_experiments(self, experiments: DataFrame) -> None:
         """Add experiments that are not there yet, by name."""
@@ -273,51 +282,61 @@ class RunLog:
         model = self.production_model(model_name)
         return None if model is None else self.run(model["run_id"])
 
-    def _add_events(self, rows: list[tuple]) -> None:
-        events = self.spark.createDataFrame(rows, EVENT_SCHEMA).coalesce(1)
-        events.write.mode("append").parquet(f"{self.root}/model_version_events")
-
-    def register_model(self, run_id: str, model_name: str) -> int:
-        """The next version of the model for this run; a run is registered once per model.
+    def _commit(self, decide: Callable[[DataFrame, int], tuple[Any, list[tuple]]]) -> Any:
+        """Add the events that are decided on, given all events so far and the number of the commit.
 
-        Events cannot be locked, so the version is read again after it was written: of several
-        runs that took it at once the smallest run id keeps it, and the others take the next.
+        A writer whose number was taken by another decides again on the events with that commit, so
+        every decision rests on all commits before its own.
         """
-        of_model = F.col("model_name") == model_name
-        while True:
-            state = self.state(model_name)
-            mine = state.filter(F.col("run_id") == run_id).agg(F.max("version")).first()[0]
-            if mine is not None:
-                return mine
-            known = self.events.agg(
-                F.max(F.when(of_model, F.col("version"))).alias("latest"),
-                F.max("event_seq").alias("seq"),
+        for _ in range(COMMIT_TRIES):
+            events = self.events
+            known = events.agg(
+                F.max("event_seq").alias("last"), F.count_distinct("event_seq").alias("n")
             ).first()
+            if (known["last"] or 0) != known["n"]:
+                continue  # a listing during a commit may show a later file and miss an earlier one
+            seq = known["n"] + 1
+            answer, rows = decide(events, seq)
+            fields = [part.split()[0] for part in EVENT_SCHEMA.split(", ")]
+            lines = "".join(json.dumps(dict(zip(fields, (*row, seq)))) + "\n" for row in rows)
+            if not rows or create_once(self.spark, f"{self.root}/{EVENTS}/{seq:019d}.json", lines):
+                return answer
+        raise RuntimeError(f"no commit to {self.root}/{EVENTS} in {COMMIT_TRIES} tries")
+
+    def register_model(self, run_id: str, model_name: str) -> int:
+        """The next version of the model for this run; a run is registered once per model."""
+
+        def decide(events: DataFrame, seq: int) -> tuple[int, list[tuple]]:
+            mine = F.when(F.col("run_id") == run_id, F.col("version"))
+            of_model = events.filter(F.col("model_name") == model_name)
+            known = of_model.agg(F.max(mine).alias("mine"), F.max("version").alias("latest")).first()
+            if known["mine"] is not None:
+                return known["mine"], []
             version = (known["latest"] or 0) + 1
-            self._add_events([(model_name, version, run_id, NO_STAGE, (known["seq"] or 0) + 1)])
+            return version, [(model_name, version, run_id, NO_STAGE)]
 
-    def _around(self, model_name: str, version: int) -> tuple[str, list, int]:
-        """The version's run, the versions now in production, and the next event number."""
-        state = self.state(model_name).withColumn(
-            "last_seq", self.events.agg(F.max("event_seq")).scalar()
-        )
-        chosen = (F.col("version") == version) | (F.col("stage") == PRODUCTION)
-        lines = state.filter(chosen).collect()  # this version and the one in production
-        run_id = next((line["run_id"] for line in lines if line["version"] == version), None)
-        if run_id is None:
-            raise ValueError(f"{model_name} has no version {version}")
-        live = [x for x in lines if x["stage"] == PRODUCTION and x["version"] != version]
-        return run_id, live, lines[0]["last_seq"] + 1
+        return self._commit(decide)
+
+    def _move(self, model_name: str, version: int, stage: str, archive_others: bool) -> None:
+        def decide(events: DataFrame, seq: int) -> tuple[None, list[tuple]]:
+            state = version_state(events.filter(F.col("model_name") == model_name))
+            chosen = (F.col("version") == version) | (F.col("stage") == PRODUCTION)
+            lines = state.filter(chosen).collect()  # this version and the one in production
+            run_id = next((line["run_id"] for line in lines if line["version"] == version), None)
+            if run_id is None:
+                raise ValueError(f"{model_name} has no version {version}")
+            others = [x for x in lines if archive_others and x["version"] != version]
+            rows = [(model_name, x["version"], x["run_id"], ARCHIVED) for x in others]
+            return None, [*rows, (model_name, version, run_id, stage)]
+
+        self._commit(decide)
 
     def transition(self, model_name: str, version: int, stage: str) -> None:
         """Move one version; the others stay where they are."""
         if stage not in STAGES:
             raise ValueError(f"unknown stage {stage!r}")
-        run_id, _, seq = self._around(model_name, version)
-        self._add_events([(model_name, version, run_id, stage, seq)])
+        self._move(model_name, version, stage, archive_others=False)
 
     def put_in_production(self, model_name: str, version: int) -> None:
-        """Archive the version now in production and promote this one, in one write."""
-        run_id, live, seq = self._around(model_name, version)
-        rows = [(model_name, x["version"], x["run_id"], ARCHIVED, seq) for x in live]
-        self._add_events([*rows, (model_name, version, run_id, PRODUCTION, seq + 1)])
+        """Archive the version now in production and promote this one, in one commit."""
+        self._move(model_name, version, PRODUCTION, archive_others=True)

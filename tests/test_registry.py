@@ -2,12 +2,14 @@
 
 import datetime
 import random
+from concurrent.futures import ThreadPoolExecutor
 
 import pytest
 from pyspark.sql import functions as F
 
 from quarryline.operators import registry as r
 from quarryline.session import new_path
+from quarryline.sources import tables as io
 
 
 def _add_run(log, exp_id, run_id, minute, auc, params):
@@ -73,6 +75,49 @@ def _stages(log):
     return {x["version"]: x["stage"] for x in log.state("credit").collect()}
 
 
+def test_writers_at_once(spark):
+    """Each run gets a version of its own, and one version stays in production."""
+    log = r.RunLog(spark, new_path(spark, "log"))
+    with ThreadPoolExecutor(4) as pool:
+        versions = list(pool.map(lambda i: log.register_model(f"r{i % 6}", "m"), range(8)))
+    assert sorted(set(versions)) == [1, 2, 3, 4, 5, 6]
+    assert versions[:2] == versions[6:]  # the runs that two threads registered
+    assert log.events.filter("stage = 'None'").count() == 6
+    with ThreadPoolExecutor(4) as pool:
+        list(pool.map(lambda v: log.put_in_production("m", v), versions[:6]))
+    stages = sorted(x["stage"] for x in log.state("m").collect())
+    assert stages == [r.ARCHIVED] * 5 + [r.PRODUCTION]
+    assert log.production_model("m")["run_id"] in {f"r{i}" for i in range(6)}
+    seqs = [x[0] for x in log.events.select("event_seq").distinct().orderBy("event_seq").collect()]
+    assert seqs == list(range(1, 13))  # one number for each commit
+
+
+def test_a_slow_writer_decides_again(spark, monkeypatch):
+    """Another commit between reading and writing: the version it took is not taken twice."""
+    log = r.RunLog(spark, new_path(spark, "log"))
+    plain, other = r.create_once, []
+
+    def late(session, path, text):
+        if not other:
+            other.append(None)
+            other.append(log.register_model("a", "m"))
+        return plain(session, path, text)
+
+    monkeypatch.setattr(r, "create_once", late)
+    assert log.register_model("b", "m") == 2
+    assert other == [None, 1]
+
+
+@pytest.mark.parametrize("move", [io._link_once, io._rename_once])
+def test_files_are_created_once(spark, monkeypatch, move):
+    path = new_path(spark, "once") + "/1.json"
+    monkeypatch.setattr(io, "_link_once", move)
+    assert io.create_once(spark, path, "first\n")
+    assert not io.create_once(spark, path, "second\n")
+    folder = path.rsplit("/", 1)[0]
+    assert [x[0] for x in spark.read.text(folder).collect()] == ["first"]
+
+
 def test_two_production_versions_are_an_error(spark):
     events = [("m", 1, "a", "Production", 1), ("m", 2, "b", "Production", 2)]
     table = spark.createDataFrame(events, r.EVENT_SCHEMA)
