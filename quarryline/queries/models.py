@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import datetime
+
 from pyspark.ml import PipelineModel
+from pyspark.ml.feature import SQLTransformer
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -11,7 +14,7 @@ from quarryline.models import estimators as m
 from quarryline.models.trees import Boosting, fit_trees
 from quarryline.operators import evaluate
 from quarryline.operators import search_space as sp
-from quarryline.operators.registry import RunLog
+from quarryline.operators.registry import RUN_SCHEMA, RunLog
 from quarryline.operators.split import train_test_split
 from quarryline.operators.transform import (
     LEARNED_ORDER,
@@ -25,6 +28,7 @@ from quarryline.operators.transform import (
 )
 from quarryline.plans.experiment import run_experiment
 from quarryline.plans.predict import run_predict
+from quarryline.plans.report import compare_last_run
 from quarryline.plans.search import SearchSettings, search
 from quarryline.queries.catalog import query, rounded
 from quarryline.queries.tables import LOAN, NUMBERED, etl_transform
@@ -306,6 +310,55 @@ def experiment_end_to_end(spark: SparkSession, sf_dir: str) -> DataFrame:
     return outcome.withColumn("n_versions", state.agg(F.count(F.lit(1))).scalar())
 
 
+@query(
+    f"""{SPLIT}, test AS (
+      SELECT label, CAST(credit_amount AS DOUBLE) / 500000 AS amount
+      FROM parts JOIN loan USING (app_id) WHERE is_test),
+    scored AS (
+      SELECT 'last run' AS model, label, amount AS score FROM test
+      UNION ALL
+      SELECT 'production', label, (SELECT avg(label) FROM parts WHERE app_id % 2 <> 0) FROM test),
+    placed AS (
+      SELECT *, rank() OVER (PARTITION BY model ORDER BY score)
+        + (count(*) OVER (PARTITION BY model, score) - 1) / CAST(2 AS DOUBLE) AS place FROM scored)
+    SELECT model, count(*) AS n,
+      count(*) FILTER (WHERE label = 1 AND score >= CAST(0.37 AS DOUBLE)) AS tp,
+      count(*) FILTER (WHERE label = 0 AND score >= CAST(0.37 AS DOUBLE)) AS fp,
+      count(*) FILTER (WHERE label = 0 AND score < CAST(0.37 AS DOUBLE)) AS tn,
+      count(*) FILTER (WHERE label = 1 AND score < CAST(0.37 AS DOUBLE)) AS fn,
+      round((sum(place) FILTER (WHERE label = 1) - sum(label) * (sum(label) + 1) / CAST(2 AS DOUBLE))
+        / (sum(label) * sum(1 - label)), 3) AS roc_auc
+    FROM placed GROUP BY model"""
+)
+def last_run_against_production(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three stored runs: an older one in production, the last one, and a later one of another experiment."""
+    loans = _labelled(spark, sf_dir, "target", "credit_amount")
+    registry = RunLog(spark, new_path(spark, "log"))
+    names = [("1", "credit"), ("2", "other")]
+    registry.append_experiments(spark.createDataFrame(names, "exp_id string, name string"))
+    other_split = F.when(F.col("app_id") % 2 == 0, "test").otherwise("train")
+    older = loans.withColumn("split", other_split)
+    prior = m.fit_dummy(older.filter("split = 'train'"), "label", "prior")
+    by_amount = SQLTransformer(statement="SELECT *, credit_amount / 500000 AS prediction FROM __THIS__")
+    runs = (
+        ("older", "1", older, PipelineModel(prior.stages)),
+        ("last", "1", train_test_split(loans, "app_id"), PipelineModel([by_amount])),
+        ("later", "2", None, None),
+    )
+    for minute, (run_id, exp_id, data, model) in enumerate(runs):
+        start = datetime.datetime(2024, 1, 1, 0, minute, tzinfo=datetime.timezone.utc)
+        line = spark.createDataFrame([(run_id, exp_id, None, start, start, {}, {}, {})], RUN_SCHEMA)
+        registry.append_runs(line)
+        if data is not None:
+            io.save_dataset(data, registry.root, run_id)
+            io.save_model(model, registry.root, run_id)
+    for run_id in ("older", "last"):
+        registry.register_model(run_id, "credit_model")
+    registry.put_in_production("credit_model", 1)
+    lines = compare_last_run(registry, "credit", "credit_model", "label")
+    return lines.select("model", "n", "tp", "fp", "tn", "fn", "roc_auc")
+
+
 # One split on the quantity, at the best of all cuts between neighbouring values, by the squared error.
 _STUMP = """
 WITH sums AS (
