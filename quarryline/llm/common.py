@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import ctypes
 import functools
 import itertools
+import threading
+import time
 from collections.abc import Callable, Iterable, Iterator
 from contextvars import ContextVar
 
@@ -18,7 +21,9 @@ from quarryline.session import new_path
 WORD = r"[^\x20\x09-\x0D]+"  # a word, as a Java pattern
 SPACE = r"[\x20\x09-\x0D]+"
 LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
-CACHED_WORDS = 500_000  # a worker forgets its hashes of words beyond that
+CACHED_WORDS = 200_000  # a worker forgets its hashes of words beyond that
+LONGEST_CACHED = 64  # bytes; longer words are not remembered
+IDLE_SECONDS = 5.0  # after which a worker forgets what it has not used
 
 
 _MADE: ContextVar[list[str] | None] = ContextVar("_MADE", default=None)
@@ -92,16 +97,52 @@ def words_of(text: str | None) -> list[bytes]:
     return text.encode("utf-8", "surrogatepass").translate(LOWER).split() if text else []
 
 
-class WordHashes(dict):
+class Remembered(dict):
+    """What a worker knows of words from one task to the next: at most ``bound`` short words, and none
+    after ``IDLE_SECONDS`` without use, so that nothing of a stage lies in memory during later ones."""
+
+    def __init__(self, bound: int = CACHED_WORDS):
+        super().__init__()
+        self.bound = bound
+        self.used = 0.0
+        self.watched = False
+
+    def keep(self, word: bytes, value):
+        if len(word) <= LONGEST_CACHED:
+            if len(self) >= self.bound:
+                self.clear()
+            self[word] = value
+        return value
+
+    def touch(self) -> None:
+        self.used = time.monotonic()
+        if not self.watched:
+            self.watched = True
+            threading.Thread(target=self._forget, daemon=True).start()
+
+    def _forget(self) -> None:
+        while (left := self.used + IDLE_SECONDS - time.monotonic()) > 0:
+            time.sleep(left)
+        self.watched = False
+        self.clear()
+        give_back()
+
+
+def give_back() -> None:
+    """Return memory that is free within the process to the system."""
+    pa.default_memory_pool().release_unused()
+    if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):
+        trim(0)
+
+
+class WordHashes(Remembered):
     """64-bit hashes of words, remembered within a worker."""
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) >= CACHED_WORDS:
-            self.clear()
-        value = self[word] = xxhash.xxh3_64_intdigest(word)
-        return value
+        return self.keep(word, xxhash.xxh3_64_intdigest(word))
 
     def of(self, words: list[bytes]) -> np.ndarray:
+        self.touch()
         return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
 
 

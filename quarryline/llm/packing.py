@@ -23,7 +23,7 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 from tokenizers import Tokenizer
 
-from quarryline.llm.common import LOWER, written
+from quarryline.llm.common import LONGEST_CACHED, LOWER, Remembered, written
 
 CAPACITY = 4096
 END_ID = 1
@@ -31,7 +31,7 @@ CACHED_WORDS = 1_000_000
 MARKS = (b".", b",", b";", b":", b"!", b"?")
 
 
-class WordIds(dict):
+class WordIds(Remembered):
     """Ids of a word as little-endian 32-bit bytes, remembered within a worker.
 
     The tokenizer lower-cases and never joins text across white space, so a text has the ids of its
@@ -39,7 +39,7 @@ class WordIds(dict):
     """
 
     def __init__(self, path: str):
-        super().__init__()
+        super().__init__(CACHED_WORDS)
         self.tokenizer = Tokenizer.from_file(path)
         specials = self.tokenizer.get_added_tokens_decoder().values()
         self.specials = [t.content.encode() for t in specials]
@@ -51,8 +51,9 @@ class WordIds(dict):
 
     def learn(self, words: set[bytes]) -> None:
         """Look up new words together and tell their ids apart by place."""
-        new = [w for w in {self._stem(w) for w in words} if w not in self]
-        if len(self) + len(words) > CACHED_WORDS:
+        stems = {self._stem(w) for w in words if len(w) <= LONGEST_CACHED}
+        new = [w for w in stems if w not in self]
+        if len(self) + len(words) > self.bound:
             self.clear()
         for at in range(0, len(new), 1000):
             part = [w.decode("utf-8", "replace") for w in new[at : at + 1000]]
@@ -74,10 +75,10 @@ class WordIds(dict):
             value = self._ids(word.decode("utf-8", "replace"))
         else:
             value = self[stem] + self[word[-1:]]
-        self[word] = value
-        return value
+        return self.keep(word, value)
 
     def of(self, text: str) -> bytes:
+        self.touch()
         data = text.encode("utf-8", "replace")
         if any(s in data for s in self.specials):
             return self._ids(data.decode())

@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from quarryline.llm.common import CACHED_WORDS, mixed, words_of
+from quarryline.llm.common import Remembered, mixed, words_of
 
 CHAIN = 2
 DISTANCE = 1
@@ -63,19 +63,15 @@ def _listed(word: bytes) -> bytes | None:
     return bare if bare in ANCHORS else None
 
 
-class SpotHashes(dict):
+class SpotHashes(Remembered):
     """62-bit hashes of words without marks around them; the lowest bits say common word and
     content word that is an anchor."""
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) >= CACHED_WORDS:
-            self.clear()
         common = _listed(word)
         value = xxhash.xxh3_64_intdigest(common or word.strip(MARKS) or word)
         kind = ANCHOR_BIT if common else SPOT_BIT * (value % SPOTS == 0)
-        value = value & ~(ANCHOR_BIT | SPOT_BIT) | kind
-        self[word] = value
-        return value
+        return self.keep(word, value & ~(ANCHOR_BIT | SPOT_BIT) | kind)
 
 
 SPOT_HASHES = SpotHashes()
@@ -86,6 +82,7 @@ def signatures(text: str | None, chain: int = CHAIN, distance: int = DISTANCE) -
     words = words_of(text)
     if not words:
         return np.empty(0, np.uint32)
+    SPOT_HASHES.touch()
     hashes = np.empty(len(words) + 1, U)
     hashes[0] = ANCHOR_BIT
     hashes[1:] = np.fromiter(map(SPOT_HASHES.__getitem__, words), U, len(words))
