@@ -220,7 +220,7 @@ def _signed(docs: DataFrame, words: int, percent: int, buckets: int) -> DataFram
             owner_nodes = np.array(nodes, np.int64)[owners]
             waiting.clear()
             nodes.clear()
-            yield from _by_bucket(codes, owner_nodes, buckets, np.uint32, schema)
+            yield from _by_bucket(codes, owner_nodes, buckets, schema)
 
         for batch in rows:
             for value in batch.column("text"):
@@ -334,7 +334,11 @@ def _verified(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> D
 
 
 def _shared_shingles(texts: DataFrame, words: int, buckets: int) -> DataFrame:
-    """(node, n_shared): how many shingles of each set another of these sets has too."""
+    """(node, n_shared): the most shingles of each set that another of these sets has too.
+
+    Shingles meet by their bucket and 32 bits; where two different ones agree in them, the count is
+    too large, never too small.
+    """
     out = T.StructType.fromDDL("bucket int, codes binary, nodes binary")
 
     def dealt(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -344,10 +348,10 @@ def _shared_shingles(texts: DataFrame, words: int, buckets: int) -> DataFrame:
             sets = [shingles(unpack(x.as_py()).decode(), words) for x in batch.column("packed")]
             nodes = np.repeat(batch.column("node").to_numpy(), [len(s) for s in sets])
             codes = np.concatenate(sets) if sets else np.empty(0, U)
-            yield from _by_bucket(codes, nodes, buckets, np.uint64, schema)
+            yield from _by_bucket(codes, nodes, buckets, schema)
 
     def count(table: pa.Table) -> pa.Table:
-        codes = np.concatenate([np.frombuffer(x.as_buffer(), np.uint64) for x in table["codes"]])
+        codes = np.concatenate([np.frombuffer(x.as_buffer(), np.uint32) for x in table["codes"]])
         nodes = np.concatenate([np.frombuffer(x.as_buffer(), np.int64) for x in table["nodes"]])
         _, of, times = np.unique(codes, return_inverse=True, return_counts=True)
         found, n = np.unique(nodes[times[of] > 1], return_counts=True)
@@ -363,12 +367,15 @@ def _shared_shingles(texts: DataFrame, words: int, buckets: int) -> DataFrame:
 
 
 def _by_bucket(
-    codes: np.ndarray, nodes: np.ndarray, buckets: int, kind: type, schema: pa.Schema
+    codes: np.ndarray, nodes: np.ndarray, buckets: int, schema: pa.Schema
 ) -> Iterator[pa.RecordBatch]:
-    """Codes with their nodes, packed by the bucket that the upper half of a code names."""
+    """The lower half of each code with its node, packed by the bucket that the upper half names.
+
+    In a bucket the codes of a node lie together, so that the repeated nodes take little room.
+    """
     place = ((codes >> U(32)) * U(buckets)) >> U(32)
-    order = np.argsort(place, kind="stable")
-    place, codes, nodes = place[order], codes[order].astype(kind), nodes[order].astype(np.int64)
+    order = np.lexsort((nodes, place))
+    place, codes, nodes = place[order], codes[order].astype(np.uint32), nodes[order].astype(np.int64)
     edges = [0, *(np.flatnonzero(np.diff(place)) + 1).tolist(), len(codes)] if len(codes) else [0]
     yield pa.RecordBatch.from_pydict(
         {
