@@ -29,6 +29,7 @@ from quarryline.functions.scalars import MISSING, fill_missing
 from quarryline.operators.edit import non_numeric_columns, numeric_columns
 from quarryline.operators.ordered import exact_quantiles
 from quarryline.operators.profile import most_frequent, value_counts
+from quarryline.operators.steps import NamedStep
 from quarryline.session import stored
 
 # fixed values: the order of the savings levels
@@ -344,12 +345,24 @@ class Columns:
         return Columns(numeric, rest, savings if savings in df.columns else None)
 
 
-def fit_features(train: DataFrame, columns: Columns, prep: Prep) -> PipelineModel:
-    """Numeric, category and savings groups side by side, assembled into ``features``."""
-    if not (columns.numeric or columns.categories or columns.savings):
-        raise ValueError("the table has no feature columns")
+def fit_features(
+    train: DataFrame, columns: Columns, prep: Prep, steps: Sequence[NamedStep] = ()
+) -> PipelineModel:
+    """Numeric, category and savings groups side by side, assembled into ``features``.
+
+    ``steps`` come first, one after another. What they add are numeric columns, which take the place
+    of the numeric ones that the step reads.
+    """
+    numbers = list(columns.numeric)
     stages: list[Transformer] = []
-    fits = fit_numeric(train, columns.numeric, prep.imputer, prep.scaler)
+    for step in steps:
+        stages.append(step)
+        train = step.transform(train)
+        numbers = [c for c in numbers if c not in step.reads()]
+        numbers += [c for c in step.outputs() if c not in numbers]
+    if not (numbers or columns.categories or columns.savings):
+        raise ValueError("the table has no feature columns")
+    fits = fit_numeric(train, numbers, prep.imputer, prep.scaler)
     numeric_outputs = [f"numeric__{fit.column}" for fit in fits]
     centred = fits
     if prep.pca != NONE and len(fits) > 1:
@@ -368,7 +381,7 @@ def fit_features(train: DataFrame, columns: Columns, prep: Prep) -> PipelineMode
         f"coalesce(CAST(`{c}` AS STRING), '{MISSING}') AS `{t}`" for c, t in text.items()
     ]
     stages.append(SQLTransformer(statement=f"SELECT *, {', '.join(selected)} FROM __THIS__"))
-    current = stages[0].transform(train)
+    current = stages[-1].transform(train)
 
     def add(stage: Transformer) -> None:
         nonlocal current

@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+from pyspark.ml import PipelineModel
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarryline.operators import transform as tr
+from quarryline.operators.steps import NamedStep, table_function
 from quarryline.queries.catalog import query, rounded
 from quarryline.queries.tables import LOAN, NUMBERED, etl_transform
 from quarryline.queries.views import loan, table
+from quarryline.session import new_path, remove
 
 NUMBERS = ["credit_amount", "duration"]
 KEYED = f"""{NUMBERED}, edited AS (
@@ -137,6 +140,32 @@ def pca_total_variance(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query(
+    """WITH sums AS (SELECT var_samp(CAST(embedding[1] AS DOUBLE)) AS a,
+      var_samp(CAST(embedding[2] AS DOUBLE)) AS c,
+      covar_samp(CAST(embedding[1] AS DOUBLE), CAST(embedding[2] AS DOUBLE)) AS b FROM embeddings),
+    roots AS (SELECT (a + c) / 2 AS middle, sqrt((a - c) * (a - c) / 4 + b * b) AS half FROM sums)
+    SELECT round(middle + half, 9) AS first_variance, round(middle - half, 9) AS second_variance,
+    CAST(0 AS DOUBLE) AS covariance, CAST(1 AS BIGINT) AS chosen FROM roots"""
+)
+def pca_two_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two entries on their components: the variances are the roots of the characteristic polynomial.
+
+    Of two directions the evidence is compared for one component alone.
+    """
+    pair = F.slice(F.col("embedding").cast("array<double>"), 1, 2)
+    vectors = table(spark, sf_dir, "embeddings").select(array_to_vector(pair).alias("vector"))
+    full, first = tr.fit_pca(vectors, "vector", "components")
+    projected = full.transform(vectors).select(vector_to_array("components_all").alias("x"))
+    x, y = F.col("x")[0], F.col("x")[1]
+    return projected.agg(
+        F.round(F.var_samp(x), 9).alias("first_variance"),
+        F.round(F.var_samp(y), 9).alias("second_variance"),
+        (F.round(F.covar_samp(x, y), 9) + F.lit(0.0)).alias("covariance"),
+        F.lit(len(first.getIndices())).cast("bigint").alias("chosen"),
+    )
+
+
 @query()
 def pca_project(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Embeddings on their principal components; how many is decided by the evidence."""
@@ -229,6 +258,33 @@ def function_transform(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(logs, 9, *step.feature_names(NUMBERS))
 
 
+@table_function("log1p", names=lambda inputs: [f"log_{c}" for c in inputs])
+def _logs(df: DataFrame, inputs: list[str]) -> DataFrame:
+    return df.withColumns({f"log_{c}": F.log1p(c) for c in inputs})
+
+
+@query(
+    f"""{KEYED}, logs AS (SELECT app_id, ln(1 + credit_amount) AS a, ln(1 + duration) AS d FROM edited),
+    filled AS (SELECT app_id, coalesce(a, avg(a) OVER ()) AS a, coalesce(d, avg(d) OVER ()) AS d FROM logs),
+    scaled AS (SELECT app_id, (a - avg(a) OVER ()) / stddev_pop(a) OVER () AS a,
+      (d - avg(d) OVER ()) / stddev_pop(d) OVER () AS d FROM filled)
+    SELECT app_id, 'numeric__log_credit_amount' AS feature, round(a, 6) AS value FROM scaled
+    UNION ALL SELECT app_id, 'numeric__log_duration', round(d, 6) FROM scaled"""
+)
+def function_in_pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A user function, then imputing and scaling, as one saved and loaded model."""
+    df = _numbers(spark, sf_dir)
+    columns = tr.Columns.of(df, leave_out=["app_id"])
+    step = NamedStep(function="log1p", inputs=NUMBERS)
+    path = new_path(spark, "function-in-pipeline")
+    tr.fit_features(df, columns, tr.Prep(scaler=tr.STANDARD), [step]).write().save(path)
+    matrix = PipelineModel.load(path).transform(df)
+    remove(spark, path)
+    names = F.array(*[F.lit(n) for n in tr.feature_names(matrix)])
+    entries = matrix.select("app_id", F.posexplode(vector_to_array("features")).alias("i", "value"))
+    return rounded(entries.select("app_id", F.get(names, F.col("i")).alias("feature"), "value"), 6, "value")
+
+
 @query(
     f"""{FILLED}, numbers AS (SELECT app_id,
       (credit_amount - avg(credit_amount) OVER ()) / stddev_pop(credit_amount) OVER () AS a,
