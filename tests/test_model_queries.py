@@ -47,3 +47,17 @@ def test_experiments_cover_the_whole_space(monkeypatch, spark, sf_dir):
     _, kwargs = asked(monkeypatch, spark, sf_dir, "experiment_end_to_end", "run_experiment")
     assert kwargs.get("spaces") in (None, sp.classification_spaces())
     assert (kwargs["settings"].n_iterations, kwargs["settings"].n_folds) == (4, 3)
+
+
+def test_a_regressor_scores_every_row_once(spark, tmp_path):
+    """Rows with the same or missing features meet the score of their features, none is lost or doubled."""
+    rows = [(100.0 * q + e, q, 0.1, "A") for q in (1.0, 2.0, 3.0) for e in (0.0, 10.0)]
+    rows += [(50.0, None, 0.1, "A"), (70.0, None, 0.1, None)]
+    schema = "l_extendedprice double, l_quantity double, l_discount double, l_returnflag string"
+    spark.createDataFrame(rows, schema).write.parquet(f"{tmp_path}/lineitem.parquet")
+    line = models._regress(spark, str(tmp_path), sp.XGB_REGRESSOR, models.Prep(), n_estimators="60", reg_lambda="0").first()
+    # missing quantities are filled with their mean, 2.0, so three lines of flag A share a score
+    parts = [[100.0, 110.0], [200.0, 210.0, 50.0], [300.0, 310.0], [70.0]]
+    left = sum((v - sum(part) / len(part)) ** 2 for part in parts for v in part)
+    assert line["n"] == 8
+    assert line["rmse"] == pytest.approx((left / 8) ** 0.5, abs=0.01)
