@@ -4,11 +4,14 @@ import math
 
 import numpy as np
 import pytest
+from pyspark.ml import PipelineModel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
+from quarryline.models import tree_table
 from quarryline.models import trees as tr
+from quarryline.session import new_path
 
 
 @pytest.fixture(scope="module")
@@ -222,3 +225,37 @@ def test_many_values_are_cut_at_quantiles(spark):
     bins = tr.find_bins(df, set(), 2, 64)
     assert 50 < len(bins.cuts[0]) < 64 and not bins.exact[0]
     assert bins.cuts[1].tolist() == [0.5, 1.5] and bins.values[1].tolist() == [0, 1, 2]
+
+
+@pytest.mark.parametrize(
+    "settings",
+    [tr.Forest(7, features=2), tr.Forest(7, "entropy", features=2, random_cuts=True), tr.Forest(5, "variance", features=3), tr.Boosting(4)],
+)
+def test_a_table_of_trees_is_the_same_model(spark, rows, settings, monkeypatch):
+    """Too many nodes for one process: scores, importances and the saved copy are those of MLlib's model."""
+    label = "z" if getattr(settings, "criterion", "") == "variance" else "y"
+    model = tr.fit_trees(rows, label, settings, max_bins=64)
+    monkeypatch.setattr(tr, "NODES_ON_DRIVER", 0)
+    monkeypatch.setattr(tree_table, "NODES_PER_TASK", 100)
+    monkeypatch.setattr(tree_table, "CELLS_PER_TASK", 200)
+    table = tr.fit_trees(rows, label, settings, max_bins=64)
+    assert type(table) is tree_table.TreeTable and len(table.about["starts"]) > 1
+    assert (table.getNumTrees, table.totalNumNodes) == (model.getNumTrees, model.totalNumNodes)
+    assert table.featureImportances.toArray() == pytest.approx(model.featureImportances.toArray())
+    # values between, beside and beyond those of the train rows, and some that are no numbers
+    odd = [(a, b, c) for a in (-1e9, -0.0, 0.0, 3.5, 1e9, math.nan) for b in (-math.inf, 0.123, math.inf) for c in (0.0, 0.5, 1.0)]
+    odd = spark.createDataFrame(odd, "a double, b double, c double")
+    odd = VectorAssembler(inputCols=["a", "b", "c"], outputCol="features", handleInvalid="keep").transform(odd)
+    seen = rows.select("a", "b", "c", "features").unionByName(odd.repartition(2))
+    PipelineModel([table]).write().save(place := new_path(spark, "saved"))
+    out = "prediction" if label == "z" else "probability"
+    value = (lambda df: df.select("a", "b", "c", (vector_to_array(out)[1] if label == "y" else F.col(out)).alias("p"), "prediction"))
+    want = sorted(map(repr_of, value(model.transform(seen)).collect()))
+    for same in (table, PipelineModel.load(place)):
+        got = sorted(map(repr_of, value(same.transform(seen)).collect()))
+        assert [g[0] for g in got] == [w[0] for w in want]
+        assert [g[1:] for g in got] == [pytest.approx(w[1:]) for w in want]
+
+
+def repr_of(row):
+    return repr((row["a"] + 0.0, row["b"], row["c"])), row["p"], row["prediction"]
