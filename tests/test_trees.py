@@ -220,6 +220,20 @@ def test_scores_of_trials_equal_those_of_models(rows):
         assert mine == pytest.approx(want)
 
 
+def test_rows_to_score_do_not_pass_through_the_driver(spark, rows, monkeypatch):
+    x = spark.range(3000).select(F.array(F.col("id") / 100, F.col("id") % 7 - 3.0, F.col("id") % 2 * 1.0).alias("x"))
+    seen, fetch = [], type(x).toArrow
+
+    def counted(df):
+        table = fetch(df)
+        seen.append(table.num_rows)
+        return table
+
+    monkeypatch.setattr(type(x), "toArrow", counted)
+    assert tr.score_trials(rows, "y", [(0, tr.Forest(3))], x).count() == 3000
+    assert all(n <= 600 for n in seen)  # lines of the train rows only
+
+
 def test_many_values_are_cut_at_quantiles(spark):
     df = spark.range(5000).select(F.array((F.col("id") * 1.0), (F.col("id") % 3) * 1.0).alias("x"))
     bins = tr.find_bins(df, set(), 2, 64)
