@@ -17,6 +17,7 @@ that no process holds it whole.
 from __future__ import annotations
 
 import base64
+import functools
 import heapq
 import json
 import math
@@ -170,6 +171,11 @@ class Lines:
         n, s = (table.column(c).to_numpy()[order] for c in ("n", "s"))
         return Lines(bins[order], n, s, share, gather)
 
+    @functools.cached_property
+    def columns(self) -> np.ndarray:
+        """The bins feature by feature."""
+        return np.ascontiguousarray(self.bins.T)
+
     def sums(self, keys: np.ndarray, size: int, *weights: np.ndarray) -> tuple[np.ndarray, list[np.ndarray]]:
         """The different keys below ``size`` in order, and the sums of the weights of each, over all tasks."""
         found, out = _sums(keys, size, weights)
@@ -234,27 +240,49 @@ class Splits:
         )
 
 
+def _sums_by_feature(
+    lines: Lines, node: np.ndarray, line: np.ndarray, weights: list[np.ndarray], features: np.ndarray, sizes: np.ndarray, nodes: int
+) -> tuple[np.ndarray, list[np.ndarray]]:
+    """The places (node, feature, bin) that are taken and the sums of the weights at each, as ``Lines.sums`` finds
+    them: feature by feature, so that no array is as long as lines times features."""
+    tables: list[list[np.ndarray]] = [[] for _ in range(1 + len(weights))]
+    for f, size in zip(features, sizes):
+        keys = node * size + lines.columns[f][line]
+        for table, w in zip(tables, (None, *weights)):
+            table.append(np.bincount(keys, w, nodes * size).reshape(nodes, size))
+    held, *sums = [np.concatenate(table, axis=1).ravel() for table in tables]
+    found = np.flatnonzero(held)
+    return found, [s[found] for s in sums]
+
+
 def _best(
     lines: Lines, bins: Bins, node: np.ndarray, line: np.ndarray, weights: list[np.ndarray],
-    totals: list[np.ndarray], offered: np.ndarray, score: Callable, allowed: Callable, draw: np.ndarray | None, in_order: bool = False,
+    totals: list[np.ndarray], offered: np.ndarray, score: Callable, allowed: Callable, draw: np.ndarray | None, in_order: bool = False, alike: bool = False,
 ) -> Splits:
     """The best cut of each node among the features ``offered`` to it (nodes x features).
 
     ``node`` and ``line`` pair nodes with lines, ``weights`` are summed. With ``draw`` (uniform, like
     ``offered``) each feature has one cut, drawn between its ends within the node. ``in_order`` takes the
-    first feature offered that can be cut.
+    first feature offered that can be cut; ``alike`` says that all nodes are offered the same.
     """
     nodes, many = offered.shape
     best = Splits.none(nodes, len(weights))
-    wide = max(len(v) for v in bins.values)
-    cell = node[:, None] * many + np.arange(many)
-    code = lines.bins[line[:, None], offered[node]]
-    repeated = [np.repeat(w, many) for w in weights]
+    # Each feature of a node has as many places as bins: an indicator two, not as many as the widest.
+    sizes = np.array([len(c) + 1 for c in bins.cuts])[offered.ravel()]
+    one_by_one = alike and draw is None and lines.gather is None and sizes.sum() <= 4 * len(line) * many + 1024
+    cell = None if one_by_one else node[:, None] * many + np.arange(many)
+    code = None if one_by_one else lines.bins[line[:, None], offered[node]]
+    repeated = [] if one_by_one else [np.repeat(w, many) for w in weights]
     if draw is None:
-        keys, sums = lines.sums((cell * wide + code).ravel(), nodes * many * wide, *repeated)
-        cells, at = np.divmod(keys, wide)
+        begins = np.cumsum(sizes) - sizes
+        if one_by_one:
+            keys, sums = _sums_by_feature(lines, node, line, weights, offered[0], sizes[:many], nodes)
+        else:
+            keys, sums = lines.sums((begins[cell] + code).ravel(), int(sizes.sum()), *repeated)
         if not len(keys):
             return best
+        cells = np.repeat(np.arange(nodes * many), sizes)[keys]
+        at = keys - begins[cells]
         starts = np.flatnonzero(np.diff(cells, prepend=-1))
         reps = np.diff(np.append(starts, len(cells)))
         left = []
@@ -570,7 +598,7 @@ def _grow_round(
         line = np.concatenate([where for _, where, _ in parts])
         totals = [np.array([sums[k] for _, _, sums in parts]) for k in range(3)]
         offered = np.broadcast_to(some, (len(parts), len(some)))
-        return _best(lines, bins, node, line, [a[line] for a in weights], totals, offered, score, allowed, None)
+        return _best(lines, bins, node, line, [a[line] for a in weights], totals, offered, score, allowed, None, alike=True)
 
     everything = np.arange(len(lines.n))
     _, whole = lines.sums(np.zeros(len(everything), np.int64), 1, *weights)
@@ -742,37 +770,58 @@ def _ends(bins: Bins, settings: list[Forest | Boosting]) -> dict[int, np.ndarray
     return {i: np.unique(cuts) for i, cuts in enumerate(bins.cuts) if not (anywhere and bins.exact[i])}
 
 
-def score_trials(
-    train: DataFrame, label: str, trials: list[tuple[int, Forest | Boosting]], x: DataFrame,
-    max_bins: int = MAX_BINS, path: str | None = None,
-) -> DataFrame | None:
-    """(trial_id, x, score) of the rows of ``x`` by trees grown on ``train``: the trials of a fold at once.
+@dataclass
+class GrownTrials:
+    """The trees of the trials of a fold, written below a path, and the places where they cut."""
+
+    trials: list[tuple[int, Forest | Boosting]]
+    ends: dict[int, np.ndarray]
+    width: int
+    trees: DataFrame
+
+    def scores(self, cells: DataFrame) -> DataFrame:
+        """(trial_id, cell, score) of different cells: slices of them meet the trees."""
+        sums = sums_of_cells(self.trees, part_starts(self.trees), cells, "cell", self.ends)
+        forests = {t: s.trees for t, s in self.trials if isinstance(s, Forest)}
+        logistic = [t for t, s in self.trials if isinstance(s, Boosting) and s.logistic]
+        counts = F.create_map(*[F.lit(v) for pair in {-1: 1, **forests}.items() for v in pair])
+        score = (
+            F.when(F.col("trial_id").isin(list(forests)), F.col("said") / counts[F.col("trial_id")])
+            .when(F.col("trial_id").isin(logistic), 1 / (1 + F.exp(-2 * F.col("said"))))
+            .otherwise(F.col("said"))
+        )
+        return sums.select("trial_id", "cell", score.alias("score"))
+
+
+def grow_trials(
+    train: DataFrame, label: str, trials: list[tuple[int, Forest | Boosting]], path: str, max_bins: int = MAX_BINS
+) -> GrownTrials | None:
+    """The trees of all trials, grown on ``train`` at once; no model is put together.
 
-    No model is put together: the trees are written below ``path``, and slices of the cells of ``x`` meet them.
     None where the lines are too many for a task; ``fit_trees`` does without that.
     """
     spark = train.sparkSession
     ready = prepare(train, label, max_bins)
     if ready.n_lines > LINES_PER_TASK:
         return None
-    path = path or new_path(spark, "trees")
     jobs = [(t, s, group) for t, s in trials for group in _groups(ready, s, LINES_PER_TASK)]
     jobs.sort(key=lambda job: isinstance(job[1], Forest))  # the longest first
     _grow_apart(spark, ready, jobs).select(*SCORING).write.parquet(path)
     remove(spark, ready.path)
-    trees = spark.read.parquet(path)
-    ends = _ends(ready.bins, [s for _, s in trials])
-    keyed = with_cells(x.select("x"), F.col("x"), ends, ready.width, "cell")
-    sums = sums_of_cells(trees, part_starts(trees), keyed.select("cell").distinct(), "cell", ends)
-    forests = {t: s.trees for t, s in trials if isinstance(s, Forest)}
-    logistic = [t for t, s in trials if isinstance(s, Boosting) and s.logistic]
-    counts = F.create_map(*[F.lit(v) for pair in {-1: 1, **forests}.items() for v in pair])
-    score = (
-        F.when(F.col("trial_id").isin(list(forests)), F.col("said") / counts[F.col("trial_id")])
-        .when(F.col("trial_id").isin(logistic), 1 / (1 + F.exp(-2 * F.col("said"))))
-        .otherwise(F.col("said"))
-    )
-    return keyed.join(sums, "cell").select("trial_id", "x", score.alias("score"))
+    return GrownTrials(trials, _ends(ready.bins, [s for _, s in trials]), ready.width, spark.read.parquet(path))
+
+
+def score_trials(
+    train: DataFrame, label: str, trials: list[tuple[int, Forest | Boosting]], x: DataFrame,
+    max_bins: int = MAX_BINS, path: str | None = None,
+) -> DataFrame | None:
+    """(trial_id, x, score) of the rows of ``x`` by trees grown on ``train``: the trials of a fold at once."""
+    grown = grow_trials(train, label, trials, path or new_path(train.sparkSession, "trees"), max_bins)
+    if grown is None:
+        return None
+    keyed = with_cells(x.select("x"), F.col("x"), grown.ends, grown.width, "cell")
+    scores = grown.scores(keyed.select("cell").distinct())
+    return keyed.join(scores, "cell").select("trial_id", "x", "score")
 
 
 def _together(bins: Bins, width: int, settings: Forest | Boosting, group: list[int]):

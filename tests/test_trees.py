@@ -273,3 +273,19 @@ def test_a_table_of_trees_is_the_same_model(spark, rows, settings, monkeypatch):
 
 def repr_of(row):
     return repr((row["a"] + 0.0, row["b"], row["c"])), row["p"], row["prediction"]
+
+
+@pytest.mark.parametrize("settings", [tr.Boosting(3), tr.Boosting(3, leaves=6, subsample=0.5, by_level=0.7)])
+def test_boosting_sums_feature_by_feature(settings, monkeypatch):
+    """No array of a split is as long as lines times features, and the sums are those of all features at once."""
+    draw = np.random.default_rng(5)
+    bins = np.column_stack([draw.integers(0, 40, 300), draw.integers(0, 2, 300), draw.integers(0, 2, 300)])
+    lines = tr.Lines(bins, np.ones(300), draw.integers(0, 2, 300).astype(float))
+    cuts = [np.arange(1, 40) - 0.5, np.array([0.5]), np.array([0.5])]
+    known = tr.Bins(cuts, [np.arange(len(c) + 1.0) for c in cuts], [True] * 3)
+    asked, whole = [], tr.Lines.sums
+    monkeypatch.setattr(tr.Lines, "sums", lambda self, keys, *rest: asked.append(len(keys)) or whole(self, keys, *rest))
+    alone = [b.to_pylist() for b in tr.grow_boosted(lines, known, settings).packed()]
+    assert asked and max(asked) <= 300
+    together = tr.Lines(lines.bins, lines.n, lines.s, 0, lambda mine: [mine])
+    assert [b.to_pylist() for b in tr.grow_boosted(together, known, settings).packed()] == alone
