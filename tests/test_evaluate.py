@@ -3,6 +3,7 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from quarryline.operators import evaluate as ev
 
@@ -81,3 +82,20 @@ def test_lift_with_one_shared_score(spark):
 def test_unknown_score(spark):
     with pytest.raises(ValueError, match="unknown score"):
         ev.score_table(_frame(spark, [(1, 0.5)]), "auc")
+
+
+@pytest.mark.parametrize("score", ["roc_auc", "average_precision", "log_loss", "rmse", "neg_mean_squared_error", "mae"])
+def test_lines_for_many_cases_score_as_the_cases(spark, score):
+    cases = spark.range(200).select(
+        (F.col("id") % 2).alias("g"), ((F.col("id") * 7) % 5).alias("s"), (F.col("id") % 3 == 0).cast("double").alias("label"))
+    cases = cases.select("g", (F.col("s") / 8 + 0.1).alias("score"), "label").persist()
+    if ev.of_squares(score):
+        n = F.count("label")
+        lines = cases.groupBy("g", "score").agg(F.avg("label").alias("mean"), n.alias("n"), (F.var_pop("label") * n).alias("spread"))
+        lines = lines.withColumnRenamed("mean", "label")
+    else:
+        lines = cases.groupBy("g", "score", "label").agg(F.count(F.lit(1)).alias("n")).withColumn("spread", F.lit(0.0))
+    got = ev.score_counted(ev.counted(lines, score, ["g"]), score, ["g"])
+    want = {r["g"]: r["score"] for r in ev.score_table(cases, score, ["g"]).collect()}
+    assert {r["g"]: r["score"] for r in got.collect()} == pytest.approx(want)
+    cases.unpersist()

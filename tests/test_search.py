@@ -9,12 +9,16 @@ from quarryline.functions.scalars import (
     friendly_params,
     param_value,
 )
+from quarryline.models.estimators import fit_model, score_rows
 from quarryline.operators import search_space as sp
 from quarryline.operators import trials as trials_ops
+from quarryline.operators.evaluate import score_table
 from quarryline.operators.registry import RunLog
+from quarryline.operators.split import repeated_kfold
+from quarryline.operators.transform import Columns, Once, Prep, fit_features
 from quarryline.plans.experiment import is_promoted, run_experiment
 from quarryline.plans.report import compare_last_run
-from quarryline.plans.search import SearchSettings, search
+from quarryline.plans.search import MODEL_SEED, SearchSettings, prep_of, search
 from quarryline.session import new_path
 from quarryline.sources import tables as io
 
@@ -168,3 +172,49 @@ def test_gate_for_scores_where_lower_is_better(spark):
     assert is_promoted(0.9, 1.0, 0.05, "rmse")
     assert not is_promoted(0.97, 1.0, 0.05, "rmse")
 
+
+
+def _small_space(model, imputer, **params):
+    prep = {sp.IMPUTER: imputer, sp.SCALER: sp.NONE, sp.PCA_STEP: sp.NONE, sp.ENCODER: sp.ONE_HOT, sp.SAVINGS: sp.ONE_HOT}
+    return sp.Space(model, {k: sp.Choice((v,)) for k, v in {**params, **prep}.items()}, tuned=False)
+
+
+def _repeated_rows(spark):
+    """300 rows with few different features; some values are missing."""
+    a = F.when(F.col("id") % 11 > 0, (F.col("id") * 7 % 13).cast("double"))
+    y = F.coalesce(a, F.lit(4.0)) * 3 + F.sin(F.col("id") * 1.7) * 9
+    return spark.range(300).select("id", a.alias("a"), (F.col("id") % 3).cast("string").alias("b"), y.alias("y"))
+
+
+def test_cases_give_the_scores_of_all_rows(spark):
+    """A regression is fitted and scored on cases, each for many rows, with the scores of the rows themselves."""
+    rows = _repeated_rows(spark).withColumnRenamed("y", "label")
+    small = {"model__n_estimators": "3", "model__max_depth": "3"}
+    spaces = [_small_space(sp.RANDOM_FOREST_REGRESSOR, sp.MEAN, **small), _small_space(sp.ELASTIC_NET, sp.MEAN)]
+    settings = SearchSettings(score="rmse", n_iterations=1, n_folds=2)
+    got = search(rows, "id", "label", spaces, settings)
+    params = {t["trial_id"]: t["params"] for t in got.trials.collect()}
+    folded = repeated_kfold(rows, "id", 2, 1, settings.seed).persist()
+    train, valid = folded.filter("fold_0 <> 0"), folded.filter("fold_0 = 0")
+    pipeline = fit_features(train, Columns.of(rows, leave_out=["id", "label"]), prep_of(params[0]))
+    found = {s["trial_id"]: s["score"] for s in got.scores.collect() if s["fold"] == 0}
+    for trial_id in (0, 1):
+        model = fit_model(pipeline.transform(train), "label", params[trial_id], MODEL_SEED)
+        scored = score_rows(model, pipeline.transform(valid)).select("label", "score")
+        assert found[trial_id] == pytest.approx(score_table(scored, "rmse").first()["score"], rel=1e-9)
+    folded.unpersist()
+
+
+def test_pipelines_over_the_same_rows_share_what_is_fitted(spark):
+    rows = _repeated_rows(spark).persist()
+    columns, once = Columns.of(rows, leave_out=["id", "y"]), Once()
+    fit_features(rows, columns, Prep(), once=once)
+    spark.sparkContext.setJobGroup("shared", "a second pipeline")
+    try:
+        shared = fit_features(rows, columns, Prep(scaler="StandardScaler()"), once=once)
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert not spark.sparkContext.statusTracker().getJobIdsForGroup("shared")
+    alone = fit_features(rows, columns, Prep(scaler="StandardScaler()"))
+    assert [r["features"] for r in shared.transform(rows).collect()] == [r["features"] for r in alone.transform(rows).collect()]
+    rows.unpersist()

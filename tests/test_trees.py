@@ -289,3 +289,15 @@ def test_boosting_sums_feature_by_feature(settings, monkeypatch):
     assert asked and max(asked) <= 300
     together = tr.Lines(lines.bins, lines.n, lines.s, 0, lambda mine: [mine])
     assert [b.to_pylist() for b in tr.grow_boosted(together, known, settings).packed()] == alone
+
+
+def test_lines_for_many_rows_fold_as_the_rows(spark):
+    """A line that stands for several rows counts as often, for the bins and for the sums."""
+    rows = spark.range(4000).select(
+        F.array((F.col("id") % 700).cast("double"), (F.col("id") % 3).cast("double")).alias("x"), (F.col("id") % 2).cast("double").alias("y"))
+    lines = rows.groupBy("x").agg(F.sum("y").alias("y"), F.count(F.lit(1)).alias("times"))
+    bins, of_lines = tr.find_bins(rows, set(), 2, 64), tr.find_bins(lines, set(), 2, 64, "times")
+    for one, other in ((bins.cuts, of_lines.cuts), (bins.values, of_lines.values)):
+        assert all((a == b).all() for a, b in zip(one, other))
+    got, want = (sorted(map(tuple, f.collect())) for f in (tr.fold(lines, "y", bins, "times"), tr.fold(rows, "y", bins)))
+    assert got == want
