@@ -39,6 +39,7 @@ PARTS = 3
 SMALL_RUN = 12  # sets that share a signature, up to which all are compared with each other
 PER_BUCKET = 1_000_000  # signatures or shingles that are sorted together
 BATCH = 512  # sets that are signed together
+FILTER_WORDS = 1 << 16  # the most words of 64 bits that are broadcast to tell which texts a join needs
 U = np.uint64
 SKETCH = [f"s{i}" for i in range(16)]  # columns of 64 bits
 GOLDEN = U(0x9E3779B97F4A7C15)
@@ -299,6 +300,20 @@ def _rows(schema: pa.Schema, run, a, b) -> Iterator[pa.RecordBatch]:
     yield from pa.table(columns, schema=schema).to_batches(max_chunksize=100_000)
 
 
+def _perhaps_in(texts: DataFrame, nodes: DataFrame) -> DataFrame:
+    """The texts without most of those whose node is not among ``nodes``, before a join shuffles them.
+
+    A node sets one of 2^22 bits, and texts whose bit is not set leave. No more than ``FILTER_WORDS`` words
+    are broadcast, however many nodes there are; with more nodes more of the other texts pass. Join the rest
+    by an inner join: Spark moves a semi join before the filter.
+    """
+    word, bit = F.col("node").bitwiseAND(FILTER_WORDS - 1), F.shiftrightunsigned("node", 58).cast("int")
+    masks = F.array(*[F.lit(1 << i if i < 63 else -(1 << 63)).cast("long") for i in range(64)])
+    bits = nodes.groupBy(word.alias("_word")).agg(F.bit_or(F.get(masks, bit)).alias("_bits"))
+    found = texts.join(F.broadcast(bits), word == F.col("_word"))
+    return found.filter(F.getbit("_bits", bit) == 1).select(*texts.columns)
+
+
 def _verified(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
     """The pairs (a, b) whose sets are similar; ``texts`` has each of their nodes once."""
     sides = [
@@ -310,8 +325,11 @@ def _verified(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> D
     possible = written(
         possible.filter(_may_be_similar(*columns, percent)).select("a", "b"), "join-possible"
     )
-    left = texts.select(F.col("node").alias("a"), F.col("packed").alias("t_a"))
-    right = texts.select(F.col("node").alias("b"), F.col("packed").alias("t_b"))
+    compared = _perhaps_in(
+        texts.select("node", "packed"), possible.select(F.explode(F.array("a", "b")).alias("node"))
+    )
+    left = compared.select(F.col("node").alias("a"), F.col("packed").alias("t_a"))
+    right = compared.select(F.col("node").alias("b"), F.col("packed").alias("t_b"))
     out = T.StructType.fromDDL("a long, b long")
 
     def compare(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -394,7 +412,8 @@ def _in_question(still: DataFrame, texts: DataFrame, words: int, percent: int) -
     too little for the smallest set of the run leave it, runs with one component left are done, and
     as those that stay share less without the others, this is repeated while many leave.
     """
-    held = written(texts.join(still.select("node").distinct(), "node", "left_semi"), "join-held")
+    nodes = still.select("node")
+    held = written(_perhaps_in(texts, nodes).join(nodes.distinct(), "node"), "join-held")
     buckets = max(8, (held.agg(F.sum("n")).first()[0] or 0) // PER_BUCKET)
     left = still.count()
     while left:
@@ -493,8 +512,9 @@ def join_components(
     members = shared.filter("run <> -1").select("run", F.col("a").alias("node"))
     # The texts that are compared, fetched once.
     ends = pairs.select(F.explode(F.array("a", "b")).alias("node"))
-    wanted = ends.unionByName(members.select("node")).distinct()
-    texts = written(texts.join(wanted, "node", "left_semi").dropDuplicates(["node"]), "join-texts")
+    wanted = written(ends.unionByName(members.select("node")).distinct(), "join-wanted")
+    texts = _perhaps_in(texts, wanted).join(wanted, "node")
+    texts = written(texts.dropDuplicates(["node"]), "join-texts")
     links = written(_verified(pairs, texts, words, percent), "join-links")
     labels = components(links)
     named = members.join(labels, "node", "left").select(

@@ -122,3 +122,16 @@ def test_odd_rows(spark, tricky, none_at_all):
 @pytest.mark.parametrize("text, n", [("", 0), ("a", 1), ("a b c d", 1), ("a b c d e f", 2), ("a " * 9, 1)])
 def test_shingles_of_short_texts(text, n):
     assert len(sj.shingles(text)) == n
+
+
+def test_texts_that_a_join_does_not_need_leave_before_its_shuffle(spark):
+    nodes = np.random.default_rng(5).integers(-(1 << 63), 1 << 63, 20_000, np.int64).tolist()
+    texts = spark.createDataFrame([(n, f"text {n}") for n in nodes], "node long, packed string")
+    wanted = spark.createDataFrame([(n,) for n in [*nodes[:500], *nodes[:50]]], "node long")
+    left = sj._perhaps_in(texts, wanted)
+    found = left.collect()
+    assert left.columns == texts.columns
+    assert {r["node"] for r in found} >= set(nodes[:500]) and len(found) == len({r["node"] for r in found})
+    assert len(found) < 1_000
+    assert "SortMergeJoin" not in left._jdf.queryExecution().toString()
+    assert sj._perhaps_in(texts, wanted.limit(0)).isEmpty()
