@@ -218,3 +218,42 @@ def test_pipelines_over_the_same_rows_share_what_is_fitted(spark):
     alone = fit_features(rows, columns, Prep(scaler="StandardScaler()"))
     assert [r["features"] for r in shared.transform(rows).collect()] == [r["features"] for r in alone.transform(rows).collect()]
     rows.unpersist()
+
+
+def _many_rows(spark):
+    """1,800 rows with a label that follows both features, not quite."""
+    a, b = F.sin(F.col("id") * 1.3), F.cos(F.col("id") * 2.1) * 10
+    label = (a * 3 + b / 4 + F.sin(F.col("id") * 7.7) * 2 > 0.5).cast("int")
+    return spark.range(1800).select(F.col("id").alias("app_id"), a.alias("a"), b.alias("b"), label.alias("label"))
+
+
+def _score_of_fold(rows, params, settings, fold):
+    """The score of a model that is fitted on every row of the other folds."""
+    folded = repeated_kfold(rows, "app_id", settings.n_folds, 1, settings.seed).persist()
+    train, valid = folded.filter(F.col("fold_0") != fold), folded.filter(F.col("fold_0") == fold)
+    pipeline = fit_features(train, Columns.of(rows, leave_out=["app_id", "label"]), prep_of(params))
+    model = fit_model(pipeline.transform(train), "label", params, MODEL_SEED)
+    score = score_table(score_rows(model, pipeline.transform(valid)).select("label", "score"), settings.score)
+    found = score.first()["score"]
+    folded.unpersist()
+    return found
+
+
+def test_classifiers_are_fitted_on_all_rows(spark):
+    """Fold scores and the refitted best are those of models over all train rows, however many there are."""
+    rows = _many_rows(spark)
+    small = {"model__n_estimators": "3", "model__max_depth": "4"}
+    spaces = [_small_space(sp.LOGISTIC, sp.MEAN), _small_space(sp.RANDOM_FOREST, sp.MEAN, **small)]
+    settings = SearchSettings(score="log_loss", n_iterations=1, n_folds=2)
+    got = search(rows, "app_id", "label", spaces, settings)
+    params = {t["trial_id"]: t["params"] for t in got.trials.collect()}
+    scores = got.scores.collect()
+    assert len(scores) == 4
+    for line in scores:
+        whole = _score_of_fold(rows, params[line["trial_id"]], settings, line["fold"])
+        assert line["score"] == pytest.approx(whole, rel=1e-9)
+    pipeline = fit_features(rows, Columns.of(rows, leave_out=["app_id", "label"]), prep_of(got.best_params))
+    model = fit_model(pipeline.transform(rows), "label", got.best_params, MODEL_SEED)
+    ours = score_rows(got.model, rows).select("app_id", "score").collect()
+    theirs = dict(score_rows(model, pipeline.transform(rows)).select("app_id", "score").collect())
+    assert {r["app_id"]: r["score"] for r in ours} == pytest.approx(theirs, rel=1e-9)
