@@ -257,3 +257,18 @@ def test_classifiers_are_fitted_on_all_rows(spark):
     ours = score_rows(got.model, rows).select("app_id", "score").collect()
     theirs = dict(score_rows(model, pipeline.transform(rows)).select("app_id", "score").collect())
     assert {r["app_id"]: r["score"] for r in ours} == pytest.approx(theirs, rel=1e-9)
+
+
+def test_an_experiment_keeps_a_model_of_all_train_rows(spark):
+    rows, root = _many_rows(spark), new_path(spark, "log")
+    spaces = [_small_space(sp.LOGISTIC, sp.MEAN)]
+    settings = SearchSettings(n_iterations=1, n_folds=2)
+    done = run_experiment(rows, "app_id", "label", root, "credit", "credit_model", settings=settings, spaces=spaces)
+    parts = io.load_dataset(spark, root, done.run_id)
+    train = parts.filter("split = 'train'").drop("split")
+    assert train.count() == 1440
+    pipeline = fit_features(train, Columns.of(train, leave_out=["app_id", "label"]), prep_of(done.result.best_params))
+    whole = fit_model(pipeline.transform(train), "label", done.result.best_params, MODEL_SEED).stages[-1]
+    kept = io.load_model(root, done.run_id).stages[-1]
+    assert list(kept.coefficients) == pytest.approx(list(whole.coefficients), rel=1e-6)
+    assert kept.intercept == pytest.approx(whole.intercept, rel=1e-6)
