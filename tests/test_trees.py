@@ -301,3 +301,27 @@ def test_lines_for_many_rows_fold_as_the_rows(spark):
         assert all((a == b).all() for a, b in zip(one, other))
     got, want = (sorted(map(tuple, f.collect())) for f in (tr.fold(lines, "y", bins, "times"), tr.fold(rows, "y", bins)))
     assert got == want
+
+
+@pytest.mark.parametrize(
+    "settings",
+    [tr.Forest(trees=6, features=2), tr.Forest(trees=6, features=3, criterion="entropy", min_leaf=4, bootstrap=False),
+     tr.Forest(trees=6, features=1, random_cuts=True), tr.Forest(trees=6, features=4, random_cuts=True, min_leaf=3)],
+)
+def test_features_with_two_bins_are_not_summed_bin_by_bin(settings, data, monkeypatch):
+    """A forest adds up what lies in their first bin, and grows the trees that sums of all bins give."""
+    rng = np.random.default_rng(3)
+    flags = rng.integers(0, 2, (600, 4)).astype(float)
+    flags[:, 3] = flags[:, 2]  # equal gains: the first feature offered wins
+    lines, bins = lines_of(np.concatenate([data[0][:, :2], flags], axis=1), data[1])
+    shared = tr.Lines(lines.bins, lines.n, lines.s, gather=lambda mine: [mine])  # sums of all bins
+    ours, theirs = (tr.grow_forest(some, bins, settings, list(range(6))).columns for some in (lines, shared))
+    for name in theirs:
+        assert np.array_equal(np.concatenate(ours[name]), np.concatenate(theirs[name]))
+
+    summed, usual = [], tr.Lines.sums
+    monkeypatch.setattr(tr.Lines, "sums", lambda self, keys, *rest: summed.append(len(keys)) or usual(self, keys, *rest))
+    only_flags, bins = lines_of(flags, data[1])
+    grown = tr.grow_forest(only_flags, bins, settings, [0])
+    assert sum(map(len, grown.columns["id"])) > 1
+    assert len(summed) == 1  # the root
